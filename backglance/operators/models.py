@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -47,23 +48,27 @@ def fit_score(estimator: Estimator, train: DataFrame, test: DataFrame) -> DataFr
 
 
 def cross_validate(
-    folded: DataFrame, build: Callable[[float], Estimator], parameters: Sequence[float]
+    folded: DataFrame, build: Callable[[float], Estimator], parameters: Sequence[float], parallelism: int = 3
 ) -> DataFrame:
     """(parameter, fold, area_under_pr): every parameter on every fold.
 
     ``folded`` has ``features``, ``label``, ``fold`` and ``part`` from ``blocked_folds``.
+    ``parallelism`` fits run at the same time, so that small stages do not leave executors idle.
     """
-    scores = []
+    blocks = folded.select("features", "label", "fold", "part").persist(StorageLevel.MEMORY_AND_DISK)
+    folds = [row["fold"] for row in blocks.select("fold").distinct().orderBy("fold").collect()]
+
+    def score(task: tuple[int, float]) -> tuple[float, int, float]:
+        fold, parameter = task
+        block = blocks.where(F.col("fold") == fold)
+        train, test = block.where(F.col("part") == "train"), block.where(F.col("part") == "test")
+        area = area_under_pr_of(fit_score(build(parameter), train, test))
+        return float(parameter), int(fold), float(area)
+
     spark = folded.sparkSession
-    for fold in [row["fold"] for row in folded.select("fold").distinct().orderBy("fold").collect()]:
-        block = folded.where(F.col("fold") == fold).select("features", "label", "part")
-        block.persist(StorageLevel.MEMORY_AND_DISK)
-        train = block.where(F.col("part") == "train")
-        test = block.where(F.col("part") == "test")
-        for parameter in parameters:
-            score = area_under_pr_of(fit_score(build(parameter), train, test))
-            scores.append((float(parameter), int(fold), float(score)))
-        block.unpersist()
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(inheritable_thread_target(spark)(score), [(f, p) for f in folds for p in parameters])
+    blocks.unpersist()
     return spark.createDataFrame(scores, "parameter double, fold int, area_under_pr double")
 
 
@@ -87,7 +92,10 @@ def train_best(
     """Fold scores, and the test rows scored by the best parameter fitted on all training rows."""
     scores = cross_validate(folded, build, parameters)
     best = pick_best(mean_scores(scores)).first()["parameter"]
-    return scores, fit_score(build(best, final=True), train, test)
+    kept = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    model = build(best, final=True).fit(kept)
+    kept.unpersist()
+    return scores, model.transform(test)
 
 
 CLASSIFIERS: Mapping[str, tuple[Callable[..., Estimator], Sequence[float]]] = {

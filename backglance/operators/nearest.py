@@ -1,25 +1,69 @@
 """Nearest place for each site by great-circle distance, without comparing all pairs.
 
-Sites and places are points on the unit sphere, put into cubes.  A site looks into the 27
-cubes around it; a place found within one cube edge is certainly the nearest.  Sites
-without such a place look again with a larger edge.  The last edge covers the whole sphere.
+Places are points on the unit sphere, sorted into cubes inside cubes.  A site walks down
+from the eight top cubes: at each level it keeps only cubes that can still hold its
+nearest place, judged by the box around the places of the cube, and in the end compares
+the few places of the cubes that are left.  The smallest cubes are made so small that the
+fullest holds few places, so a dense cluster adds levels and not comparisons.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
-from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from backglance.functions.geo import EARTH_RADIUS_KM, haversine_km, unit_sphere
+from backglance.functions.geo import haversine_km, unit_sphere
 from backglance.operators.joins import join_groups
 from backglance.operators.quality import require_columns
 
-# Cube edges on the unit sphere: about 100, 400, 1,600 and 6,700 km, then everything.
-DEFAULT_EDGES = (1 / 64, 1 / 16, 1 / 4, 1.0, 2.0)
+_AXES = ("x", "y", "z")
+_SPLIT = 4  # a cube has edge 1/4 of its parent's
+_MAX_DEPTH = 12  # edges down to about a metre
+_FEW_PLACES = 64
+# Squared chord that stands for about a micrometre of a kilometre: keeps ties that rounding makes.
+_SLACK = 1e-9
+
+
+def _cube(depth: int, axes: tuple[Column, Column, Column]) -> Column:
+    edge = 2.0 / _SPLIT**depth
+    return F.struct(*[F.floor(v / edge).alias(n) for n, v in zip(_AXES, axes)])
+
+
+def _axes() -> tuple[Column, Column, Column]:
+    return tuple(F.col(a) for a in _AXES)
+
+
+def _depth(places: DataFrame) -> int:
+    """The first depth at which every cube holds few places; one line comes to the driver."""
+    cubes = F.array(*[F.struct(F.lit(d).alias("depth"), _cube(d, _axes()).alias("cube")) for d in range(_MAX_DEPTH + 1)])
+    held = places.select(F.explode(cubes).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    fullest = held.groupBy(F.col("c.depth").alias("depth")).agg(F.max("n").alias("n"))
+    first = fullest.where(F.col("n") <= _FEW_PLACES).agg(F.min("depth")).first()[0]
+    return _MAX_DEPTH if first is None else first
+
+
+def _boxes(places: DataFrame, depth: int) -> DataFrame:
+    """The box around the places of each cube."""
+    sides = [f(a).alias(f"{s}_{a}") for a in _AXES for s, f in (("low", F.min), ("high", F.max))]
+    named = places.withColumns({"cube": _cube(depth, _axes()), "parent": _cube(max(depth - 1, 0), _axes())})
+    return named.groupBy("cube", "parent").agg(*sides)
+
+
+def _add(terms: list[Column]) -> Column:
+    return terms[0] + terms[1] + terms[2]
+
+
+def _prune(looking: DataFrame) -> DataFrame:
+    """Drop cubes whose nearest corner is farther than the farthest corner of another."""
+    low = lambda a: F.col(f"low_{a}") - F.col(f"s{a}")
+    high = lambda a: F.col(f"s{a}") - F.col(f"high_{a}")
+    nearest = _add([F.pow(F.greatest(F.lit(0.0), low(a), high(a)), 2) for a in _AXES])
+    farthest = _add([F.pow(F.greatest(F.abs(low(a)), F.abs(high(a))), 2) for a in _AXES])
+    site = Window.partitionBy("lat", "lon")
+    kept = looking.withColumn("reach", F.min(farthest).over(site)).where(nearest <= F.col("reach") + _SLACK)
+    return kept.select("lat", "lon", *[f"s{a}" for a in _AXES], "cube")
 
 
 def nearest_site(
@@ -32,7 +76,6 @@ def nearest_site(
     place_lon: str,
     out: str = "nearest",
     distance: str = "distance_km",
-    edges: Sequence[float] = DEFAULT_EDGES,
 ) -> DataFrame:
     """Add the key of the nearest place and its distance in km.
 
@@ -41,52 +84,40 @@ def nearest_site(
     """
     require_columns(df, [lat, lon])
     require_columns(places, [place_key, place_lat, place_lon])
-    if edges[-1] < 2.0:
-        raise ValueError("the last edge must be 2.0 or more to cover the sphere")
-
-    x, y, z = unit_sphere(F.col("_lat"), F.col("_lon"))
-    sites = df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).dropna().distinct()
-    state = sites.withColumns({"_x": x, "_y": y, "_z": z, "_done": F.lit(False)})
-    no_best = F.lit(None).cast(f"struct<km:double,key:{places.schema[place_key].dataType.simpleString()}>")
-    state = state.withColumn("_best", no_best)
 
+    points = dict(zip(_AXES, unit_sphere(F.col("place_lat"), F.col("place_lon"))))
     # Places at one coordinate are copies for this purpose; the smallest key stands for them.
     distinct_places = (
-        places.select(F.col(place_lat).alias("_plat"), F.col(place_lon).alias("_plon"), F.col(place_key).alias("_pkey"))
+        places.select(F.col(place_lat).alias("place_lat"), F.col(place_lon).alias("place_lon"), F.col(place_key).alias("key"))
         .dropna()
-        .groupBy("_plat", "_plon")
-        .agg(F.min("_pkey").alias("_pkey"))
+        .groupBy("place_lat", "place_lon")
+        .agg(F.min("key").alias("key"))
+        .withColumns(points)
+    )
+    depth = _depth(distinct_places)
+
+    sites = df.select(F.col(lat).alias("lat"), F.col(lon).alias("lon")).dropna().distinct()
+    sphere = dict(zip([f"s{a}" for a in _AXES], unit_sphere(F.col("lat"), F.col("lon"))))
+    # The sphere lies in eight top cubes, numbered -1 and 0 on each axis.
+    top = F.array(
+        *[
+            F.struct(*[F.lit(v).cast("bigint").alias(n) for n, v in zip(_AXES, corner)])
+            for corner in itertools.product((-1, 0), repeat=3)
+        ]
     )
-    px, py, pz = unit_sphere(F.col("_plat"), F.col("_plon"))
-
-    for edge in edges:
-        cube = lambda a, b, c: F.struct(*[F.floor(v / edge).alias(n) for n, v in zip("xyz", (a, b, c))])
-        here = cube(F.col("_x"), F.col("_y"), F.col("_z"))
-        around = F.array(
-            *[
-                F.struct(*[(here[n] + step).alias(n) for n, step in zip("xyz", steps)])
-                for steps in itertools.product((-1, 0, 1), repeat=3)
-            ]
-        )
-        # A site that has its answer passes through on a single row without a cube.
-        looking = state.withColumn("_cube", F.explode_outer(F.when(~F.col("_done"), around)))
-        held = distinct_places.withColumn("_pcube", cube(px, py, pz))
-        seen = looking.join(held, F.col("_cube") == F.col("_pcube"), "left")
-        km = F.round(haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon")), 6)
-        candidate = F.when(F.col("_pkey").isNotNull(), F.struct(km.alias("km"), F.col("_pkey").alias("key")))
-        certain = 2 * EARTH_RADIUS_KM * math.asin(min(1.0, edge / 2)) * (1 - 1e-9) if edge < 2 else math.inf
-        state = (
-            seen.groupBy("_lat", "_lon", "_x", "_y", "_z", "_done")
-            .agg(F.min(candidate).alias("_new"), F.min("_best").alias("_best"))
-            .withColumn("_best", F.coalesce("_new", "_best"))
-            .withColumn("_done", F.col("_done") | F.coalesce(F.col("_best.km") <= certain, F.lit(False)))
-            .drop("_new")
-        )
-
-    answers = state.select(
-        F.col("_lat").alias(lat),
-        F.col("_lon").alias(lon),
-        F.col("_best.key").alias(out),
-        F.col("_best.km").alias(distance),
+    looking = sites.withColumns(sphere).withColumn("cube", F.explode(top))
+    for level in range(depth + 1):
+        boxes = _boxes(distinct_places, level)
+        step = F.col("cube") if level == 0 else F.col("parent")
+        boxes = boxes.withColumn("inside", step).withColumnRenamed("cube", "child").drop("parent")
+        opened = looking.join(boxes, F.col("cube") == F.col("inside")).drop("cube", "inside")
+        looking = _prune(opened.withColumnRenamed("child", "cube"))
+
+    held = distinct_places.withColumn("held_in", _cube(depth, _axes())).drop(*_AXES)
+    compared = looking.join(held, F.col("cube") == F.col("held_in"))
+    km = F.round(haversine_km(F.col("lat"), F.col("lon"), F.col("place_lat"), F.col("place_lon")), 6)
+    answers = compared.groupBy("lat", "lon").agg(F.min(F.struct(km.alias("km"), "key")).alias("best"))
+    answers = answers.select(
+        F.col("lat").alias(lat), F.col("lon").alias(lon), F.col("best.key").alias(out), F.col("best.km").alias(distance)
     )
     return join_groups(df, answers, [lat, lon])

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.feature import BucketedRandomProjectionLSH, QuantileDiscretizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,35 +35,31 @@ def vector_copies(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 def _orders(points: DataFrame, orders: int, directions: int, seed: int) -> DataFrame:
     """(key, order, code): the place of each vector on each space-filling order."""
+    n = orders * directions
     hashing = BucketedRandomProjectionLSH(
-        inputCol="vector", outputCol="hashes", numHashTables=orders * directions, bucketLength=_FINE_BUCKET, seed=seed
+        inputCol="vector", outputCol="hashes", numHashTables=n, bucketLength=_FINE_BUCKET, seed=seed
     )
-    names = [f"p{i}" for i in range(orders * directions)]
     hashed = hashing.fit(points).transform(points)
-    along = hashed.select(
-        "key", *[vector_to_array(F.get("hashes", F.lit(i)))[0].alias(n) for i, n in enumerate(names)]
-    )
-    shares = [i / 2**_BITS for i in range(1, 2**_BITS)]
-    cuts = along.agg(*[F.percentile_approx(n, shares, 1000).alias(n) for n in names]).first()
-
-    def rank(name: str) -> Column:
-        total = F.lit(0)
-        for cut in cuts[name]:
-            total = total + (F.col(name) > cut).cast("int")
-        return total.alias(name)
+    along, ranks = [f"p{i}" for i in range(n)], [f"r{i}" for i in range(n)]
+    hashed = hashed.select("key", *[vector_to_array(F.get("hashes", F.lit(i)))[0].alias(c) for i, c in enumerate(along)])
+    # Only the cut points, ranks × directions numbers, come to the driver.
+    ranking = QuantileDiscretizer(inputCols=along, outputCols=ranks, numBuckets=2**_BITS, relativeError=0.001)
+    ranked = ranking.fit(hashed).transform(hashed)
 
-    ranks = along.select("key", *[rank(n) for n in names])
+    def spread(direction: int) -> list[int]:
+        """Each rank with its bits moved apart, to make room for the other directions."""
+        place = lambda bit: bit * directions + directions - 1 - direction
+        return [sum(((rank >> bit) & 1) << place(bit) for bit in range(_BITS)) for rank in range(2**_BITS)]
 
     def code(order: int) -> Column:
         total = F.lit(0).cast("bigint")
-        for bit in range(_BITS - 1, -1, -1):
-            for d in range(directions):
-                bit_value = F.shiftright(names[order * directions + d], bit).bitwiseAND(1)
-                total = total * 2 + bit_value
+        for direction in range(directions):
+            rank = F.col(ranks[order * directions + direction]).cast("int")
+            total = total + F.get(F.lit(spread(direction)).cast("array<bigint>"), rank)
         return total
 
     codes = F.array(*[F.struct(F.lit(o).alias("order"), code(o).alias("code")) for o in range(orders)])
-    return ranks.select("key", F.explode(codes).alias("place")).select("key", "place.*")
+    return ranked.select("key", F.explode(codes).alias("place")).select("key", "place.*")
 
 
 def nearest_neighbours(

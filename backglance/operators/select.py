@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA, PCAModel, UnivariateFeatureSelector, VectorAssembler
-from pyspark.ml.stat import ANOVATest, ChiSquareTest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +31,37 @@ def select_features(train: DataFrame, test: DataFrame, kind: str = "continuous",
     return narrow(train), narrow(test), list(model.selectedFeatures)
 
 
-def _named(tests: DataFrame, names: Sequence[str], statistic: str) -> DataFrame:
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("featureIndex") + 1)
-    return tests.select(
-        label.alias("column_name"),
-        F.col(statistic).alias("statistic"),
-        F.col("degreesOfFreedom").cast("bigint").alias("degrees"),
-        F.col("pValue").alias("p_value"),
-    )
+def _name_of(position, names: Sequence[str]):
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position + 1).alias("column_name")
 
 
 def anova_statistics(df: DataFrame, features: str, label: str, names: Sequence[str]) -> DataFrame:
-    """F statistic per feature against a categorical label."""
-    return _named(ANOVATest.test(df, features, label, flatten=True), names, "fValue")
+    """F statistic per feature against a categorical label.
+
+    One pass gives count, mean and variance of every feature per class; the rest works on
+    that classes × features table.
+    """
+    metrics = Summarizer.metrics("count", "mean", "variance").summary(F.col(features)).alias("s")
+    classes = df.groupBy(label).agg(metrics)
+    moments = F.arrays_zip(
+        vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("variance")
+    )
+    cells = classes.select(F.col("s.count").alias("n"), F.posexplode(moments).alias("i", "m"))
+    cells = cells.select("i", "n", "m.mean", "m.variance")
+    centre = F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+    overall = cells.groupBy("i").agg(
+        centre.alias("centre"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")
+    )
+    spread = F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)
+    sums = (
+        cells.join(overall, "i")
+        .groupBy("i", "rows", "classes")
+        .agg(F.sum(spread).alias("between"), F.sum((F.col("n") - 1) * F.col("variance")).alias("within"))
+    )
+    statistic = F.try_divide(
+        F.col("between") / (F.col("classes") - 1), F.col("within") / (F.col("rows") - F.col("classes"))
+    )
+    return sums.select(_name_of(F.col("i"), names), statistic.alias("statistic"), (F.col("rows") - 1).alias("degrees"))
 
 
 def chi_square_statistics(df: DataFrame, categorical: Sequence[str], label: str) -> DataFrame:
@@ -51,7 +70,12 @@ def chi_square_statistics(df: DataFrame, categorical: Sequence[str], label: str)
     indexed = index_categories(df.withColumn(label, F.col(label).cast("string")), [*names, label])
     vectors = VectorAssembler(inputCols=[c + "_index" for c in names], outputCol="features").transform(indexed)
     tests = ChiSquareTest.test(vectors, "features", f"{label}_index", flatten=True)
-    return _named(tests, names, "statistic")
+    return tests.select(
+        _name_of(F.col("featureIndex"), names),
+        "statistic",
+        F.col("degreesOfFreedom").cast("bigint").alias("degrees"),
+        F.col("pValue").alias("p_value"),
+    )
 
 
 def principal_components(train: DataFrame, k: int, features: str = "features") -> tuple[PCAModel, DataFrame]:
