@@ -14,11 +14,18 @@ def _column(value: str | Column) -> Column:
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
-    """Microseconds since 1970 for a timestamp column with or without time zone."""
+    """Microseconds since 1970 for a timestamp column.
+
+    A column without time zone is read field by field, because Spark's difference
+    functions would first take it through the session time zone.
+    """
+    ts = F.col(name)
     if isinstance(df.schema[name].dataType, T.TimestampType):
-        return F.unix_micros(F.col(name))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, F.col(name).cast("timestamp_ntz"))
+        return F.unix_micros(ts)
+    ts = ts.cast("timestamp_ntz")
+    minutes = F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    fraction = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return minutes * 60_000_000 + fraction
 
 
 def hhmm_to_timestamp(day: str | Column, hhmm: str | Column) -> Column:
@@ -39,9 +46,9 @@ def shift_zone(ts: str | Column, zone: str | Column, to_utc: bool = True) -> Col
     return F.convert_timezone(zone, utc, ts) if to_utc else F.convert_timezone(utc, zone, ts)
 
 
-def hours_between(later: str | Column, earlier: str | Column) -> Column:
+def hours_between(df: DataFrame, later: str, earlier: str) -> Column:
     """Hours from ``earlier`` to ``later`` with microsecond precision."""
-    return F.timestamp_diff("MICROSECOND", _column(earlier), _column(later)) / F.lit(float(MICROS_PER_HOUR))
+    return (epoch_micros(df, later) - epoch_micros(df, earlier)) / F.lit(float(MICROS_PER_HOUR))
 
 
 def with_time_parts(df: DataFrame, ts: str, hour: str = "hour", minute: str = "minute") -> DataFrame:
@@ -50,5 +57,5 @@ def with_time_parts(df: DataFrame, ts: str, hour: str = "hour", minute: str = "m
 
 def time_levels(ts: str | Column) -> list[Column]:
     """Month and day of a timestamp: the coarse levels used for running totals over time."""
-    ts = _column(ts)
-    return [F.date_trunc("month", ts), F.date_trunc("day", ts)]
+    day = F.to_date(_column(ts))
+    return [F.trunc(day, "month"), day]

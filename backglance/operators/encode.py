@@ -31,6 +31,7 @@ def require_few_categories(df: DataFrame, names: Sequence[str], limit: int = MAX
 
 def index_categories(df: DataFrame, names: Sequence[str], suffix: str = "_index") -> DataFrame:
     """Index by falling frequency, ties by value; unseen values and nulls share the last index."""
+    require_few_categories(df, names)
     return _indexer(names, suffix).fit(df).transform(df)
 
 

@@ -31,5 +31,15 @@ def lookup(df: DataFrame, dimension: DataFrame, on: dict[str, str], columns: Ite
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: Iterable[str]) -> DataFrame:
-    """Rows of ``left`` whose key does not occur in ``right``."""
-    return left.join(right, list(on), "left_anti")
+    """Rows of ``left`` whose key does not occur in ``right``.
+
+    The right keys are made distinct before the shuffle, so a hot key there is one row.
+    """
+    on = list(on)
+    return left.join(right.select(*on).distinct(), on, "left_anti")
+
+
+def key_difference(left: DataFrame, right: DataFrame, on: Iterable[str]) -> DataFrame:
+    """Distinct keys of ``left`` that ``right`` does not have."""
+    on = list(on)
+    return unmatched(left.select(*on).distinct(), right, on)

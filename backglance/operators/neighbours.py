@@ -20,6 +20,7 @@ from backglance.functions.vectors import as_array
 from backglance.operators.positions import dense_index
 from backglance.operators.quality import require_columns
 from backglance.operators.windows import top_k_per_group
+from backglance.sources.tables import pin
 
 _BITS = 4  # 16 ranks along each direction
 # Buckets so narrow that the hash is the projection itself; ranks replace the bucket length.
@@ -79,7 +80,8 @@ def nearest_neighbours(
     require_columns(df, [key, vector])
     points = df.select(F.col(key).alias("key"), as_array(df, vector).alias("values"))
     copies = vector_copies(points, "key", "values")
-    points = points.join(copies.where("key = representative").select("key"), "key")
+    # Read by several jobs below: written once instead of worked out again each time.
+    points = pin(points.join(copies.where("key = representative").select("key"), "key"))
     n_points = points.count()
     schema = f"key {_sql_type(points)}, neighbour {_sql_type(points)}, distance double"
     if n_points < 2:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from backglance.operators.joins import join_groups
 from backglance.operators.quality import require_columns
-from backglance.session import ensure_checkpoint_dir
+from backglance.sources.tables import pin
 
 
 def running_totals(
@@ -98,19 +98,16 @@ def global_percent_rank(
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "index") -> DataFrame:
     """0, 1, 2 ... in the given order, which must be unique.
 
-    One range shuffle by the whole order key; the sorted ranges are checkpointed, so that
-    sizes and rows come from the same ranges even when executors are lost.
+    One range shuffle by the whole order key.  The sorted ranges are written once, so that
+    sizes and rows come from the same ranges; counting them reads one narrow column.
     """
     require_columns(df, order)
-    ensure_checkpoint_dir(df.sparkSession)
     low = (1 << 33) - 1  # monotonically_increasing_id keeps the place in its range in 33 bits
-    ranges = (
+    place = F.col("_place")
+    ranges = pin(
         df.orderBy(*order)
         .withColumn("_place", F.monotonically_increasing_id())
-        .withColumns(
-            {"_range": F.shiftright("_place", 33).cast("int"), "_place": F.col("_place").bitwiseAND(low)}
-        )
-        .checkpoint()
+        .withColumns({"_range": F.shiftright(place, 33).cast("int"), "_place": place.bitwiseAND(low)})
     )
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = running_totals(sizes, ["_range"], ["_n"]).select("_range", F.col("_n_before").alias("_start"))

@@ -230,12 +230,12 @@ FROM events
 """)
 def time_parts(spark, folder):
     parts = with_time_parts(load_table(spark, folder, "events"), "ts")
-    midnight = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    parts = parts.withColumn("midnight", F.to_date("ts").cast("timestamp_ntz"))
     return parts.select(
         "event_id",
         F.col("hour").cast("bigint").alias("hour"),
         F.col("minute").cast("bigint").alias("minute"),
-        F.round(hours_between("ts", midnight), 6).alias("hours"),
+        F.round(hours_between(parts, "ts", "midnight"), 6).alias("hours"),
     )
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from backglance.operators.joins import lookup, unmatched
+from backglance.operators.joins import key_difference, lookup, unmatched
 from backglance.operators.lookback import lookback_join, with_match_flag
 from backglance.operators.nearest import nearest_site
 from backglance.operators.windows import first_per_group
@@ -168,4 +168,4 @@ def union_of_keys(spark, folder):
 def set_difference(spark, folder):
     line = load_table(spark, folder, "lineitem")
     returned = line.where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("key"))
-    return line.select(F.col("l_partkey").alias("key")).subtract(returned)
+    return key_difference(line.select(F.col("l_partkey").alias("key")), returned, ["key"])

@@ -193,7 +193,7 @@ def staged_counts(spark, folder):
     orders = load_table(spark, folder, "orders")
     open_orders = orders.where(F.col("o_orderstatus") != "P").withColumn("order_year", F.year("o_orderdate"))
     path = f"{ensure_checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
-    staged = stage(open_orders.repartition("order_year"), path, partition_by=["order_year"])
+    staged = stage(open_orders, path, partition_by=["order_year"])
     return audit_counts(
         {"orders": orders, "staged": staged, "staged_year": staged.where(F.col("order_year") == 1997)}
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from backglance.session import ensure_checkpoint_dir
+
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -20,12 +23,24 @@ def load_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
 def stage(df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "errorifexists") -> DataFrame:
     """Write a step as Parquet and go on from the files.
 
-    Cuts the lineage; partition columns give later steps partition pruning.
+    Cuts the lineage; partition columns give later steps partition pruning.  The rebalance
+    hint gathers each partition value into few files and splits a hot value over tasks.
     """
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    partition_by = list(partition_by)
+    writer = df.hint("rebalance", *partition_by) if partition_by else df
+    writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """The same rows from files in the shared checkpoint folder.
+
+    For rows that several later jobs must see unchanged even when executors are lost.
+    Unlike a checkpointed RDD the files keep column pruning.
+    """
+    return stage(df, f"{ensure_checkpoint_dir(df.sparkSession)}/pinned-{uuid.uuid4().hex}")
+
+
 def audit_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """One row per step with its row count, counted in one job."""
     counts = [
