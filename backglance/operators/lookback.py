@@ -40,9 +40,10 @@ def lookback_join(
 ) -> DataFrame:
     """Events with ``observation_time``, ``observation_key``, ``columns`` and the gap in hours.
 
-    ``on`` names columns both sides have.  ``observation_key`` is unique per observation;
-    the smallest key wins among observations of one time.  ``same_day`` also asks for
-    equal calendar days.  ``slot_hours`` defaults to ``max_hours - min_hours``; smaller slots suit very dense keys.
+    ``on`` names columns both sides have.  ``observation_key`` tells observations of one
+    time apart; the smallest wins, and copies with equal key and time count once.
+    ``same_day`` also asks for equal calendar days.  ``slot_hours`` defaults to
+    ``max_hours - min_hours``; smaller slots suit keys with very many distinct times.
     """
     on = list(on)
     carried = [observation_time, observation_key, *columns]
@@ -94,14 +95,15 @@ def lookback_join(
         .select(*keys, "_at", F.col("_found.at").alias("_seen_at"), F.col("_found.key").alias("_key"))
     )
 
-    wide = right.withColumnsRenamed({k: f"_w_{k}" for k in [*keys, "_at"]})
+    # Copies of an observation count once.  They are gathered by the key the join below
+    # needs anyway, so this adds no shuffle.
+    at_key = [*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_at").alias("_w_at"), F.col(observation_key).alias("_w_key")]
+    values = [c for c in carried if c != observation_key]
+    wide = right.groupBy(*at_key).agg(F.min(F.struct(*values)).alias("_values"))
     same = [F.col(k) == F.col(f"_w_{k}") for k in keys]
-    matched = (
-        answers.join(
-            wide,
-            [*same, F.col("_seen_at") == F.col("_w__at"), F.col("_key") == F.col(observation_key)],
-        )
-        .drop(*[f"_w_{k}" for k in [*keys, "_at"]], "_key")
+    matched = answers.join(wide, [*same, F.col("_seen_at") == F.col("_w_at"), F.col("_key") == F.col("_w_key")])
+    matched = matched.select(
+        *keys, "_at", "_seen_at", *[F.col(f"_values.{c}").alias(c) for c in values], F.col("_key").alias(observation_key)
     )
     hours = (F.col("_at") - F.col("_seen_at") + least) / F.lit(float(MICROS_PER_HOUR))
     matched = matched.withColumn(gap, hours).drop("_seen_at")

@@ -66,6 +66,12 @@ def test_ties_take_the_smallest_key_and_duplicates_stay(spark):
     assert run(spark, events, seen) == {1: (2.5, 3), 2: (2.5, 3)}
 
 
+def test_copies_of_an_observation_do_not_multiply_events(spark):
+    events = [(1, "a", hours(10)), (2, "a", hours(10.5))]
+    seen = [("a", hours(7.5), 3, 2.0)] * 50
+    assert run(spark, events, seen) == {1: (2.5, 3), 2: (3.0, 3)}
+
+
 def test_day_edge(spark):
     events, seen = [(1, "a", hours(24.5))], [("a", hours(22), 7, 1.0)]
     assert run(spark, events, seen) == {1: (2.5, 7)}
