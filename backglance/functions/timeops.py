@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICROS_PER_HOUR = 3_600_000_000
+_UTC = ("UTC", "Etc/UTC", "Z", "GMT")
 
 
 def _column(value: str | Column) -> Column:
@@ -16,12 +17,13 @@ def _column(value: str | Column) -> Column:
 def epoch_micros(df: DataFrame, name: str) -> Column:
     """Microseconds since 1970 for a timestamp column.
 
-    A column without time zone is read field by field, because Spark's difference
-    functions would first take it through the session time zone.
+    Spark counts microseconds of a column without time zone by way of the session time
+    zone, which is right in UTC only; elsewhere the fields are read one by one.
     """
     ts = F.col(name)
-    if isinstance(df.schema[name].dataType, T.TimestampType):
-        return F.unix_micros(ts)
+    utc = df.sparkSession.conf.get("spark.sql.session.timeZone") in _UTC
+    if utc or isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.unix_micros(ts.cast("timestamp"))
     ts = ts.cast("timestamp_ntz")
     minutes = F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
     fraction = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")

@@ -36,12 +36,14 @@ def lookback_join(
     max_hours: float = 4.0,
     same_day: bool = False,
     slot_hours: float | None = None,
+    unique_key: bool = False,
     gap: str = "gap_hours",
 ) -> DataFrame:
     """Events with ``observation_time``, ``observation_key``, ``columns`` and the gap in hours.
 
     ``on`` names columns both sides have.  ``observation_key`` tells observations of one
-    time apart; the smallest wins, and copies with equal key and time count once.
+    time apart; the smallest wins, and copies with equal key and time count once.  Say
+    ``unique_key`` when there are no copies: that spares a pass over the wide columns.
     ``same_day`` also asks for equal calendar days.  ``slot_hours`` defaults to
     ``max_hours - min_hours``; smaller slots suit keys with very many distinct times.
     """
@@ -61,16 +63,16 @@ def lookback_join(
 
     keys = on + (["_day"] if same_day else [])
     left = events.withColumn("_at", epoch_micros(events, event_time))
-    right = observations.select(*on, *carried).withColumn("_at", epoch_micros(observations, observation_time) + least)
+    right = observations.select(*on, *carried).dropna(subset=[*on, observation_time, observation_key])
+    right = right.withColumn("_at", epoch_micros(observations, observation_time) + least)
     if same_day:
         left = left.withColumn("_day", F.to_date(event_time))
         right = right.withColumn("_day", F.to_date(observation_time))
 
     slot_of = (F.col("_at") - F.pmod(F.col("_at"), F.lit(slot))).alias("_slot")
-    asked = left.select(*keys, slot_of, "_at").dropna().distinct()
+    asked = left.dropna(subset=[*on, event_time]).select(*keys, slot_of, "_at").distinct()
     seen = (
         right.select(*keys, slot_of, "_at", observation_key)
-        .dropna()
         .groupBy(*keys, "_slot", "_at")
         .agg(F.min(observation_key).alias("_key"))
     )
@@ -95,11 +97,15 @@ def lookback_join(
         .select(*keys, "_at", F.col("_found.at").alias("_seen_at"), F.col("_found.key").alias("_key"))
     )
 
-    # Copies of an observation count once.  They are gathered by the key the join below
-    # needs anyway, so this adds no shuffle.
-    at_key = [*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_at").alias("_w_at"), F.col(observation_key).alias("_w_key")]
     values = [c for c in carried if c != observation_key]
-    wide = right.groupBy(*at_key).agg(F.min(F.struct(*values)).alias("_values"))
+    at_key = [
+        *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_at").alias("_w_at"), F.col(observation_key).alias("_w_key")
+    ]
+    if unique_key:
+        wide = right.select(*at_key, F.struct(*values).alias("_values"))
+    else:
+        # Copies are gathered by the key the join below needs anyway, so this adds no shuffle.
+        wide = right.groupBy(*at_key).agg(F.min(F.struct(*values)).alias("_values"))
     same = [F.col(k) == F.col(f"_w_{k}") for k in keys]
     matched = answers.join(wide, [*same, F.col("_seen_at") == F.col("_w_at"), F.col("_key") == F.col("_w_key")])
     matched = matched.select(

@@ -43,7 +43,7 @@ def _lookback_sql(extra: str = "") -> str:
 def _lookback(spark, folder, **options):
     bought, seen = _purchases(spark, folder)
     return lookback_join(
-        bought, seen, ["user_id"], "ts", "seen_at", "seen_id", ["seen_type", "seen_value"], **options
+        bought, seen, ["user_id"], "ts", "seen_at", "seen_id", ["seen_type", "seen_value"], unique_key=True, **options
     )
 
 

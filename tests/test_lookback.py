@@ -86,7 +86,7 @@ def test_nulls_and_empty_sides(spark):
     assert run(spark, [], seen) == {}
 
 
-@pytest.mark.parametrize("options", [{}, {"slot_hours": 0.25}, {"slot_hours": 7.0}, {"same_day": True}])
+@pytest.mark.parametrize("options", [{}, {"unique_key": True}, {"slot_hours": 0.25}, {"slot_hours": 7.0}, {"same_day": True}])
 def test_random_tables_with_a_hot_key(spark, options):
     draw = random.Random(5)
     place = lambda: "hot" if draw.random() < 0.4 else f"p{draw.randrange(6)}"
