@@ -15,16 +15,25 @@ from backglance.operators.quality import require_columns
 MAX_CATEGORIES = 100_000
 
 
+def require_few_categories(df: DataFrame, names: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    _check(df, None, names, limit)
+
+
 def require_two_classes(df: DataFrame, target: str) -> None:
-    if df.agg(F.count_distinct(target)).first()[0] != 2:
-        raise ValueError(f"{target} must have exactly 2 classes")
+    _check(df, target, (), MAX_CATEGORIES)
 
 
-def require_few_categories(df: DataFrame, names: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    if not names:
+def _check(df: DataFrame, target: str | None, categorical: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    """Both guards in one pass."""
+    counts = [F.approx_count_distinct(c).alias(f"n_{c}") for c in categorical]
+    if target is not None:
+        counts.append(F.count_distinct(target).alias("classes"))
+    if not counts:
         return
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first().asDict()
-    wide = [c for c, n in counts.items() if n > limit]
+    found = df.agg(*counts).first().asDict()
+    if target is not None and found["classes"] != 2:
+        raise ValueError(f"{target} must have exactly 2 classes")
+    wide = [c for c in categorical if found[f"n_{c}"] > limit]
     if wide:
         raise ValueError(f"too many distinct values to index: {', '.join(wide)}")
 
@@ -78,8 +87,7 @@ def prepare(
     numeric = [c for c in numeric if c != target]
     categorical = [c for c in categorical if c != target]
     require_columns(train, [*numeric, *categorical, target])
-    require_two_classes(train, target)
-    require_few_categories(train, categorical)
+    _check(train, target, categorical)
     model = Pipeline(stages=encoding_stages(numeric, categorical, suffix, centre)).fit(train)
     used = set(numeric) | set(categorical) | {target}
     kept = [c for c in train.columns if c not in used]

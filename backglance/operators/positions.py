@@ -1,20 +1,23 @@
 """Ranks, running totals and row numbers over a whole table without one big task.
 
-Two ways, both exact:
+Three ways, all exact:
 
 * ``running_totals`` first collapses rows to groups, then adds up level by level
   (month, day, exact time, ...).  A window only ever sees the distinct values of one
   level under one parent, so equal rows, however many, cost nothing.
 * ``dense_index`` range-sorts by a unique order, so that even one hot time is spread
   over tasks, and adds the sizes of the ranges before.
+* ``keys_at`` finds the keys at a few places by counting ever finer groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from backglance.operators.joins import join_groups
 from backglance.operators.quality import require_columns
@@ -119,6 +122,79 @@ def dense_index(df: DataFrame, order: Sequence[str], out: str = "index") -> Data
     )
 
 
+def keys_at(
+    df: DataFrame, order: Sequence[str], wanted: Iterable[int], levels: Sequence[Column] = ()
+) -> dict[int, list[Column | None]]:
+    """The order keys at some places (0-based) of the sorted table, as literals; null is None.
+
+    Counts the coarsest level, opens only the groups that hold a wanted place, counts the
+    next level in them, and so on.  No row is sorted or shuffled, and one line per wanted
+    place comes to the driver.  Reads the order columns once per level.
+    """
+    require_columns(df, order)
+    names = [f"_level{i}" for i in range(len(levels))] + list(order)
+    slim = df.select(*[c.alias(n) for n, c in zip(names, levels)], *order)
+    types = [f.dataType for f in slim.schema.fields]
+    paths: dict[int, list] = {place: [] for place in wanted}
+    rest = {place: place for place in paths}
+    for depth, name in enumerate(names):
+        on_path = {p: _all_equal(names[:depth], path) for p, path in paths.items()}
+        opened = slim.where(_any_of(on_path.values())) if depth else slim
+        groups = opened.groupBy(*names[: depth + 1]).agg(F.count(F.lit(1)).alias("_n"))
+        totals = running_totals(groups, [name], ["_n"], by=names[:depth])
+        holds = {
+            p: on_path[p] & (F.col("_n_before") <= rest[p]) & (F.col("_n_before") + F.col("_n") > rest[p]) for p in paths
+        }
+        lines = totals.select(
+            F.explode(F.array(*[F.when(h, F.lit(p).cast("bigint")) for p, h in holds.items()])).alias("_place"),
+            F.col(name).alias("_value"),
+            "_n_before",
+        )
+        for line in lines.where(F.col("_place").isNotNull()).collect():
+            place = line["_place"]
+            paths[place].append(_literal(line["_value"], types[depth]))
+            rest[place] -= line["_n_before"]
+        paths = {p: path for p, path in paths.items() if len(path) > depth}
+    return {p: path[len(levels):] for p, path in paths.items()}
+
+
+def _literal(value, data_type: T.DataType) -> Column | None:
+    if value is None:
+        return None
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(data_type)  # as text: no detour through a time zone
+    return F.lit(value).cast(data_type)
+
+
+def _all_equal(names: Sequence[str], values: Sequence[Column | None]) -> Column:
+    equal = [F.col(n).isNull() if v is None else F.col(n) == v for n, v in zip(names, values)]
+    return reduce(lambda a, b: a & b, equal, F.lit(True))
+
+
+def _any_of(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def up_to(order: Sequence[str], key: Sequence[Column | None]) -> Column:
+    """Rows that sort at or before the key, nulls first, in comparisons a scan can use."""
+    column, value, rest = F.col(order[0]), key[0], len(order) > 1
+    if value is None:
+        return column.isNull() & up_to(order[1:], key[1:]) if rest else column.isNull()
+    if not rest:
+        return column.isNull() | (column <= value)
+    return column.isNull() | (column < value) | ((column == value) & up_to(order[1:], key[1:]))
+
+
+def after(order: Sequence[str], key: Sequence[Column | None]) -> Column:
+    """Rows that sort after the key."""
+    column, value, rest = F.col(order[0]), key[0], len(order) > 1
+    later = column.isNotNull() if value is None else column > value
+    if not rest:
+        return later
+    equal = column.isNull() if value is None else column == value
+    return later | (equal & after(order[1:], key[1:]))
+
+
 def quantile_rows(df: DataFrame, names: Sequence[str], share: float = 0.5) -> DataFrame:
     """Exact discrete quantile of each numeric column: the smallest value with at least ``share`` at or below it.
 

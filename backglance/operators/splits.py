@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from backglance.functions.hashing import unit_hash
-from backglance.operators.positions import _percent_ranks, dense_index
+from backglance.operators.positions import after, keys_at, up_to
 from backglance.operators.quality import require_columns
 
 
@@ -22,40 +23,25 @@ def time_split(
     plain comparisons, which reach the Parquet scan.
     """
     require_columns(df, order)
-    ranked = _percent_ranks(df, order, levels, "_share").where(F.col("_share") <= fraction)
-    cut = ranked.agg(F.max(F.struct(*order)).alias("cut")).first()["cut"]
-    if cut is None:
-        return df, df.where(F.lit(False))
-    values = [_literal(cut[c], df.schema[c].dataType) for c in order]
-    return df.where(_up_to(order, values)), df.where(_after(order, values))
-
-
-def _literal(value, data_type: T.DataType) -> Column | None:
-    if value is None:
-        return None
-    if isinstance(data_type, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(data_type)  # as text: no detour through a time zone
-    return F.lit(value).cast(data_type)
-
-
-def _up_to(order: Sequence[str], cut: Sequence[Column | None]) -> Column:
-    """Rows that sort at or before the cut, nulls first, in comparisons a scan can use."""
-    column, value, rest = F.col(order[0]), cut[0], len(order) > 1
-    if value is None:
-        return column.isNull() & _up_to(order[1:], cut[1:]) if rest else column.isNull()
-    if not rest:
-        return column.isNull() | (column <= value)
-    return column.isNull() | (column < value) | ((column == value) & _up_to(order[1:], cut[1:]))
-
-
-def _after(order: Sequence[str], cut: Sequence[Column | None]) -> Column:
-    """Rows that sort after the cut."""
-    column, value, rest = F.col(order[0]), cut[0], len(order) > 1
-    later = column.isNotNull() if value is None else column > value
-    if not rest:
-        return later
-    equal = column.isNull() if value is None else column == value
-    return later | (equal & _after(order[1:], cut[1:]))
+    n_rows = df.count()
+    if n_rows < 2 or not 0 <= fraction < 1:
+        everything = n_rows == 0 or fraction >= 0
+        return df.where(F.lit(everything)), df.where(F.lit(not everything))
+    last = int(fraction * (n_rows - 1))
+    # Compare as percent_rank does, whatever the product above was rounded to.
+    while (last + 1) / (n_rows - 1) <= fraction:
+        last += 1
+    while last / (n_rows - 1) > fraction:
+        last -= 1
+    cut = keys_at(df, order, [last], levels)[last]
+    return df.where(up_to(order, cut)), df.where(after(order, cut))
+
+
+def fold_bounds(n_rows: int, folds: int, train_fraction: float, gap: int) -> list[tuple[int, int, int]]:
+    """(first row, first row of the gap, first row of the test part) of each block, and the end."""
+    starts = [-(-f * n_rows // folds) for f in range(folds + 1)]
+    cuts = [a + math.floor((b - a) * train_fraction) for a, b in zip(starts, starts[1:])]
+    return [(a, max(a, cut - gap), cut) for a, cut in zip(starts, cuts)]
 
 
 def blocked_folds(
@@ -64,28 +50,35 @@ def blocked_folds(
     folds: int = 3,
     train_fraction: float = 0.8,
     gap: int = 0,
-    index: str = "index",
+    levels: Sequence[Column] = (),
 ) -> DataFrame:
     """Consecutive blocks in time, each cut into an early ``train`` and a late ``test`` part.
 
-    Adds ``index``, ``fold`` and ``part``.  The last ``gap`` training rows of each block are
-    marked ``gap`` and belong to neither.
+    Adds ``fold`` and ``part``.  ``order`` must be unique.  The last ``gap`` training rows of
+    each block are marked ``gap`` and belong to neither.  Rows are told apart by comparison
+    with the few keys at the bounds; none is sorted or moved.
     """
-    indexed = dense_index(df, order, index)
-    return assign_folds(indexed, indexed.count(), folds, train_fraction, gap, index)
-
-
-def assign_folds(
-    indexed: DataFrame, n_rows: int, folds: int = 3, train_fraction: float = 0.8, gap: int = 0, index: str = "index"
-) -> DataFrame:
-    """Fold and part of each row by arithmetic on its index."""
-    position = F.col(index)
-    fold = F.least(F.floor(position * folds / F.lit(max(n_rows, 1))), F.lit(folds - 1)).cast("int")
-    first = lambda f: F.ceil(f * n_rows / folds)
-    begin, end = first(F.col("fold")), first(F.col("fold") + 1)
-    cut = begin + F.floor((end - begin) * train_fraction)
-    part = F.when(position >= cut, "test").when(position >= cut - gap, "gap").otherwise("train")
-    return indexed.withColumn("fold", fold).withColumn("part", part)
+    n_rows = df.count()
+    bounds = fold_bounds(n_rows, folds, train_fraction, gap)
+    places = {place for block in bounds for place in block if 0 < place < n_rows}
+    keys = keys_at(df, order, places, levels)
+
+    def from_place(place: int) -> Column:
+        if place not in keys:
+            return F.lit(place <= 0)
+        return F.coalesce(~up_to(order, keys[place]) | _equal(order, keys[place]), F.lit(False))
+
+    fold = sum((from_place(first).cast("int") for first, _, _ in bounds[1:]), F.lit(0))
+    part = F.lit("train")
+    for number, (_, gap_start, cut) in enumerate(bounds):
+        late = F.when(from_place(cut), "test").when(from_place(gap_start), "gap").otherwise("train")
+        part = F.when(F.col("fold") == number, late).otherwise(part)
+    return df.withColumn("fold", fold).withColumn("part", part)
+
+
+def _equal(order: Sequence[str], key: Sequence[Column | None]) -> Column:
+    equal = [F.col(n).isNull() if v is None else F.col(n).eqNullSafe(v) for n, v in zip(order, key)]
+    return reduce(lambda a, b: a & b, equal)
 
 
 def repeatable_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:

@@ -151,7 +151,7 @@ def to_vectors(
 
 def score_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS)) -> DataFrame:
     """One line per classifier: fold score of the best parameter, accuracy and area on the test rows."""
-    folded = splits.blocked_folds(train, ["DEPARTURE_UTC", key], fixed.FOLDS, fixed.TRAIN_FRACTION)
+    folded = splits.blocked_folds(train, ["DEPARTURE_UTC", key], fixed.FOLDS, fixed.TRAIN_FRACTION, levels=time_levels("DEPARTURE_UTC"))
     lines = []
     for name in names:
         build, parameters = models.CLASSIFIERS[name]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from backglance.functions.timeops import time_levels
 from backglance.functions.vectors import add, as_array, between_points, scale, subtract
 from backglance.operators import balance, encode, evaluate, models, neighbours, select, splits
+from backglance.operators.joins import lookup
 from backglance.slate.registry import query
 from backglance.sources.tables import load_table
 
@@ -175,19 +176,21 @@ def standardise(spark, folder):
 
 
 def _order_split(spark, folder):
-    orders = load_table(spark, folder, "orders")
-    customer = load_table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    rows = joined.select(
-        "o_orderkey",
-        "o_orderdate",
-        "o_totalprice",
-        "c_acctbal",
-        "o_orderpriority",
-        "c_mktsegment",
-        (F.col("o_orderstatus") == "F").cast("int").alias("finished"),
+    """Orders cut in time order, each part then joined with its customers."""
+    parts = splits.time_split(load_table(spark, folder, "orders"), ["o_orderdate"], 0.8, time_levels("o_orderdate"))
+    customer = load_table(spark, folder, "customer")
+    return tuple(
+        lookup(part, customer, {"o_custkey": "c_custkey"}, ["c_mktsegment", "c_acctbal"]).select(
+            "o_orderkey",
+            "o_orderdate",
+            "o_totalprice",
+            "c_acctbal",
+            "o_orderpriority",
+            "c_mktsegment",
+            (F.col("o_orderstatus") == "F").cast("int").alias("finished"),
+        )
+        for part in parts
     )
-    return splits.time_split(rows, ["o_orderdate"], 0.8, time_levels("o_orderdate"))
 
 
 def _prepared(spark, folder, centre=False):
@@ -368,7 +371,8 @@ def logistic_baseline(spark, folder):
 
 def _folds(spark, folder):
     train, test = _model_rows(spark, folder)
-    folded = splits.blocked_folds(train, ["o_orderdate", "o_orderkey"], folds=3)
+    order = ["o_orderdate", "o_orderkey"]
+    folded = splits.blocked_folds(train, order, folds=3, levels=time_levels("o_orderdate"))
     return folded, train, test
 
 

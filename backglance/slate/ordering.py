@@ -151,15 +151,14 @@ WITH i AS (SELECT ts, event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS
      b AS (SELECT *, ceil(fold * n / 3) AS b0, ceil((fold + 1) * n / 3) AS b1 FROM f),
      c AS (SELECT *, b0 + floor((b1 - b0) * 0.8) AS cut FROM b)
 SELECT CAST(fold AS BIGINT) AS fold, CASE WHEN i >= cut THEN 'test' WHEN i >= cut - 10 THEN 'gap' ELSE 'train' END AS part,
-       count(*) AS n, CAST(min(i) AS BIGINT) AS first_index, CAST(max(i) AS BIGINT) AS last_index, min(ts) AS first_ts
+       count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
 FROM c GROUP BY 1, 2
 """)
 def blocked_folds(spark, folder):
     events = load_table(spark, folder, "events").select("event_id", "ts")
-    folded = splits.blocked_folds(events, ["ts", "event_id"], folds=3, train_fraction=0.8, gap=10)
+    folded = splits.blocked_folds(
+        events, ["ts", "event_id"], folds=3, train_fraction=0.8, gap=10, levels=time_levels("ts")
+    )
     return folded.groupBy(F.col("fold").cast("bigint").alias("fold"), "part").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("index").alias("first_index"),
-        F.max("index").alias("last_index"),
-        F.min("ts").alias("first_ts"),
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )

@@ -126,8 +126,9 @@ def test_time_split_reaches_the_scan(spark):
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 1000, 1001])
 def test_folds_cover_every_row_once(spark, n):
-    folded = splits.blocked_folds(spark.range(n), ["id"], folds=3, gap=5)
-    parts = folded.groupBy("fold", "part").agg(F.min("index").alias("a"), F.max("index").alias("b"), F.count("*").alias("n")).collect()
+    rows = spark.range(n).repartition(5)
+    folded = splits.blocked_folds(rows, ["id"], folds=3, gap=5, levels=[F.floor(F.col("id") / 100)])
+    parts = folded.groupBy("fold", "part").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n")).collect()
     assert sum(p["n"] for p in parts) == n
     for p in parts:
         assert p["b"] - p["a"] + 1 == p["n"]
@@ -137,6 +138,28 @@ def test_folds_cover_every_row_once(spark, n):
             assert abs(size["test"] - n / 15) <= 1 and size["gap"] == 5
 
 
+def test_folds_with_a_hot_time(rows):
+    folded = splits.blocked_folds(rows, ["at", "id"], folds=4, train_fraction=0.75, levels=time_levels("at"))
+    indexed = positions.dense_index(rows, ["at", "id"]).select("id", "index")
+    n = rows.count()
+    found = folded.join(indexed, "id").select("index", "fold", "part").collect()
+    assert len(found) == n
+    bounds = splits.fold_bounds(n, 4, 0.75, 0)
+    for r in found:
+        fold = max(f for f, (first, _, _) in enumerate(bounds) if r["index"] >= first)
+        assert r["fold"] == fold
+        assert r["part"] == ("test" if r["index"] >= bounds[fold][2] else "train")
+
+
+def test_keys_at_places(rows):
+    ordered = rows.orderBy("at", "id").collect()
+    places = [0, 1, 499, 500, 501, 1499]
+    found = positions.keys_at(rows, ["at", "id"], places, time_levels("at"))
+    for place in places:
+        line = rows.limit(1).select(*[F.lit(None) if k is None else k for k in found[place]]).first()
+        assert (line[0], line[1]) == (ordered[place]["at"], ordered[place]["id"])
+
+
 def test_sample_is_repeatable_and_about_right(spark):
     rows = spark.range(20000)
     a = splits.repeatable_sample(rows, "id", 0.1, seed=123)
