@@ -29,9 +29,11 @@ _FINE_BUCKET = 1e-6
 
 def vector_copies(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, representative): the smallest key among rows with the same vector."""
-    prints = df.select(F.col(key).alias("key"), F.md5(as_array(df, vector).cast("string").cast("binary")).alias("print"))
-    firsts = prints.groupBy("print").agg(F.min("key").alias("representative"))
-    return prints.join(firsts, "print").select("key", "representative")
+    values = F.transform(as_array(df, vector), lambda x: x + 0.0)  # -0.0 and 0.0 are one value
+    print_of = F.struct(*[F.xxhash64(F.lit(i), values).alias(f"h{i}") for i in (1, 2)])  # 128 bits
+    prints = df.select(F.col(key).alias("key"), print_of.alias("print")).select("key", "print.*")
+    firsts = prints.groupBy("h1", "h2").agg(F.min("key").alias("representative"))
+    return prints.join(firsts, ["h1", "h2"]).select("key", "representative")
 
 
 def _orders(points: DataFrame, orders: int, directions: int, seed: int) -> DataFrame:

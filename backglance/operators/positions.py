@@ -1,10 +1,11 @@
 """Ranks, running totals and row numbers over a whole table without one big task.
 
-Three ways, all exact:
+All exact:
 
 * ``running_totals`` first collapses rows to groups, then adds up level by level
   (month, day, exact time, ...).  A window only ever sees the distinct values of one
-  level under one parent, so equal rows, however many, cost nothing.
+  level under one parent, so equal rows, however many, cost nothing.  ``ordered_totals``
+  does the same for orders without levels by range-sorting the groups.
 * ``dense_index`` range-sorts by a unique order, so that even one hot time is spread
   over tasks, and adds the sizes of the ranges before.
 * ``keys_at`` finds the keys at a few places by counting ever finer groups.
@@ -64,13 +65,39 @@ def running_totals(
     return result.drop("_all")
 
 
+def ordered_totals(
+    groups: DataFrame, order: Sequence[str], measures: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """``running_totals`` for an order without coarse levels; the measures must not be negative.
+
+    The groups are range-sorted and written once; each range adds up by itself and then
+    gets the total of the ranges before.
+    """
+    by, order = list(by), list(order)
+    ranges = pin(groups.orderBy(*by, *order).withColumn("_range", F.spark_partition_id()))
+    before = [f"{m}_before" for m in measures]
+    earlier = Window.partitionBy("_range").orderBy(*by, *order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranges.withColumns({b: F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m, b in zip(measures, before)})
+    sizes = ranges.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures])
+    starts = running_totals(sizes, ["_range"], measures)
+    starts = starts.select("_range", *[F.col(b).alias(f"_s_{b}") for b in before])
+    # One line per sorted range: bounded by the number of shuffle partitions.
+    result = local.join(F.broadcast(starts), "_range").withColumns({b: F.col(b) + F.col(f"_s_{b}") for b in before})
+    result = result.drop("_range", *[f"_s_{b}" for b in before])
+    if by:
+        firsts = result.groupBy(*by).agg(*[F.min(b).alias(f"_f_{b}") for b in before])
+        result = join_groups(result, firsts, by).withColumns({b: F.col(b) - F.col(f"_f_{b}") for b in before})
+        result = result.drop(*[f"_f_{b}" for b in before])
+    return result
+
+
 def _tie_groups(df: DataFrame, order: Sequence[str], levels: Sequence[Column], by: Sequence[str]) -> DataFrame:
     """Rows per distinct order key, with the rows before it."""
-    names = [f"_level{i}" for i in range(len(levels))]
-    groups = df.groupBy(*by, *[c.alias(n) for n, c in zip(names, levels)], *order).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    return running_totals(groups, [*names, *order], ["_n"], by).drop(*names)
+    groups = df.groupBy(*by, *order).agg(F.count(F.lit(1)).alias("_n"))
+    if not levels:
+        return ordered_totals(groups, order, ["_n"], by)
+    coarse = {f"_level{i}": c for i, c in enumerate(levels)}
+    return running_totals(groups.withColumns(coarse), [*coarse, *order], ["_n"], by).drop(*coarse)
 
 
 def rank_within(
@@ -93,7 +120,11 @@ def _percent_ranks(df: DataFrame, order: Sequence[str], levels: Sequence[Column]
 def global_percent_rank(
     df: DataFrame, order: Sequence[str], levels: Sequence[Column] = (), out: str = "percent_rank"
 ) -> DataFrame:
-    """``percent_rank()`` over the whole table; ``levels`` are coarse forms of the first order column."""
+    """``percent_rank()`` over the whole table.
+
+    ``levels`` are coarse forms of the first order column, such as ``time_levels``; without
+    them the distinct order keys are range-sorted.
+    """
     require_columns(df, order)
     return join_groups(df, _percent_ranks(df, order, levels, out), order)
 
@@ -141,7 +172,10 @@ def keys_at(
         on_path = {p: _all_equal(names[:depth], path) for p, path in paths.items()}
         opened = slim.where(_any_of(on_path.values())) if depth else slim
         groups = opened.groupBy(*names[: depth + 1]).agg(F.count(F.lit(1)).alias("_n"))
-        totals = running_totals(groups, [name], ["_n"], by=names[:depth])
+        if depth or levels:
+            totals = running_totals(groups, [name], ["_n"], by=names[:depth])
+        else:
+            totals = ordered_totals(groups, [name], ["_n"])
         holds = {
             p: on_path[p] & (F.col("_n_before") <= rest[p]) & (F.col("_n_before") + F.col("_n") > rest[p]) for p in paths
         }

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from backglance.operators.impute import apply_values, fit_medians
@@ -17,7 +17,7 @@ def value_shares(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows and share of all rows per distinct value."""
     require_columns(df, by)
     groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return groups.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    return groups.withColumn("share", F.col("n") / groups.agg(F.sum("n")).scalar())
 
 
 def distribution(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -268,6 +268,14 @@ _F_SQL = """
 _LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 
 
+def _line_split(spark, folder):
+    line = load_table(spark, folder, "lineitem")
+    large = (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 60000).cast("double")
+    rows = VectorAssembler(inputCols=_LINE_FEATURES, outputCol="features").transform(line)
+    rows = rows.select("l_shipdate", "features", large.alias("label"))
+    return splits.time_split(rows, ["l_shipdate"], 0.8, time_levels("l_shipdate"))
+
+
 # With four features, family-wise error 0.05 asks for F above 6.24, the 0.0125 point of F(1, n) for large n.
 @query(f"""
 WITH r AS (SELECT *, CAST(l_extendedprice * (1 - l_discount) > 60000 AS INT) AS label, percent_rank() OVER (ORDER BY l_shipdate) AS p FROM lineitem),
@@ -277,11 +285,7 @@ SELECT CASE WHEN p <= 0.8 THEN 'train' ELSE 'test' END AS part, (SELECT count(*)
 FROM r GROUP BY 1
 """)
 def selected_features(spark, folder):
-    line = load_table(spark, folder, "lineitem")
-    large = (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 60000).cast("double")
-    rows = VectorAssembler(inputCols=_LINE_FEATURES, outputCol="features").transform(line)
-    rows = rows.select("l_shipdate", "features", large.alias("label"))
-    train, test = splits.time_split(rows, ["l_shipdate"], 0.8, time_levels("l_shipdate"))
+    train, test = _line_split(spark, folder)
     train, test, _ = select.select_features(train, test, "continuous", threshold=0.05)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     values = both.select("part", vector_to_array("features").alias("values"))
@@ -363,6 +367,28 @@ def _summary(name, predictions):
     )
 
 
+def _log_likelihood(c: str) -> str:
+    terms = [f"-0.5 * ln(2 * pi() * v{c}_{n}) - pow({n} - m{c}_{n}, 2) / (2 * v{c}_{n})" for n in _LINE_FEATURES]
+    return f"ln(n{c}) + " + " + ".join(terms)
+
+
+def _class_moments(c: str) -> str:
+    moments = ", ".join(f"avg({n}) AS m{c}_{n}, var_pop({n}) AS v{c}_{n}" for n in _LINE_FEATURES)
+    return f"SELECT count(*) AS n{c}, {moments} FROM r WHERE p <= 0.8 AND label = {c}"
+
+
+@query(f"""
+WITH r AS (SELECT *, CAST(l_extendedprice * (1 - l_discount) > 60000 AS INT) AS label, percent_rank() OVER (ORDER BY l_shipdate) AS p FROM lineitem),
+     a AS ({_class_moments("0")}), b AS ({_class_moments("1")})
+SELECT CAST(label AS DOUBLE) AS label, CAST({_log_likelihood("1")} > {_log_likelihood("0")} AS DOUBLE) AS prediction, count(*) AS n
+FROM r, a, b WHERE p > 0.8 GROUP BY 1, 2
+""")
+def bayes_predictions(spark, folder):
+    train, test = _line_split(spark, folder)
+    predictions = models.fit_score(models.bayes(1.0), train, test)
+    return evaluate.confusion(predictions).select("label", "prediction", "n")
+
+
 @query()
 def logistic_baseline(spark, folder):
     train, test = _model_rows(spark, folder)

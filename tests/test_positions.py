@@ -37,9 +37,9 @@ def test_percent_rank_equals_the_window_function(rows):
 
 
 def test_rank_within_equals_the_window_function(rows):
-    ours = positions.rank_within(rows, ["grp"], ["at"], [F.to_date("at")])
     theirs = rows.withColumn("rank", F.rank().over(Window.partitionBy("grp").orderBy("at")).cast("bigint"))
-    same(ours, theirs, "rank")
+    for levels in ([], [F.to_date("at")]):
+        same(positions.rank_within(rows, ["grp"], ["at"], levels), theirs, "rank")
 
 
 def test_dense_index_equals_row_number(rows):
@@ -154,10 +154,11 @@ def test_folds_with_a_hot_time(rows):
 def test_keys_at_places(rows):
     ordered = rows.orderBy("at", "id").collect()
     places = [0, 1, 499, 500, 501, 1499]
-    found = positions.keys_at(rows, ["at", "id"], places, time_levels("at"))
-    for place in places:
-        line = rows.limit(1).select(*[F.lit(None) if k is None else k for k in found[place]]).first()
-        assert (line[0], line[1]) == (ordered[place]["at"], ordered[place]["id"])
+    for levels in ([], time_levels("at")):
+        found = positions.keys_at(rows, ["at", "id"], places, levels)
+        for place in places:
+            line = rows.limit(1).select(*[F.lit(None) if k is None else k for k in found[place]]).first()
+            assert (line[0], line[1]) == (ordered[place]["at"], ordered[place]["id"])
 
 
 def test_sample_is_repeatable_and_about_right(spark):
