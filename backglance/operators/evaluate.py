@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from backglance.operators.joins import join_groups
 from backglance.operators.positions import running_totals
 from backglance.operators.profile import value_shares
 from backglance.operators.quality import require_columns
@@ -30,56 +29,36 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
     return value_shares(df, [label, prediction])
 
 
-def _score_levels(score: Column, levels: Sequence[Column]) -> dict[str, Column]:
-    return {f"_level{i}": c for i, c in enumerate(levels or [F.floor(score * 1000)])}
-
-
-def _thresholds(
-    df: DataFrame, score: str, label: str, by: Sequence[str], levels: Sequence[Column]
-) -> DataFrame:
+def _thresholds(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
     """Per distinct score, high to low: positives and rows at it and above it."""
     require_columns(df, [score, label, *by])
-    coarse = _score_levels(F.col(score), levels)
-    scores = (
-        df.groupBy(*by, score)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == 1).cast("bigint")).alias("hits"))
-        .withColumns(coarse)
+    scores = df.groupBy(*by, score).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == 1).cast("bigint")).alias("hits")
     )
-    order = [*coarse, score]
-    return running_totals(scores, order, ["n", "hits"], by, descending=order).drop(*coarse)
-
-
-def pr_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = (), levels: Sequence[Column] = ()) -> DataFrame:
-    """Precision and recall at every distinct score.
-
-    ``levels`` are coarse forms of the score that fall with it; by default thousandths,
-    which suits scores between 0 and 1.
-    """
-    points = _thresholds(df, score, label, by, levels)
-    if by:
-        points = join_groups(points, points.groupBy(*by).agg(F.sum("hits").alias("positives")), by)
-    else:
-        total = df.agg(F.count_if(F.col(label) == 1)).scalar()
-        points = points.withColumn("positives", total)
+    return running_totals(scores, [score], ["n", "hits"], by, descending=True)
+
+
+def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Precision and recall at every distinct score."""
+    points = _thresholds(df, score, label, ())
+    points = points.withColumn("positives", points.agg(F.sum("hits")).scalar())
     reached, seen = F.col("hits_before") + F.col("hits"), F.col("n_before") + F.col("n")
     return points.withColumns(
         {"precision": reached / seen, "recall": F.try_divide(reached, F.col("positives"))}
     )
 
 
-def area_under_pr(df: DataFrame, score: str, label: str, levels: Sequence[Column] = ()) -> DataFrame:
+def area_under_pr(df: DataFrame, score: str, label: str) -> DataFrame:
     """Trapezoid area under the precision-recall curve, which starts at recall 0 with the first precision."""
-    points = pr_curve(df, score, label, levels=levels)
+    points = pr_curve(df, score, label)
     before = F.coalesce(F.try_divide(F.col("hits_before"), F.col("n_before")), F.col("precision"))
     step = F.try_divide(F.col("hits"), F.col("positives"))
     return points.agg(F.sum(step * (F.col("precision") + before) / 2).alias("area_under_pr"))
 
 
-def average_precision(
-    df: DataFrame, score: str, label: str, by: Sequence[str], levels: Sequence[Column] = ()
-) -> DataFrame:
+def average_precision(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
     """Mean precision at the positives of each group, ranked by score; equal scores count together."""
-    points = _thresholds(df, score, label, by, levels)
+    points = _thresholds(df, score, label, by)
     precision = (F.col("hits_before") + F.col("hits")) / (F.col("n_before") + F.col("n"))
     return points.groupBy(*by).agg(
         F.sum("n").alias("n"),

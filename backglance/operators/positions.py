@@ -2,11 +2,9 @@
 
 All exact:
 
-* ``running_totals`` first collapses rows to groups, then adds up level by level
-  (month, day, exact time, ...).  A window only ever sees the distinct values of one
-  level under one parent, so equal rows, however many, cost nothing.  ``ordered_totals``
-  does the same for orders without levels by range-sorting the groups.
-* ``dense_index`` range-sorts by a unique order, so that even one hot time is spread
+* ``running_totals`` collapses rows to groups, so that equal rows, however many, cost
+  nothing, range-sorts the groups, and adds to each range the total of the ranges before.
+* ``dense_index`` range-sorts rows by a unique order, so that even one hot time is spread
   over tasks, and adds the sizes of the ranges before.
 * ``keys_at`` finds the keys at a few places by counting ever finer groups.
 """
@@ -24,109 +22,65 @@ from backglance.operators.joins import join_groups
 from backglance.operators.quality import require_columns
 from backglance.sources.tables import pin
 
+# Groups that one task may sort and add up by itself.
+_FEW_GROUPS = 1_000_000
 
-def running_totals(
-    groups: DataFrame,
-    levels: Sequence[str],
-    measures: Sequence[str],
-    by: Sequence[str] = (),
-    descending: Iterable[str] = (),
+
+def _totals_before(
+    groups: DataFrame, order: Sequence[str], measures: Sequence[str], by: Sequence[str], descending: bool = False
 ) -> DataFrame:
-    """Add ``<measure>_before``: the total of all groups that sort earlier.
+    """Add ``<measure>_before`` by one window per ``by``; for few groups only."""
+    keys = [F.desc(c) if descending else F.asc(c) for c in order]
+    partition = list(by) or [F.lit(0)]
+    earlier = Window.partitionBy(*partition).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    return groups.withColumns({f"{m}_before": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures})
 
-    ``groups`` holds one row per (by, levels).  ``levels`` sort the groups from left to
-    right; a coarse level in front (month before day before time) keeps each window
-    small.  The number of distinct values of the first level under one ``by`` must be small.
-    """
-    by, levels, descending = list(by), list(levels), set(descending)
-    if not by:
-        # A constant partition says what is meant: the few groups of the top level together.
-        groups = groups.withColumn("_all", F.lit(0))
-        by = ["_all"]
-    before = [f"{m}_before" for m in measures]
-    result = None
-    for depth in range(len(levels), 0, -1):
-        level, parents = levels[depth - 1], by + levels[: depth - 1]
-        totals = groups
-        if depth < len(levels):
-            totals = groups.groupBy(*parents, level).agg(*[F.sum(m).alias(m) for m in measures])
-        order = F.desc(level) if level in descending else F.asc(level)
-        earlier = Window.partitionBy(*parents).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        totals = totals.withColumns(
-            {b: F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m, b in zip(measures, before)}
-        )
-        if result is None:
-            result = totals
-            continue
-        totals = totals.select(*parents, level, *[F.col(b).alias(f"_p_{b}") for b in before])
-        result = join_groups(result, totals, parents + [level])
-        result = result.withColumns({b: F.col(b) + F.col(f"_p_{b}") for b in before})
-        result = result.drop(*[f"_p_{b}" for b in before])
-    return result.drop("_all")
-
-
-def ordered_totals(
-    groups: DataFrame, order: Sequence[str], measures: Sequence[str], by: Sequence[str] = ()
+
+def running_totals(
+    groups: DataFrame, order: Sequence[str], measures: Sequence[str], by: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """``running_totals`` for an order without coarse levels; the measures must not be negative.
+    """Add ``<measure>_before``: the total of all groups of the same ``by`` that sort earlier.
 
-    The groups are range-sorted and written once; each range adds up by itself and then
-    gets the total of the ranges before.
+    ``groups`` holds one row per (by, order).  The range-sorted groups are written once, so
+    that totals and rows come from the same ranges.  A large ``by`` spans many ranges, each
+    added up by itself.
     """
     by, order = list(by), list(order)
-    ranges = pin(groups.orderBy(*by, *order).withColumn("_range", F.spark_partition_id()))
     before = [f"{m}_before" for m in measures]
-    earlier = Window.partitionBy("_range").orderBy(*by, *order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranges.withColumns({b: F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m, b in zip(measures, before)})
-    sizes = ranges.groupBy("_range").agg(*[F.sum(m).alias(m) for m in measures])
-    starts = running_totals(sizes, ["_range"], measures)
-    starts = starts.select("_range", *[F.col(b).alias(f"_s_{b}") for b in before])
-    # One line per sorted range: bounded by the number of shuffle partitions.
-    result = local.join(F.broadcast(starts), "_range").withColumns({b: F.col(b) + F.col(f"_s_{b}") for b in before})
-    result = result.drop("_range", *[f"_s_{b}" for b in before])
+    keys = [F.desc(c) if descending else F.asc(c) for c in order]
+    ranges = pin(groups.orderBy(*by, *keys).withColumn("_range", F.spark_partition_id()))
+    local = _totals_before(ranges, order, measures, ["_range", *by], descending)
+    sizes = ranges.groupBy("_range", *by).agg(*[F.sum(m).alias(m) for m in measures])
+    # One line per range and group: a window here sees the ranges of one group.
+    starts = _totals_before(sizes, ["_range"], measures, by)
+    starts = starts.select("_range", *by, *[F.col(b).alias(f"_s_{b}") for b in before])
     if by:
-        firsts = result.groupBy(*by).agg(*[F.min(b).alias(f"_f_{b}") for b in before])
-        result = join_groups(result, firsts, by).withColumns({b: F.col(b) - F.col(f"_f_{b}") for b in before})
-        result = result.drop(*[f"_f_{b}" for b in before])
-    return result
+        result = join_groups(local, starts, ["_range", *by])
+    else:
+        result = local.join(F.broadcast(starts), "_range")  # one line per range: no more than shuffle partitions
+    result = result.withColumns({b: F.col(b) + F.col(f"_s_{b}") for b in before})
+    return result.drop("_range", *[f"_s_{b}" for b in before])
 
 
-def _tie_groups(df: DataFrame, order: Sequence[str], levels: Sequence[Column], by: Sequence[str]) -> DataFrame:
+def _tie_groups(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct order key, with the rows before it."""
-    groups = df.groupBy(*by, *order).agg(F.count(F.lit(1)).alias("_n"))
-    if not levels:
-        return ordered_totals(groups, order, ["_n"], by)
-    coarse = {f"_level{i}": c for i, c in enumerate(levels)}
-    return running_totals(groups.withColumns(coarse), [*coarse, *order], ["_n"], by).drop(*coarse)
+    return running_totals(df.groupBy(*by, *order).agg(F.count(F.lit(1)).alias("_n")), order, ["_n"], by)
 
 
-def rank_within(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], levels: Sequence[Column] = (), out: str = "rank"
-) -> DataFrame:
+def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "rank") -> DataFrame:
     """``rank()`` inside each ``by`` group: ties share a rank and gaps follow."""
     require_columns(df, [*by, *order])
-    ranks = _tie_groups(df, order, levels, by)
-    ranks = ranks.select(*by, *order, (F.col("_n_before") + 1).alias(out))
+    ranks = _tie_groups(df, order, by).select(*by, *order, (F.col("_n_before") + 1).alias(out))
     return join_groups(df, ranks, [*by, *order])
 
 
-def _percent_ranks(df: DataFrame, order: Sequence[str], levels: Sequence[Column], out: str) -> DataFrame:
-    groups = _tie_groups(df, order, levels, ())
-    total = df.agg((F.count(F.lit(1)) - 1).alias("_last")).scalar()
-    share = F.coalesce(F.try_divide(F.col("_n_before"), total), F.lit(0.0))
-    return groups.select(*order, share.alias(out))
-
-
-def global_percent_rank(
-    df: DataFrame, order: Sequence[str], levels: Sequence[Column] = (), out: str = "percent_rank"
-) -> DataFrame:
-    """``percent_rank()`` over the whole table.
-
-    ``levels`` are coarse forms of the first order column, such as ``time_levels``; without
-    them the distinct order keys are range-sorted.
-    """
+def global_percent_rank(df: DataFrame, order: Sequence[str], out: str = "percent_rank") -> DataFrame:
+    """``percent_rank()`` over the whole table."""
     require_columns(df, order)
-    return join_groups(df, _percent_ranks(df, order, levels, out), order)
+    groups = _tie_groups(df, order)
+    last = groups.agg((F.sum("_n") - 1).alias("_last")).scalar()
+    share = F.coalesce(F.try_divide(F.col("_n_before"), last), F.lit(0.0))
+    return join_groups(df, groups.select(*order, share.alias(out)), order)
 
 
 def dense_index(df: DataFrame, order: Sequence[str], out: str = "index") -> DataFrame:
@@ -144,7 +98,7 @@ def dense_index(df: DataFrame, order: Sequence[str], out: str = "index") -> Data
         .withColumns({"_range": F.shiftright(place, 33).cast("int"), "_place": place.bitwiseAND(low)})
     )
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    starts = running_totals(sizes, ["_range"], ["_n"]).select("_range", F.col("_n_before").alias("_start"))
+    starts = _totals_before(sizes, ["_range"], ["_n"], []).select("_range", F.col("_n_before").alias("_start"))
     # One line per sorted range: bounded by the number of shuffle partitions.
     return (
         ranges.join(F.broadcast(starts), "_range")
@@ -159,35 +113,38 @@ def keys_at(
     """The order keys at some places (0-based) of the sorted table, as literals; null is None.
 
     Counts the coarsest level, opens only the groups that hold a wanted place, counts the
-    next level in them, and so on.  No row is sorted or shuffled, and one line per wanted
-    place comes to the driver.  Reads the order columns once per level.
+    next level in them, and so on; only counts are shuffled, and one line per wanted place
+    comes to the driver.  ``levels`` are coarse forms of the first order column, such as
+    ``time_levels``, with few distinct values.  Reads the order columns once per level.
     """
     require_columns(df, order)
     names = [f"_level{i}" for i in range(len(levels))] + list(order)
     slim = df.select(*[c.alias(n) for n, c in zip(names, levels)], *order)
     types = [f.dataType for f in slim.schema.fields]
     paths: dict[int, list] = {place: [] for place in wanted}
+    # Rows in the largest open group; before the first level that may be the whole table.
+    largest = 0 if levels else _FEW_GROUPS + 1
     rest = {place: place for place in paths}
     for depth, name in enumerate(names):
         on_path = {p: _all_equal(names[:depth], path) for p, path in paths.items()}
         opened = slim.where(_any_of(on_path.values())) if depth else slim
         groups = opened.groupBy(*names[: depth + 1]).agg(F.count(F.lit(1)).alias("_n"))
-        if depth or levels:
-            totals = running_totals(groups, [name], ["_n"], by=names[:depth])
-        else:
-            totals = ordered_totals(groups, [name], ["_n"])
+        totals = (_totals_before if largest <= _FEW_GROUPS else running_totals)(groups, [name], ["_n"], names[:depth])
         holds = {
             p: on_path[p] & (F.col("_n_before") <= rest[p]) & (F.col("_n_before") + F.col("_n") > rest[p]) for p in paths
         }
         lines = totals.select(
             F.explode(F.array(*[F.when(h, F.lit(p).cast("bigint")) for p, h in holds.items()])).alias("_place"),
             F.col(name).alias("_value"),
+            "_n",
             "_n_before",
         )
+        largest = 0
         for line in lines.where(F.col("_place").isNotNull()).collect():
             place = line["_place"]
             paths[place].append(_literal(line["_value"], types[depth]))
             rest[place] -= line["_n_before"]
+            largest = max(largest, line["_n"])
         paths = {p: path for p, path in paths.items() if len(path) > depth}
     return {p: path[len(levels):] for p, path in paths.items()}
 
@@ -245,6 +202,7 @@ def quantile_rows(df: DataFrame, names: Sequence[str], share: float = 0.5) -> Da
         return _no_quantiles(spark, empty)
     below = df.agg(
         *[F.count_if(F.col(c) < sketch[c][0]).alias(f"lt_{c}") for c in known],
+        *[F.count_if(F.col(c).between(*sketch[c])).alias(f"in_{c}") for c in known],
         *[F.count(F.col(c)).alias(f"n_{c}") for c in known],
     ).first()
     lines = F.explode(
@@ -265,20 +223,16 @@ def quantile_rows(df: DataFrame, names: Sequence[str], share: float = 0.5) -> Da
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    pick = {c: (sketch[c][0], sketch[c][1], below[f"lt_{c}"], below[f"n_{c}"]) for c in known}
 
-    def per_column(value) -> Column:
-        expr = F.lit(None)
-        for c, entry in pick.items():
-            expr = F.when(F.col("column_name") == c, F.lit(value(*entry))).otherwise(expr)
+    def per_column(prefix: str) -> Column:
+        expr = F.lit(None).cast("bigint")
+        for c in known:
+            expr = F.when(F.col("column_name") == c, F.lit(below[f"{prefix}_{c}"])).otherwise(expr)
         return expr
 
-    width = per_column(lambda lo, hi, lt, n: float(hi) - float(lo))
-    part = F.when(width > 0, F.floor((F.col("value") - per_column(lambda lo, hi, lt, n: float(lo))) / width * 4096))
-    counts = counts.withColumn("_part", F.coalesce(part, F.lit(0)))
-    placed = running_totals(counts, ["_part", "value"], ["n"], by=["column_name"])
-    target = F.ceil(per_column(lambda lo, hi, lt, n: float(n)) * share)
-    skipped = per_column(lambda lo, hi, lt, n: int(lt))
+    few = max(below[f"in_{c}"] for c in known) <= _FEW_GROUPS
+    placed = (_totals_before if few else running_totals)(counts, ["value"], ["n"], ["column_name"])
+    target, skipped = F.ceil(per_column("n") * share), per_column("lt")
     found = placed.where((skipped + F.col("n_before") < target) & (skipped + F.col("n_before") + F.col("n") >= target))
     found = found.select("column_name", "value")
     return found.unionByName(_no_quantiles(spark, empty)) if empty else found

@@ -70,9 +70,7 @@ def add_features(joined: DataFrame, sentinels: str = "null") -> DataFrame:
     Fields that were too sparse to keep are skipped.
     """
     flights = with_time_parts(joined, "DEPARTURE_UTC", "HOUR", "MINUTE")
-    flights = positions.rank_within(
-        flights, ["DEPARTURE_DAY"], ["DEPARTURE_UTC"], [F.date_trunc("hour", "DEPARTURE_UTC")], "NTH_FLIGHTS"
-    )
+    flights = positions.rank_within(flights, ["DEPARTURE_DAY"], ["DEPARTURE_UTC"], "NTH_FLIGHTS")
     flights = windows.prior_day_total(flights, "DEPARTURE_DAY", "DEP_DEL15", "PRIOR_DAY_NUM_DELAY")
     fields = {f: len(codes) for f, codes in fixed.PACKED_FIELDS.items() if f in flights.columns}
     parts = split_packed(flights, fields)

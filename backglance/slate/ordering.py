@@ -19,7 +19,7 @@ def rank_within_day(spark, folder):
     events = load_table(spark, folder, "events").select(
         "event_id", F.to_date("ts").alias("day"), F.date_trunc("minute", "ts").alias("at")
     )
-    ranked = positions.rank_within(events, ["day"], ["at"], [F.date_trunc("hour", "at")], "nth")
+    ranked = positions.rank_within(events, ["day"], ["at"], "nth")
     return ranked.select("event_id", F.col("day").cast("string").alias("day"), "nth")
 
 
@@ -78,7 +78,7 @@ SELECT o_orderkey, round(percent_rank() OVER (ORDER BY o_orderdate), 9) AS perce
 """)
 def global_percent_rank(spark, folder):
     orders = load_table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    ranked = positions.global_percent_rank(orders, ["o_orderdate"], time_levels("o_orderdate"))
+    ranked = positions.global_percent_rank(orders, ["o_orderdate"])
     return ranked.select("o_orderkey", F.round("percent_rank", 9).alias("percent_rank"))
 
 

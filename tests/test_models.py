@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +82,37 @@ def test_selection_finds_the_feature_that_matters(spark):
     assert chosen == [0] and train.columns == ["label", "features"]
 
 
+def test_categorical_selection_and_chi_square(spark):
+    draw = random.Random(12)
+    data = [(draw.choice("ab") if draw.random() < 0.3 else "ab"[y], draw.choice("xyz"), y) for y in (0, 1) for _ in range(400)]
+    rows = spark.createDataFrame(data, "c string, d string, t int")
+    found = {r["column_name"]: r for r in select.chi_square_statistics(rows, ["c", "d", "t"], "t").collect()}
+    assert set(found) == {"c", "d"} and found["c"]["p_value"] < 1e-6 and found["d"]["degrees"] == 2
+    table = np.array([[sum(1 for r in data if r[1] == v and r[2] == y) for y in (0, 1)] for v in "xyz"], dtype=float)
+    expected = table.sum(axis=1, keepdims=True) * table.sum(axis=0, keepdims=True) / table.sum()
+    assert found["d"]["statistic"] == pytest.approx(((table - expected) ** 2 / expected).sum())
+    indexed = encode.index_categories(rows, ["c", "d"])
+    vectors = VectorAssembler(inputCols=["c_index", "d_index"], outputCol="features").transform(indexed)
+    model = select.fit_selector(vectors.withColumn("label", F.col("t").cast("double")), "categorical")
+    assert list(model.selectedFeatures) == [0]
+
+
+def test_f_statistic(spark):
+    draw = np.random.default_rng(13)
+    table, label = draw.normal(size=(300, 2)), draw.integers(0, 3, 300)
+    table[:, 0] += label
+    rows = spark.createDataFrame(
+        [(Vectors.dense(x), float(y)) for x, y in zip(table, label)],
+        T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())]),
+    )
+    found = {r["column_name"]: r["statistic"] for r in select.anova_statistics(rows, "features", "label", ["a", "b"]).collect()}
+    for i, name in enumerate("ab"):
+        groups = [table[label == g, i] for g in range(3)]
+        between = sum(len(g) * (g.mean() - table[:, i].mean()) ** 2 for g in groups) / 2
+        within = sum(((g - g.mean()) ** 2).sum() for g in groups) / 297
+        assert found[name] == pytest.approx(between / within)
+
+
 def test_principal_components(spark):
     draw = np.random.default_rng(3)
     table = draw.normal(size=(300, 4)) * np.array([10, 1, 1, 0.1])

@@ -29,17 +29,14 @@ def same(ours, theirs, out):
 
 
 def test_percent_rank_equals_the_window_function(rows):
-    for levels in ([], time_levels("at")):
-        ours = positions.global_percent_rank(rows, ["at"], levels)
-        same(ours, rows.withColumn("percent_rank", F.percent_rank().over(Window.orderBy("at"))), "percent_rank")
-    two = positions.global_percent_rank(rows, ["at", "value"], time_levels("at"))
-    same(two, rows.withColumn("percent_rank", F.percent_rank().over(Window.orderBy("at", "value"))), "percent_rank")
+    for order in (["at"], ["at", "value"], ["grp"]):
+        theirs = rows.withColumn("percent_rank", F.percent_rank().over(Window.orderBy(*order)))
+        same(positions.global_percent_rank(rows, order), theirs, "percent_rank")
 
 
 def test_rank_within_equals_the_window_function(rows):
     theirs = rows.withColumn("rank", F.rank().over(Window.partitionBy("grp").orderBy("at")).cast("bigint"))
-    for levels in ([], [F.to_date("at")]):
-        same(positions.rank_within(rows, ["grp"], ["at"], levels), theirs, "rank")
+    same(positions.rank_within(rows, ["grp"], ["at"]), theirs, "rank")
 
 
 def test_dense_index_equals_row_number(rows):
@@ -48,10 +45,23 @@ def test_dense_index_equals_row_number(rows):
 
 
 def test_running_totals_descending_with_groups(spark):
-    data = [("x", 3, 10), ("x", 2, 5), ("x", 1, 1), ("y", 9, 7)]
-    groups = spark.createDataFrame(data, "g string, k int, n int").withColumn("half", F.floor(F.col("k") / 2))
-    found = positions.running_totals(groups, ["half", "k"], ["n"], by=["g"], descending=["half", "k"])
-    assert {(r["g"], r["k"]): r["n_before"] for r in found.collect()} == {("x", 3): 0, ("x", 2): 10, ("x", 1): 15, ("y", 9): 0}
+    data = [("x", 3, 10), ("x", 2, 0), ("x", 1, 1), ("y", 9, 7), (None, 4, 2), (None, 3, 2)]
+    groups = spark.createDataFrame(data, "g string, k int, n int").repartition(4)
+    for form in (positions.running_totals, positions._totals_before):
+        found = form(groups, ["k"], ["n"], ["g"], descending=True)
+        wanted = {("x", 3): 0, ("x", 2): 10, ("x", 1): 10, ("y", 9): 0, (None, 4): 0, (None, 3): 2}
+        assert {(r["g"], r["k"]): r["n_before"] for r in found.collect()} == wanted
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_sizes_decide_the_way_but_not_the_result(rows, monkeypatch, few):
+    monkeypatch.setattr(positions, "_FEW_GROUPS", few)
+    folded = splits.blocked_folds(rows, ["at", "id"], levels=time_levels("at"))
+    counts = {(r["fold"], r["part"]): r["count"] for r in folded.groupBy("fold", "part").count().collect()}
+    assert counts == {(f, p): n for f in range(3) for p, n in (("train", 400), ("test", 100))}
+    medians = {r[0]: r[1] for r in positions.quantile_rows(rows, ["id", "value"]).collect()}
+    values = sorted(r["value"] for r in rows.collect())
+    assert medians == {"id": 749.0, "value": values[749]}
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 100, 1001])
