@@ -133,9 +133,10 @@ def keys_at(
         holds = {
             p: on_path[p] & (F.col("_n_before") <= rest[p]) & (F.col("_n_before") + F.col("_n") > rest[p]) for p in paths
         }
+        value = F.unix_micros(name) if isinstance(types[depth], T.TimestampType) else F.col(name)
         lines = totals.select(
             F.explode(F.array(*[F.when(h, F.lit(p).cast("bigint")) for p, h in holds.items()])).alias("_place"),
-            F.col(name).alias("_value"),
+            value.alias("_value"),
             "_n",
             "_n_before",
         )
@@ -152,8 +153,11 @@ def keys_at(
 def _literal(value, data_type: T.DataType) -> Column | None:
     if value is None:
         return None
+    # Times as microseconds or as text: no detour through the time zone of the driver.
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
     if isinstance(data_type, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(data_type)  # as text: no detour through a time zone
+        return F.lit(value.isoformat(sep=" ")).cast(data_type)
     return F.lit(value).cast(data_type)
 
 

@@ -50,16 +50,17 @@ def counts_by_month(spark, folder):
 
 
 _STATES = """
-SELECT n_name AS state, count(c_acctbal) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
+SELECT n_name AS state, count(c_acctbal) AS n FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 WHERE n_name IN ('NATION_1', 'NATION_3', 'NATION_5', 'NATION_7', 'NATION_11', 'NATION_13') GROUP BY n_name
 """
 
 
-@query(_STATES)
+@query(_STATES.format(customer="customer", nation="nation"))
 def counts_by_state_sql(spark, folder):
-    load_table(spark, folder, "customer").createOrReplaceTempView("customer")
-    load_table(spark, folder, "nation").createOrReplaceTempView("nation")
-    return spark.sql(_STATES)
+    # Spark registers a temporary view for each table it is given by name.
+    return spark.sql(
+        _STATES, customer=load_table(spark, folder, "customer"), nation=load_table(spark, folder, "nation")
+    )
 
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "net_price"]

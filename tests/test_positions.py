@@ -122,6 +122,15 @@ def test_time_split_keeps_equal_times_together(rows):
     assert train.count() + test.count() == rows.count()
 
 
+def test_time_split_of_zoned_times_and_other_types(rows):
+    zoned = rows.withColumn("at", F.col("at").cast("timestamp"))
+    for order, levels in ((["at"], [F.to_date("at"), F.date_trunc("hour", "at")]), (["grp", "value"], []), (["value"], [])):
+        train, test = splits.time_split(zoned, order, 0.6, levels)
+        ranked = zoned.withColumn("p", F.percent_rank().over(Window.orderBy(*order)))
+        assert train.count() == ranked.where("p <= 0.6").count()
+        assert train.count() + test.count() == zoned.count()
+
+
 def test_time_split_of_an_empty_table(spark):
     train, test = splits.time_split(spark.createDataFrame([], "at timestamp_ntz"), ["at"])
     assert train.count() == test.count() == 0
