@@ -56,7 +56,6 @@ def cross_validate(
     ``parallelism`` fits run at the same time, so that small stages do not leave executors idle.
     """
     blocks = folded.select("features", "label", "fold", "part").persist(StorageLevel.MEMORY_AND_DISK)
-    folds = [row["fold"] for row in blocks.select("fold").distinct().orderBy("fold").collect()]
 
     def score(task: tuple[int, float]) -> tuple[float, int, float]:
         fold, parameter = task
@@ -66,9 +65,12 @@ def cross_validate(
         return float(parameter), int(fold), float(area)
 
     spark = folded.sparkSession
-    with ThreadPool(parallelism) as pool:
-        scores = pool.map(inheritable_thread_target(spark)(score), [(f, p) for f in folds for p in parameters])
-    blocks.unpersist()
+    try:
+        folds = [row["fold"] for row in blocks.select("fold").distinct().orderBy("fold").collect()]
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(inheritable_thread_target(spark)(score), [(f, p) for f in folds for p in parameters])
+    finally:
+        blocks.unpersist()
     return spark.createDataFrame(scores, "parameter double, fold int, area_under_pr double")
 
 

@@ -67,6 +67,8 @@ STRONG_CORRELATION = 0.75
 TRAIN_FRACTION = 0.8
 FOLDS = 3
 COUNTRY = "US"
+NEIGHBOURS = 3
+NEW_ROWS_PER_LATE_FLIGHT = 2
 
 
 def part_codes() -> dict[str, str]:

@@ -14,7 +14,19 @@ from pyspark.sql import functions as F
 
 from backglance.functions.text import country_code
 from backglance.functions.timeops import hhmm_to_timestamp, shift_zone, time_levels, with_time_parts
-from backglance.operators import encode, evaluate, impute, models, positions, profile, quality, select, splits, windows
+from backglance.operators import (
+    balance,
+    encode,
+    evaluate,
+    impute,
+    models,
+    positions,
+    profile,
+    quality,
+    select,
+    splits,
+    windows,
+)
 from backglance.operators.fields import apply_sentinels, split_packed, suffix_bucket, type_parts
 from backglance.operators.joins import lookup
 from backglance.operators.labels import cause_shares, derive_label
@@ -147,6 +159,24 @@ def to_vectors(
     return a, b
 
 
+def numeric_baseline(train: DataFrame, test: DataFrame, keep: Sequence[str] = (), label: str = "DEP_DEL15") -> DataFrame:
+    """Test rows scored by a logistic regression on the numeric columns alone."""
+    numeric = [c for c in quality.columns_of_type(train, "numeric") if c not in (label, "CANCELLED", *keep)]
+    a, b, _ = encode.prepare(train.select(*numeric, label), test.select(*numeric, label), numeric, [], label)
+    return models.fit_score(models.logistic(), a, b)
+
+
+def explained_by_components(train: DataFrame, key: str, k: int, fraction: float = 0.1, seed: int = 123) -> DataFrame:
+    """Variance explained by each of the first ``k`` principal components of a repeatable sample."""
+    _, explained = select.principal_components(splits.repeatable_sample(train, key, fraction, seed), k)
+    return explained
+
+
+def oversample(train: DataFrame, key: str) -> DataFrame:
+    """Training rows plus new late flights between near neighbours among the late ones."""
+    return balance.smote(train, key, k=fixed.NEIGHBOURS, multiplier=fixed.NEW_ROWS_PER_LATE_FLIGHT)
+
+
 def score_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS)) -> DataFrame:
     """One line per classifier: fold score of the best parameter, accuracy and area on the test rows."""
     folded = splits.blocked_folds(train, ["DEPARTURE_UTC", key], fixed.FOLDS, fixed.TRAIN_FRACTION, levels=time_levels("DEPARTURE_UTC"))

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from backglance.operators import evaluate
 from backglance.plans import fixed_values as fixed
 from backglance.plans import flight_delay as plan
 
@@ -101,6 +102,14 @@ def test_features_to_scores(joined):
     assert a.columns == b.columns
     va, vb = plan.to_vectors(a, b, keep=["id"])
     assert {"id", "DEPARTURE_UTC", "features", "label"} <= set(va.columns)
+    baseline = evaluate.accuracy(plan.numeric_baseline(a, b, keep=["id"])).first()
+    assert baseline["n"] == b.count() and baseline["accuracy"] > 0.5
+    more = plan.oversample(va, "id")
+    late = va.where("label = 1").count()
+    assert more.where("synthetic > 0 and label = 1").count() == 2 * late
+    assert more.where("synthetic = 0").count() == va.count()
+    shares = plan.explained_by_components(va, "id", 2, fraction=0.5)
+    assert 0 < shares.agg(F.sum("explained")).first()[0] <= 1 + 1e-9
     scores = plan.score_models(va, vb, "id", names=("svm",)).collect()
     assert len(scores) == 1 and 0 <= scores[0]["area_under_pr"] <= 1
 
