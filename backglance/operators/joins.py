@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 def join_groups(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` in which null equals null, as in GROUP BY."""
     keys = list(keys)
+    clash = (set(left.columns) & set(right.columns)) - set(keys)
+    if clash:
+        raise ValueError(f"columns already there: {', '.join(sorted(clash))}")
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])

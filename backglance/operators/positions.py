@@ -122,6 +122,8 @@ def keys_at(
     slim = df.select(*[c.alias(n) for n, c in zip(names, levels)], *order)
     types = [f.dataType for f in slim.schema.fields]
     paths: dict[int, list] = {place: [] for place in wanted}
+    if not paths:
+        return {}
     # Rows in the largest open group; before the first level that may be the whole table.
     largest = 0 if levels else _FEW_GROUPS + 1
     rest = {place: place for place in paths}
@@ -236,7 +238,7 @@ def quantile_rows(df: DataFrame, names: Sequence[str], share: float = 0.5) -> Da
 
     few = max(below[f"in_{c}"] for c in known) <= _FEW_GROUPS
     placed = (_totals_before if few else running_totals)(counts, ["value"], ["n"], ["column_name"])
-    target, skipped = F.ceil(per_column("n") * share), per_column("lt")
+    target, skipped = F.greatest(F.ceil(per_column("n") * share), F.lit(1)), per_column("lt")
     found = placed.where((skipped + F.col("n_before") < target) & (skipped + F.col("n_before") + F.col("n") >= target))
     found = found.select("column_name", "value")
     return found.unionByName(_no_quantiles(spark, empty)) if empty else found

@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from backglance.operators.joins import key_difference, lookup, unmatched
 from backglance.operators.lookback import lookback_join, with_match_flag
@@ -116,6 +115,13 @@ def test_clashing_names_are_errors(spark):
         lookback_join(events, spark.createDataFrame([], "place string, at timestamp_ntz, k int"), ["place"], "at", "at", "k")
 
 
+def test_a_taken_result_name_is_an_error(spark):
+    events = spark.createDataFrame([(1, "a", hours(10), 0.0)], EVENTS + ", gap_hours double")
+    seen = spark.createDataFrame([("a", hours(7), 1, 1.0)], SEEN)
+    with pytest.raises(ValueError, match="gap_hours"):
+        lookback_join(events, seen, ["place"], "at", "seen_at", "seen_id")
+
+
 def test_no_python_no_cross_join_in_the_plan(spark):
     events = spark.createDataFrame([(1, "a", hours(10))], EVENTS)
     seen = spark.createDataFrame([("a", hours(7), 1, 1.0)], SEEN)
