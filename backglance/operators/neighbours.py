@@ -71,7 +71,7 @@ def nearest_neighbours(
     vector: str,
     k: int = 3,
     orders: int = 4,
-    leaf: int = 256,
+    leaf: int = 1024,
     directions: int = 8,
     seed: int = 48,
 ) -> DataFrame:

@@ -298,9 +298,29 @@ def principal_components(spark, folder):
     return explained.withColumn("explained", F.round("explained", 6))
 
 
-@query()
+@query("""
+WITH r AS (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem)
+SELECT 1 AS component, round((1 + abs(r)) / 2, 6) AS explained FROM r
+UNION ALL SELECT 2, round((1 - abs(r)) / 2, 6) FROM r
+""")
+def components_of_two_measures(spark, folder):
+    line = load_table(spark, folder, "lineitem")
+    vectors = VectorAssembler(inputCols=["l_quantity", "l_extendedprice"], outputCol="raw").transform(line).select("raw")
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
+    _, explained = select.principal_components(scaler.fit(vectors).transform(vectors), 2)
+    return explained.select(F.col("component").cast("int"), F.round("explained", 6).alias("explained"))
+
+
+# Up to two leaves (2,047 vectors) the search compares all of them, so the SQL can follow it.
+@query("""
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings)
+SELECT a.vec_id, b.vec_id AS neighbour, round(list_distance(a.e, b.e), 6) AS distance,
+       CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS INT) AS place
+FROM x a JOIN x b ON a.vec_id <> b.vec_id AND a.e <> b.e QUALIFY place <= 3
+""")
 def similar_vectors(spark, folder):
-    return neighbours.nearest_neighbours(load_table(spark, folder, "embeddings"), "vec_id", "embedding", k=3)
+    found = neighbours.nearest_neighbours(load_table(spark, folder, "embeddings"), "vec_id", "embedding", k=3)
+    return found.withColumn("distance", F.round("distance", 6))
 
 
 _DRAW = "CAST(CAST('0x' || substr(md5(vec_id || '|' || batch || '|{seed}'), 1, 13) AS UBIGINT) AS DOUBLE) / 4503599627370496.0"
