@@ -66,6 +66,7 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         self._chunks: dict[bytes, tuple[int, str, bytes]] = {}
         self._pretokens: dict[str, tuple[list[int], str]] = {}
+        self._counts: dict[str, int] = {}
 
     # -- one pre-token ------------------------------------------------------------------
 
@@ -229,9 +230,16 @@ class Bpe:
                 at = raw.find(content.encode(), at + 1)
         return whole
 
-    def count(self, text: str) -> int:
-        """Number of ids of a text without added tokens."""
-        return sum(len(self.pretoken(token)[0]) for token in self._tokens(text))
+    def count(self, piece: str) -> int:
+        """Number of ids of a piece between places that no pre-token crosses."""
+        known = self._counts.get(piece)
+        if known is None:
+            known = len(self.encode(piece))
+            if len(piece) <= _SHORT:
+                if len(self._counts) >= _REMEMBERED:
+                    self._counts.clear()
+                self._counts[piece] = known
+        return known
 
 
 def _joined(values: pa.Array, codes: pa.Array, first: pa.Array, between) -> list:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backglance.llm import bpe, shards, simhash
+from backglance.llm import bpe, decontam, edits, knn, licenses, rules, shards, simhash, substrings, toxicity
 from backglance.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,16 +27,51 @@ def byte_bpe() -> dict[str, str]:
     return {"path": public_tokenizers.path("byte_bpe_50k.json"), "pattern": public_tokenizers.PATTERN}
 
 
+@query
+def op1_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
+
+
 @query
 def op2_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(load_table(spark, folder, "documents"), shards=24)
 
 
+@query
+def op3_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.find_leaks(load_table(spark, folder, "documents"), "doc_id", load_table(spark, folder, "benchmark"))
+
+
 @query
 def op4_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, folder, "documents"), shingle=3, most=2, seed=42)
 
 
+@query
+def op5_edited_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return edits.count_edited(edits.with_redactions(load_table(spark, folder, "documents")), **byte_bpe())
+
+
+@query
+def op6_license_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(load_table(spark, folder, "documents"))
+
+
+@query
+def op7_recompression_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeat_digests(load_table(spark, folder, "documents"), window=20)
+
+
 @query
 def op8_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(load_table(spark, folder, "documents"), **byte_bpe())
+
+
+@query
+def op9_neighbour_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.score_quality(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
+
+
+@query
+def op10_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge_documents(load_table(spark, folder, "documents"))
