@@ -34,7 +34,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     round is written to the shared checkpoint folder, which cuts the lineage.  Edges that join
     a node to itself and rows with a null end are no edges.
     """
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct()
+    edges = pin(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct())
     edges = pin(_small_star(edges))
     state = None
     while True:
