@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from backglance.llm.words import slices, text_bytes
 
@@ -255,7 +256,7 @@ def load_bpe(path: str, pattern: str) -> Bpe:
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, column: str = "text", out: str = "ids") -> DataFrame:
     """The rows of ``docs`` with ``out``, the array of token ids of the text; null counts as empty."""
-    schema = docs.drop(out).schema.add(out, "array<int>")
+    schema = docs.drop(out).schema.add(out, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         bpe = load_bpe(path, pattern)
@@ -269,7 +270,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, column: str = "te
 
 def decode_documents(rows: DataFrame, path: str, pattern: str, column: str = "ids", out: str = "decoded") -> DataFrame:
     """The rows with ``out``, the text of the array of ids; null counts as no id."""
-    schema = rows.drop(out).schema.add(out, "string")
+    schema = rows.drop(out).schema.add(out, T.StringType())
 
     def run(batches):
         bpe = load_bpe(path, pattern)

@@ -75,3 +75,34 @@ def op9_neighbour_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge_documents(load_table(spark, folder, "documents"))
+
+
+# The hash tree in SQL: 24 and 25 shards of weight 1, the least draw wins at every level and so
+# over all shards; slots follow the MD5 of the id.  The CRC is the bitwise one, byte by byte.
+ORACLES["op2_hash_tree_shards"] = """
+WITH crc_table AS (
+    SELECT list(c ORDER BY n) AS t FROM (
+        SELECT n, list_reduce([n] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+        FROM (SELECT unnest(range(256)) AS n)
+    )
+), texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(CAST(doc_id AS VARCHAR), '') AS key FROM documents
+), sums AS (
+    SELECT doc_id, key, strlen(text) + 8 AS size,
+        xor(4294967295, list_reduce(
+            [4294967295] || list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+            lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])
+        )) AS text_crc32
+    FROM texts, crc_table
+), draws AS (
+    SELECT doc_id, key, size, text_crc32, list_transform(range(25), lambda s: {
+        'draw': -ln(1 - CAST(CAST('0x' || substr(md5(key || '|' || CAST(s AS VARCHAR) || '|11'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496),
+        'shard': s
+    }) AS d FROM sums
+), placed AS (
+    SELECT doc_id, key, size, text_crc32, list_min(d[1:24]).shard AS shard, list_min(d).shard AS grown_shard FROM draws
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id, size, text_crc32) - 1 AS slot, grown_shard
+FROM placed
+"""
