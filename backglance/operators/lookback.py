@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from backglance.functions.timeops import MICROS_PER_HOUR, epoch_micros
 from backglance.operators.joins import join_groups
 from backglance.operators.quality import require_columns
+from backglance.operators.windows import first_per_group
 
 
 def lookback_join(
@@ -104,8 +105,13 @@ def lookback_join(
     if unique_key:
         wide = right.select(*at_key, F.struct(*values).alias("_values"))
     else:
-        # Copies are gathered by the key the join below needs anyway, so this adds no shuffle.
-        wide = right.groupBy(*at_key).agg(F.min(F.struct(*values)).alias("_values"))
+        # Copies are told apart only among the observations that some event has chosen.
+        wide = right.select(*at_key, F.struct(*values).alias("_values"))
+        chosen = answers.select(
+            *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_seen_at").alias("_w_at"), F.col("_key").alias("_w_key")
+        ).distinct()
+        wide = wide.join(chosen, chosen.columns, "left_semi")
+        wide = first_per_group(wide, chosen.columns, [F.col("_values")])
     same = [F.col(k) == F.col(f"_w_{k}") for k in keys]
     matched = answers.join(wide, [*same, F.col("_seen_at") == F.col("_w_at"), F.col("_key") == F.col("_w_key")])
     matched = matched.select(

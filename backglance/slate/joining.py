@@ -47,6 +47,15 @@ def _lookback(spark, folder, **options):
     )
 
 
+@query(f"SELECT * REPLACE (round(gap_hours, 6) AS gap_hours) FROM ({_lookback_sql()})")
+def lookback_with_copies(spark, folder):
+    """Every observation twice, once with other values that must lose: the copies' smallest row counts."""
+    bought, seen = _purchases(spark, folder)
+    other = seen.withColumns({"seen_type": F.concat(F.lit("~"), "seen_type"), "seen_value": F.col("seen_value") + 1})
+    joined = lookback_join(bought, seen.union(other), ["user_id"], "ts", "seen_at", "seen_id", ["seen_type", "seen_value"])
+    return joined.withColumn("gap_hours", F.round("gap_hours", 6))
+
+
 @query(f"SELECT * REPLACE (round(gap_hours, 6) AS gap_hours) FROM ({_lookback_sql()})")
 def lookback_nearest(spark, folder):
     return _lookback(spark, folder).withColumn("gap_hours", F.round("gap_hours", 6))
@@ -70,23 +79,17 @@ def lookback_completeness(spark, folder):
 
 
 @query("""
-SELECT l.l_shipdate, l.l_suppkey, l.l_orderkey, count(*) AS n_lines, count(o.o_orderkey) AS n_orders,
-       min(o.o_totalprice) AS smallest_price
-FROM (SELECT l_orderkey, l_suppkey, l_shipdate FROM lineitem WHERE l_quantity >= 45) l
-LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey AND l.l_shipdate = o.o_orderdate
-GROUP BY 1, 2, 3
+SELECT event_id, user_id, day, n_of_day, round(of_day, 4) AS of_day
+FROM (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events)
+LEFT JOIN (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_of_day, sum(value) AS of_day
+           FROM events WHERE event_type <> 'purchase' GROUP BY 1, 2) USING (user_id, day)
 """)
 def left_join_on_day_and_key(spark, folder):
-    line = load_table(spark, folder, "lineitem").where(F.col("l_quantity") >= 45)
-    orders = load_table(spark, folder, "orders")
-    joined = line.join(
-        orders, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_shipdate") == F.col("o_orderdate")), "left"
-    )
-    return joined.groupBy("l_shipdate", "l_suppkey", "l_orderkey").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count("o_orderkey").alias("n_orders"),
-        F.min("o_totalprice").alias("smallest_price"),
-    )
+    events = load_table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    others = events.where(F.col("event_type") != "purchase")
+    totals = others.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n_of_day"), F.sum("value").alias("of_day"))
+    joined = events.select("event_id", "user_id", "day").join(totals, ["user_id", "day"], "left")
+    return joined.withColumn("of_day", F.round("of_day", 4))
 
 
 @query("""
@@ -164,8 +167,8 @@ def union_of_keys(spark, folder):
     return reduce(DataFrame.unionByName, keys).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT l_partkey AS key FROM lineitem EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+@query("SELECT l_partkey AS key FROM lineitem EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1")
 def set_difference(spark, folder):
     line = load_table(spark, folder, "lineitem")
-    returned = line.where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("key"))
+    returned = line.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)).select(F.col("l_partkey").alias("key"))
     return key_difference(line.select(F.col("l_partkey").alias("key")), returned, ["key"])
