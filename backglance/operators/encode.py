@@ -9,39 +9,29 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringInd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from backglance.operators.positions import dense_index
 from backglance.operators.quality import require_columns
 
-# The labels of an index live on the driver; columns with more values need suffix_bucket first.
-MAX_CATEGORIES = 100_000
-
-
-def require_few_categories(df: DataFrame, names: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    _check(df, None, names, limit)
-
 
 def require_two_classes(df: DataFrame, target: str) -> None:
-    _check(df, target, (), MAX_CATEGORIES)
-
-
-def _check(df: DataFrame, target: str | None, categorical: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Both guards in one pass."""
-    counts = [F.approx_count_distinct(c).alias(f"n_{c}") for c in categorical]
-    if target is not None:
-        counts.append(F.count_distinct(target).alias("classes"))
-    if not counts:
-        return
-    found = df.agg(*counts).first().asDict()
-    if target is not None and found["classes"] != 2:
+    if df.agg(F.count_distinct(target)).first()[0] != 2:
         raise ValueError(f"{target} must have exactly 2 classes")
-    wide = [c for c in categorical if found[f"n_{c}"] > limit]
-    if wide:
-        raise ValueError(f"too many distinct values to index: {', '.join(wide)}")
 
 
 def index_categories(df: DataFrame, names: Sequence[str], suffix: str = "_index") -> DataFrame:
-    """Index by falling frequency, ties by value; unseen values and nulls share the last index."""
-    require_few_categories(df, names)
-    return _indexer(names, suffix).fit(df).transform(df)
+    """Index by falling frequency, ties by value; nulls get the index after the last value.
+
+    The values of a column are counted, numbered and joined back, so their number has no bound.
+    """
+    require_columns(df, names)
+    for name in names:
+        counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("string").alias("_value"))
+        counts = counts.agg((-F.count(F.lit(1))).alias("_minus"))
+        numbered = dense_index(counts, ["_minus", "_value"], "_at").select("_value", F.col("_at").cast("double").alias(name + suffix))
+        last = numbered.agg(F.count(F.lit(1)).cast("double")).scalar()
+        df = df.join(numbered, F.col(name).cast("string") == F.col("_value"), "left").drop("_value")
+        df = df.withColumn(name + suffix, F.coalesce(name + suffix, last))
+    return df
 
 
 def _indexer(names: Sequence[str], suffix: str) -> StringIndexer:
@@ -83,11 +73,15 @@ def prepare(
     suffix: str = "_index",
     centre: bool = False,
 ) -> tuple[DataFrame, DataFrame, PipelineModel]:
-    """Train and test with ``features`` and ``label`` beside the columns not used as input."""
+    """Train and test with ``features`` and ``label`` beside the columns not used as input.
+
+    One-hot vectors have a place for every value of a column, and the fitted model lists the
+    values; ``suffix_bucket`` narrows columns with very many.
+    """
     numeric = [c for c in numeric if c != target]
     categorical = [c for c in categorical if c != target]
     require_columns(train, [*numeric, *categorical, target])
-    _check(train, target, categorical)
+    require_two_classes(train, target)
     model = Pipeline(stages=encoding_stages(numeric, categorical, suffix, centre)).fit(train)
     used = set(numeric) | set(categorical) | {target}
     kept = [c for c in train.columns if c not in used]

@@ -70,14 +70,19 @@ def nearest_neighbours(
     key: str,
     vector: str,
     k: int = 3,
-    orders: int = 4,
-    leaf: int = 1024,
+    orders: int = 8,
+    leaf: int = 512,
     directions: int = 8,
     seed: int = 48,
 ) -> DataFrame:
     """(key, neighbour, distance, place): up to ``k`` near vectors with distance above 0 per row.
 
     Neighbours are named by the smallest key among copies of one vector.
+
+    ``leaf`` and ``orders`` act alike at every size: a vector is compared with the ``leaf`` around it on
+    each order.  Clustered data find over 0.9 of the true neighbours by default; evenly
+    spread directions find fewer the more leaves there are, and more orders or larger
+    leaves make up for it (tests hold the figures).
     """
     require_columns(df, [key, vector])
     points = df.select(F.col(key).alias("key"), as_array(df, vector).alias("values"))

@@ -36,20 +36,22 @@ def distribution(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return unpivot_row(row, {s: f"{s}_" for s in statistics})
 
 
-def correlations(df: DataFrame, names: Sequence[str], impute: bool = True) -> DataFrame:
+def correlations(df: DataFrame, names: Sequence[str], impute: bool = True, exact: bool = False) -> DataFrame:
     """Pearson correlation of every pair of columns as (a, b, r).
 
-    Nulls are filled with the median first.  Only the columns × columns matrix is collected.
+    Nulls are filled with the median first (``exact`` or from a sketch).  Only the columns ×
+    columns matrix is collected; its cells are taken apart by Spark, a line per column.
     """
     names = list(names)
     require_columns(df, names)
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
     if impute:
-        numbers = apply_values(numbers, fit_medians(numbers, names))
+        numbers = apply_values(numbers, fit_medians(numbers, names, exact))
     vectors = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="skip").transform(numbers).select("v")
     matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
-    return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
+    lines = df.sparkSession.createDataFrame([(a, matrix[i].tolist()) for i, a in enumerate(names)], "a string, line array<double>")
+    cells = lines.select("a", F.posexplode("line").alias("at", "r"))
+    return cells.select("a", F.get(F.array(*[F.lit(n) for n in names]), F.col("at")).alias("b"), "r")
 
 
 def correlated_columns(matrix: DataFrame, threshold: float = 0.75) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, PCAModel, UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import ChiSquareTest, Summarizer
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from backglance.operators.encode import index_categories
 
 
 def fit_selector(df: DataFrame, kind: str, features: str = "features", label: str = "label", threshold: float = 0.05):
@@ -64,18 +64,72 @@ def anova_statistics(df: DataFrame, features: str, label: str, names: Sequence[s
     return sums.select(_name_of(F.col("i"), names), statistic.alias("statistic"), (F.col("rows") - 1).alias("degrees"))
 
 
+def chi_square_tail(statistic: float, degrees: int) -> float:
+    """Probability of a chi-square value above ``statistic``: 1 minus the regularised incomplete gamma function."""
+    a, x = degrees / 2, statistic / 2
+    if degrees <= 0 or x <= 0:
+        return 1.0
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        # The lower tail as a power series.
+        term = total = 1 / a
+        n = a
+        while abs(term) > abs(total) * 1e-15:
+            n += 1
+            term *= x / n
+            total += term
+        return max(0.0, 1 - total * scale)
+    # The upper tail as a continued fraction.
+    tiny = 1e-300
+    b = x + 1 - a
+    c, d = 1 / tiny, 1 / b
+    value = d
+    for i in range(1, 100_000):
+        step = -i * (i - a)
+        b += 2
+        d = 1 / (step * d + b or tiny)
+        c = b + step / c or tiny
+        value *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return min(1.0, scale * value)
+
+
 def chi_square_statistics(df: DataFrame, categorical: Sequence[str], label: str) -> DataFrame:
-    """Chi-square statistic per text column against a label; the label itself is never a feature."""
+    """Chi-square statistic, degrees and p-value per text column against a label; nulls are a value.
+
+    Works on the counts of (column, value, label), whatever the number of values; the label
+    itself is never a feature.  One line per column comes to the driver for its p-value.
+    """
     names = [c for c in categorical if c != label]
-    indexed = index_categories(df.withColumn(label, F.col(label).cast("string")), [*names, label])
-    vectors = VectorAssembler(inputCols=[c + "_index" for c in names], outputCol="features").transform(indexed)
-    tests = ChiSquareTest.test(vectors, "features", f"{label}_index", flatten=True)
-    return tests.select(
-        _name_of(F.col("featureIndex"), names),
-        "statistic",
-        F.col("degreesOfFreedom").cast("bigint").alias("degrees"),
-        F.col("pValue").alias("p_value"),
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    known = lambda c: F.coalesce(F.concat(F.lit("v"), text(c)), F.lit("null"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), known(c).alias("value")) for c in names])
+    lines = df.select(F.explode(pairs).alias("pair"), known(label).alias("label")).select("pair.*", "label")
+    cells = lines.groupBy("column_name", "value", "label").agg(F.count(F.lit(1)).alias("n"))
+    values = cells.groupBy("column_name", "value").agg(F.sum("n").alias("of_value"))
+    labels = cells.groupBy("column_name", "label").agg(F.sum("n").alias("of_label"))
+    share = F.col("n") * F.col("n") / (F.col("of_value").cast("double") * F.col("of_label"))
+    joined = cells.join(values, ["column_name", "value"]).join(labels, ["column_name", "label"])
+    sums = joined.groupBy("column_name").agg(F.sum(share).alias("share"), F.sum("n").alias("rows"))
+    shape = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_values")).join(
+        labels.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_labels")), "column_name"
     )
+    tested = sums.join(shape, "column_name").select(
+        "column_name",
+        F.greatest(F.col("rows") * (F.col("share") - 1), F.lit(0.0)).alias("statistic"),
+        ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).alias("degrees"),
+    )
+    found = [(r["column_name"], r["statistic"], r["degrees"], chi_square_tail(r["statistic"], r["degrees"])) for r in tested.collect()]
+    return df.sparkSession.createDataFrame(found, "column_name string, statistic double, degrees bigint, p_value double")
+
+
+def dependent_columns(df: DataFrame, categorical: Sequence[str], label: str, threshold: float = 0.05) -> list[str]:
+    """Text columns that depend on the label with family-wise error ``threshold``, in the given order."""
+    tests = chi_square_statistics(df, categorical, label).collect()
+    names = [c for c in categorical if c != label]
+    kept = {t["column_name"] for t in tests if t["p_value"] < threshold / len(names)}
+    return [c for c in names if c in kept]
 
 
 def principal_components(train: DataFrame, k: int, features: str = "features") -> tuple[PCAModel, DataFrame]:

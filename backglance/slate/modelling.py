@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -143,10 +144,9 @@ SELECT p_partkey, n_types + 1 AS n_features, CAST(p_type_index AS BIGINT) AS act
 FROM part JOIN i USING (p_type), s
 """)
 def one_hot_and_assemble(spark, folder):
-    indexed = encode.index_categories(load_table(spark, folder, "part"), ["p_type"])
-    hot = OneHotEncoder(inputCol="p_type_index", outputCol="p_type_class").fit(indexed).transform(indexed)
-    vectors = VectorAssembler(inputCols=["p_type_class", "p_size"], outputCol="features").transform(hot)
-    values = vectors.select("p_partkey", vector_to_array("features").alias("values"))
+    part = load_table(spark, folder, "part")
+    vectors = Pipeline(stages=encode.encoding_stages(["p_size"], ["p_type"])).fit(part).transform(part)
+    values = vectors.select("p_partkey", vector_to_array("raw_features").alias("values"))
     return values.select(
         "p_partkey",
         F.size("values").cast("bigint").alias("n_features"),
@@ -162,9 +162,8 @@ FROM lineitem, m
 """)
 def standardise(spark, folder):
     line = load_table(spark, folder, "lineitem")
-    vectors = VectorAssembler(inputCols=["l_quantity", "l_extendedprice"], outputCol="raw").transform(line)
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
-    scaled = scaler.fit(vectors.select("raw")).transform(vectors).withColumn("values", vector_to_array("scaled"))
+    model = Pipeline(stages=encode.encoding_stages(["l_quantity", "l_extendedprice"], [], centre=True)).fit(line)
+    scaled = model.transform(line).withColumn("values", vector_to_array("features"))
     return scaled.select(
         "l_orderkey",
         "l_partkey",
@@ -236,6 +235,23 @@ def chi_square_statistics(spark, folder):
     return found.select("column_name", F.round("statistic", 6).alias("statistic"), "degrees")
 
 
+# Three columns share the error of 0.05; with 2 degrees the tail above x is exp(-x / 2).  The part
+# column repeats the label and the constant tells nothing.
+@query(f"""
+SELECT column_name FROM ({_CHI_SQL.format(c="l_linestatus")}) WHERE exp(-statistic / 2) < 0.05 / 3
+UNION ALL SELECT 'l_partkey'
+""")
+def dependent_columns(spark, folder):
+    line = load_table(spark, folder, "lineitem").select(
+        "l_returnflag",
+        "l_linestatus",
+        F.concat_ws("-", F.pmod("l_partkey", F.lit(7)).cast("string"), "l_returnflag").alias("l_partkey"),
+        F.lit("same").alias("constant"),
+    )
+    chosen = select.dependent_columns(line, ["l_linestatus", "l_partkey", "constant"], "l_returnflag")
+    return spark.createDataFrame([(c,) for c in chosen], "column_name string")
+
+
 _NAMES = [f"v{i:02d}" for i in range(64)]
 
 
@@ -292,10 +308,16 @@ def selected_features(spark, folder):
     return values.groupBy("part", F.size("values").cast("bigint").alias("n_features")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+# All components together explain everything, each no more than the one before.
+@query("SELECT 64 AS n_components, 1.0 AS explained, 0 AS n_rising")
 def principal_components(spark, folder):
-    _, explained = select.principal_components(_embeddings(spark, folder), 10)
-    return explained.withColumn("explained", F.round("explained", 6))
+    _, explained = select.principal_components(_embeddings(spark, folder), 64)
+    after = explained.select((F.col("component") - 1).alias("component"), F.col("explained").alias("next"))
+    return explained.join(after, "component", "left").agg(
+        F.count(F.lit(1)).alias("n_components"),
+        F.round(F.sum("explained"), 6).alias("explained"),
+        F.count_if(F.col("next") > F.col("explained") + 1e-12).alias("n_rising"),
+    )
 
 
 @query("""
@@ -311,7 +333,7 @@ def components_of_two_measures(spark, folder):
     return explained.select(F.col("component").cast("int"), F.round("explained", 6).alias("explained"))
 
 
-# Up to two leaves (2,047 vectors) the search compares all of them, so the SQL can follow it.
+# Leaves of 1,024 hold all vectors of this table, so the SQL can follow the search.
 @query("""
 WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings)
 SELECT a.vec_id, b.vec_id AS neighbour, round(list_distance(a.e, b.e), 6) AS distance,
@@ -319,14 +341,29 @@ SELECT a.vec_id, b.vec_id AS neighbour, round(list_distance(a.e, b.e), 6) AS dis
 FROM x a JOIN x b ON a.vec_id <> b.vec_id AND a.e <> b.e QUALIFY place <= 3
 """)
 def similar_vectors(spark, folder):
-    found = neighbours.nearest_neighbours(load_table(spark, folder, "embeddings"), "vec_id", "embedding", k=3)
+    found = neighbours.nearest_neighbours(load_table(spark, folder, "embeddings"), "vec_id", "embedding", k=3, leaf=1024)
     return found.withColumn("distance", F.round("distance", 6))
 
 
+@query("SELECT vec_id, 3 AS n_found, 3 AS n_true_distances, 1 AS in_order FROM embeddings")
+def similar_vectors_in_leaves(spark, folder):
+    """Many small leaves: three neighbours for each vector, at the distance that the vectors have, nearest first."""
+    table = load_table(spark, folder, "embeddings")
+    found = neighbours.nearest_neighbours(table, "vec_id", "embedding", k=3, leaf=128)
+    values = table.select("vec_id", as_array(table, "embedding").alias("a"))
+    both = found.join(values, "vec_id").join(values.select(F.col("vec_id").alias("neighbour"), F.col("a").alias("b")), "neighbour")
+    squares = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x)
+    near = F.abs(F.sqrt(squares) - F.col("distance")) < 1e-6
+    order = F.transform(F.sort_array(F.collect_list(F.struct("place", "distance"))), lambda p: p["distance"])
+    return both.groupBy("vec_id").agg(
+        F.count(F.lit(1)).alias("n_found"), F.count_if(near).alias("n_true_distances"), (F.sort_array(order) == order).cast("int").alias("in_order")
+    )
+
+
 _DRAW = "CAST(CAST('0x' || substr(md5(vec_id || '|' || batch || '|{seed}'), 1, 13) AS UBIGINT) AS DOUBLE) / 4503599627370496.0"
 
 
-# The search compares a class of up to two leaves exactly, so the SQL can follow it here.
+# A leaf of 1,024 holds the whole class, so the SQL can follow the search here.
 @query(f"""
 WITH x AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings),
      m AS (SELECT * FROM x WHERE label = 0),
@@ -345,7 +382,7 @@ UNION ALL SELECT vec_id, 1.0, batch, round(list_sum(e), 6) FROM made
 """)
 def oversample_minority(spark, folder):
     rows = _embeddings(spark, folder).withColumn("label", (F.col("label") == 0).cast("double"))
-    more = balance.smote(rows, "vec_id", k=3, multiplier=2, seed=48)
+    more = balance.smote(rows, "vec_id", k=3, multiplier=2, seed=48, leaf=1024)
     values = more.withColumn("values", vector_to_array("features"))
     return values.select(
         "vec_id", "label", "synthetic", F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("total")
@@ -353,17 +390,17 @@ def oversample_minority(spark, folder):
 
 
 @query("""
-WITH p AS (SELECT a.vec_id, a.embedding AS a, b.embedding AS b FROM embeddings a JOIN embeddings b ON b.label = a.label AND b.vec_id = a.vec_id + 10)
+WITH p AS (SELECT a.vec_id, a.embedding AS a, b.embedding AS b FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 10)
 SELECT vec_id, i, round(CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE), 6) AS total, round(CAST(a[i] AS DOUBLE) - CAST(b[i] AS DOUBLE), 6) AS difference,
        round(CAST(a[i] AS DOUBLE) * 0.25, 6) AS quarter, round(CAST(a[i] AS DOUBLE) + (CAST(b[i] AS DOUBLE) - CAST(a[i] AS DOUBLE)) * 0.25, 6) AS between_both
 FROM p, (SELECT unnest(range(1, 65)) AS i)
 """)
 def vector_arithmetic(spark, folder):
     rows = load_table(spark, folder, "embeddings")
-    a = rows.select("vec_id", "label", as_array(rows, "embedding").alias("a"))
-    b = rows.select((F.col("vec_id") - 10).alias("vec_id"), "label", as_array(rows, "embedding").alias("b"))
+    a = rows.select("vec_id", as_array(rows, "embedding").alias("a"))
+    b = rows.select((F.col("vec_id") - 10).alias("vec_id"), as_array(rows, "embedding").alias("b"))
     x, y, share = F.col("a"), F.col("b"), F.lit(0.25)
-    pairs = a.join(b, ["vec_id", "label"])
+    pairs = a.join(b, "vec_id")
     made = F.arrays_zip(
         add(x, y).alias("total"),
         subtract(x, y).alias("difference"),
@@ -411,10 +448,27 @@ def bayes_predictions(spark, folder):
     return evaluate.confusion(predictions).select("label", "prediction", "n")
 
 
-@query()
+# With one 0/1 column the fitted probabilities are the class shares of its two values.
+@query("""
+WITH r AS (SELECT CAST(l_extendedprice * (1 - l_discount) > 30000 AS INT) AS label, CAST(l_quantity > 20 AS INT) AS x,
+                  percent_rank() OVER (ORDER BY l_shipdate) AS p FROM lineitem),
+     s AS (SELECT x, avg(label) AS share FROM r WHERE p <= 0.8 GROUP BY 1)
+SELECT CAST(x AS DOUBLE) AS x, round(any_value(share), 3) AS probability, CAST(any_value(share) > 0.5 AS DOUBLE) AS prediction, count(*) AS n
+FROM r JOIN s USING (x) WHERE p > 0.8 GROUP BY 1
+""")
 def logistic_baseline(spark, folder):
-    train, test = _model_rows(spark, folder)
-    return _summary("logistic", models.fit_score(models.logistic(), train, test))
+    """Logistic regression on a numeric column, run until it has converged."""
+    line = load_table(spark, folder, "lineitem").select(
+        "l_shipdate",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 30000).cast("double").alias("label"),
+        (F.col("l_quantity") > 20).cast("double").alias("x"),
+    )
+    train, test = splits.time_split(line, ["l_shipdate"], 0.8, time_levels("l_shipdate"))
+    train, test, _ = encode.prepare(train, test, ["x"], [], "label")
+    scored = models.fit_score(models.logistic().setMaxIter(100), train, test)
+    one = scored.select(vector_to_array("features")[0].alias("f"), vector_to_array("probability")[1].alias("probability"), "prediction")
+    lines = one.groupBy((F.col("f") > 0).cast("double").alias("x"))
+    return lines.agg(F.round(F.max("probability"), 3).alias("probability"), F.max("prediction").alias("prediction"), F.count(F.lit(1)).alias("n"))
 
 
 def _folds(spark, folder):

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from backglance.operators import impute, labels, positions, profile
+from backglance.functions.timeops import time_levels
+from backglance.operators import impute, labels, positions, profile, splits
 from backglance.session import ensure_checkpoint_dir
 from backglance.slate.registry import query
 from backglance.sources.tables import audit_counts, load_table, stage
@@ -84,6 +85,28 @@ def correlations(spark, folder):
     return matrix.withColumn("r", F.round("r", 6))
 
 
+_FILLED_SQL = """
+  SELECT CASE WHEN l_quantity <= 40 THEN l_quantity END AS l_quantity, CASE WHEN l_tax > 0.02 THEN l_tax END AS l_tax,
+         CASE WHEN l_extendedprice > 20000 THEN l_extendedprice END AS l_extendedprice FROM lineitem"""
+_FILLED = ["l_quantity", "l_tax", "l_extendedprice"]
+
+
+@query(
+    f"WITH g AS ({_FILLED_SQL}), d AS (SELECT "
+    + ", ".join(f"coalesce({c}, quantile_disc({c}, 0.5) OVER ()) AS {c}" for c in _FILLED)
+    + " FROM g) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM d" for a in _FILLED for b in _FILLED)
+)
+def correlations_of_filled(spark, folder):
+    line = load_table(spark, folder, "lineitem")
+    gaps = line.select(
+        F.when(F.col("l_quantity") <= 40, F.col("l_quantity")).alias("l_quantity"),
+        F.when(F.col("l_tax") > 0.02, F.col("l_tax")).alias("l_tax"),
+        F.when(F.col("l_extendedprice") > 20000, F.col("l_extendedprice")).alias("l_extendedprice"),
+    )
+    return profile.correlations(gaps, _FILLED, exact=True).withColumn("r", F.round("r", 6))
+
+
 @query(f"""
 SELECT a AS column_name, round(max(abs(r)), 6) AS strongest FROM ({_CORR_SQL})
 WHERE a <> b AND abs(r) >= 0.75 GROUP BY 1
@@ -161,6 +184,19 @@ def mode_imputation(spark, folder):
     return filled.select("o_orderkey", "priority", "status")
 
 
+@query(f"""
+WITH d AS (SELECT *, percent_rank() OVER (ORDER BY o_orderdate) AS p FROM ({_GAPS})),
+p AS (SELECT priority AS v FROM d WHERE p <= 0.8 AND priority IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+s AS (SELECT status AS v FROM d WHERE p <= 0.8 AND status IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT o_orderkey, coalesce(priority, (SELECT v FROM p)) AS priority, coalesce(status, (SELECT v FROM s)) AS status FROM d WHERE p > 0.8
+""")
+def later_rows_filled_from_earlier(spark, folder):
+    """Modes of the training rows, filled into the test rows."""
+    train, test = splits.time_split(_orders_with_gaps(spark, folder), ["o_orderdate"], 0.8, time_levels("o_orderdate"))
+    filled = impute.apply_values(test, impute.fit_modes(train, ["priority", "status"]))
+    return filled.select("o_orderkey", "priority", "status")
+
+
 @query("""
 SELECT 'l_quantity' AS column_name, quantile_disc(l_quantity, 0.5) AS value FROM lineitem
 UNION ALL SELECT 'l_extendedprice', quantile_disc(l_extendedprice, 0.5) FROM lineitem

@@ -68,10 +68,20 @@ def test_one_class_is_an_error(spark):
         encode.prepare(rows, rows, [], ["c"], "t")
 
 
-def test_too_many_categories_are_an_error(spark):
-    rows = spark.range(2000).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="too many"):
-        encode.require_few_categories(rows, ["c"], limit=100)
+def test_many_categories(spark):
+    """200,000 values: an index for each, and a chi-square test over all of them."""
+    rows = spark.range(400_000).select((F.col("id") % 200_000).cast("string").alias("c"), (F.col("id") % 2).alias("t"), (F.col("id") % 3).cast("string").alias("d"))
+    indexed = encode.index_categories(rows, ["c"])
+    shape = indexed.agg(F.count_distinct("c_index").alias("n"), F.max("c_index").alias("last")).first()
+    assert shape["n"] == 200_000 and shape["last"] == 199_999
+    found = {r["column_name"]: r for r in select.chi_square_statistics(rows, ["c", "d"], "t").collect()}
+    assert found["c"]["degrees"] == 199_999 and found["c"]["statistic"] == pytest.approx(400_000)
+    assert select.dependent_columns(rows, ["d", "c"], "t") == ["c"] and found["d"]["p_value"] > 0.9
+
+
+@pytest.mark.parametrize("x, k, p", [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (0.5, 3, 0.918891), (200.0, 100, 9.8e-9), (18.307, 10, 0.05)])
+def test_chi_square_tail(x, k, p):
+    assert select.chi_square_tail(x, k) == pytest.approx(p, rel=0.02)
 
 
 def test_selection_finds_the_feature_that_matters(spark):
@@ -164,6 +174,29 @@ def test_neighbours_over_many_leaves_have_good_recall(spark):
     assert ours < best * 1.3
 
 
+def recall(spark, table, **search):
+    found = neighbours.nearest_neighbours(vectors(spark, table), "id", "features", k=3, **search).collect()
+    asked = range(0, len(table), 20)  # every 20th row against all rows
+    gaps = ((table[asked][:, None] - table[None]) ** 2).sum(2) if len(table) < 3000 else None
+    hits = 0
+    per_row = {}
+    for r in found:
+        per_row.setdefault(r["id"], set()).add(r["neighbour"])
+    for n, i in enumerate(asked):
+        line = gaps[n] if gaps is not None else ((table - table[i]) ** 2).sum(1)
+        hits += len(per_row[i] & set(np.argsort(np.where(np.arange(len(table)) == i, np.inf, line))[:3].tolist()))
+    return hits / (3 * len(asked))
+
+
+def test_recall_of_many_small_leaves(spark):
+    """The embeddings of the given tables in leaves of 128, and 6,000 clustered vectors with the defaults."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").orderBy("vec_id").collect()
+    assert recall(spark, np.array([r["embedding"] for r in rows], dtype=float), leaf=128) >= 0.9
+    draw = np.random.default_rng(8)
+    clustered = draw.normal(size=(50, 64))[draw.integers(0, 50, 6000)] * 2 + draw.normal(size=(6000, 64)) * 0.3
+    assert recall(spark, clustered) >= 0.9
+
+
 def test_copies_get_neighbours_at_a_distance(spark):
     table = np.vstack([np.zeros((40, 3)), np.random.default_rng(6).normal(size=(20, 3))])
     found = neighbours.nearest_neighbours(vectors(spark, table), "id", "features", k=2).collect()
