@@ -21,14 +21,18 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on: dict[str, str], columns: Iterable[str]) -> DataFrame:
-    """Columns of a dimension with unique keys; rows without a match keep nulls.
+    """Columns of a dimension; rows without a match keep nulls, and no row is multiplied.
+
+    Where a key occurs more than once in the dimension, its smallest row counts.
 
     No broadcast hint: Spark broadcasts the dimension when its measured size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and joins by shuffle beyond it.
     """
+    keys = [f"_k_{ours}" for ours in on]
     side = dimension.select(
-        *[F.col(theirs).alias(f"_k_{ours}") for ours, theirs in on.items()], *list(columns)
+        *[F.col(theirs).alias(key) for key, theirs in zip(keys, on.values())], F.struct(*list(columns)).alias("_values")
     )
+    side = side.groupBy(*keys).agg(F.min("_values").alias("_values")).select(*keys, "_values.*")
     condition = reduce(lambda a, b: a & b, [F.col(ours) == F.col(f"_k_{ours}") for ours in on])
     return df.join(side, condition, "left").drop(*[f"_k_{ours}" for ours in on])
 

@@ -125,7 +125,7 @@ def keys_at(
     if not paths:
         return {}
     # Rows in the largest open group; before the first level that may be the whole table.
-    largest = 0 if levels else _FEW_GROUPS + 1
+    largest = _FEW_GROUPS + 1
     rest = {place: place for place in paths}
     for depth, name in enumerate(names):
         on_path = {p: _all_equal(names[:depth], path) for p, path in paths.items()}

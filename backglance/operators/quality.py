@@ -79,13 +79,26 @@ def sparse_columns(df: DataFrame, threshold: float = 0.95) -> list[str]:
     return [c for c in df.columns if c in found]
 
 
-def drop_sparse(df: DataFrame, threshold: float = 0.95) -> DataFrame:
-    return df.drop(*sparse_columns(df, threshold))
+def drop_sparse(df: DataFrame, threshold: float = 0.95, keep: Iterable[str] = ()) -> DataFrame:
+    """Without the sparse columns; those in ``keep`` (a label, a join key) stay however sparse."""
+    keep = set(keep)
+    return df.drop(*[c for c in sparse_columns(df, threshold) if c not in keep])
 
 
 def distinct_counts(df: DataFrame, names: Iterable[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Distinct values of every column, in one aggregation."""
+    """Distinct values of every column, nulls apart.
+
+    Exact counts come from the distinct (column, value) pairs, which the map tasks thin out
+    before the shuffle; sketches need one row per task only.
+    """
     names = list(names or df.columns)
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(*[count(F.col(c)).alias(f"dc_{c}") for c in names])
-    return unpivot_row(row, {"n_distinct": "dc_"})
+    if approximate:
+        row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"dc_{c}") for c in names])
+        return unpivot_row(row, {"n_distinct": "dc_"})
+    kinds = dict(df.dtypes)
+    # 0.0 turns -0.0 into 0.0, as COUNT DISTINCT does.
+    value = lambda c: (F.col(f"`{c}`") + F.lit(0.0) if kinds[c] in ("float", "double") else F.col(f"`{c}`")).cast("string")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), value(c).alias("value")) for c in names])
+    lines = df.select(F.explode(pairs).alias("pair")).select("pair.*")
+    named = df.sparkSession.createDataFrame([(c, None) for c in names], "column_name string, value string")
+    return lines.union(named).distinct().groupBy("column_name").agg(F.count("value").alias("n_distinct"))
