@@ -1,7 +1,7 @@
 """From raw flights and weather reports to scored models: will a flight leave 15 or more minutes late?
 
-Each step is one function over DataFrames.  Steps that are read several times can be put
-into ``backglance.sources.tables.stage`` between calls.
+Each step is one function over DataFrames; ``run`` writes every step as Parquet and goes on from the
+files, so that a step's several jobs read its input and not the raw tables.
 """
 
 from __future__ import annotations
@@ -33,6 +33,12 @@ from backglance.operators.labels import cause_shares, derive_label
 from backglance.operators.lookback import lookback_join
 from backglance.operators.nearest import nearest_site
 from backglance.plans import fixed_values as fixed
+from backglance.sources.tables import Scratch
+
+
+# Columns that later steps need, however sparse.
+FLIGHT_KEYS = ("ORIGIN_CITY_NAME", "DEPARTURE_UTC", "DEPARTURE_DAY", "DEP_DEL15", "CANCELLED")
+OBSERVATION_KEYS = ("CLOSEST_CITY", "DATE", "STATION")
 
 
 def prepare_flights(flights: DataFrame, places: DataFrame) -> DataFrame:
@@ -57,8 +63,8 @@ def prepare_observations(weather: DataFrame, places: DataFrame) -> DataFrame:
 
 def join_weather(flights: DataFrame, observations: DataFrame, same_day: bool = False) -> DataFrame:
     """Each flight once, with the latest report of its city two to four hours before departure."""
-    flights = quality.drop_sparse(flights, fixed.SPARSE_BEFORE_JOIN)
-    observations = quality.drop_sparse(observations, fixed.SPARSE_BEFORE_JOIN)
+    flights = quality.drop_sparse(flights, fixed.SPARSE_BEFORE_JOIN, keep=FLIGHT_KEYS)
+    observations = quality.drop_sparse(observations, fixed.SPARSE_BEFORE_JOIN, keep=OBSERVATION_KEYS)
     observations = observations.withColumn("ORIGIN_CITY_NAME", F.col("CLOSEST_CITY"))
     values = [c for c in observations.columns if c not in ("ORIGIN_CITY_NAME", "DATE", "STATION")]
     return lookback_join(
@@ -128,9 +134,8 @@ def fit_cleaning(train: DataFrame, keep: Sequence[str] = (), label: str = "DEP_D
     filled = _reduce_cardinality(impute.apply_values(rest, modes))
     candidates = [c for c in quality.columns_of_type(filled, "text") if c not in keep]
     if candidates:
-        tests = select.chi_square_statistics(filled, candidates, label).collect()
-        bound = 0.05 / len(candidates)
-        uninformative = [t["column_name"] for t in tests if not t["p_value"] < bound]
+        dependent = set(select.dependent_columns(filled, candidates, label))
+        uninformative = [c for c in candidates if c not in dependent]
     return Cleaning(sparse, correlated, uninformative, modes)
 
 
@@ -178,20 +183,43 @@ def oversample(train: DataFrame, key: str) -> DataFrame:
 
 
 def score_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS)) -> DataFrame:
-    """One line per classifier: fold score of the best parameter, accuracy and area on the test rows."""
+    """One line per classifier: fold score of the best parameter, and accuracy, area, average precision and confusion on the test rows."""
     folded = splits.blocked_folds(train, ["DEPARTURE_UTC", key], fixed.FOLDS, fixed.TRAIN_FRACTION, levels=time_levels("DEPARTURE_UTC"))
     lines = []
     for name in names:
         build, parameters = models.CLASSIFIERS[name]
         scores, predictions = models.train_best(folded, train, test, build, parameters)
         best = models.pick_best(models.mean_scores(scores)).first()
-        accuracy = evaluate.accuracy(predictions).first()
-        area = models.area_under_pr_of(predictions)
-        lines.append(
-            (name, best["parameter"], best["mean_score"], accuracy["accuracy"], area, accuracy["positive_rate"])
-        )
-    schema = "model string, parameter double, fold_score double, accuracy double, area_under_pr double, positive_rate double"
-    return train.sparkSession.createDataFrame(lines, schema)
+        lines.append((name, best["parameter"], best["mean_score"], *test_scores(predictions)))
+    return train.sparkSession.createDataFrame(lines, f"model string, parameter double, fold_score double, {TEST_SCORES}")
+
+
+TEST_SCORES = (
+    "accuracy double, positive_rate double, area_under_pr double, "
+    "true_late bigint, false_late bigint, true_early bigint, false_early bigint"
+)
+
+
+def test_scores(predictions: DataFrame) -> tuple:
+    """What ``TEST_SCORES`` lists, for scored test rows."""
+    accuracy = evaluate.accuracy(predictions).first()
+    cells = {(c["label"], c["prediction"]): c["n"] for c in evaluate.confusion(predictions).collect()}
+    of = lambda label, prediction: cells.get((label, prediction), 0)
+    return (
+        accuracy["accuracy"],
+        accuracy["positive_rate"],
+        models.area_under_pr_of(predictions),
+        *(of(1.0, 1.0), of(0.0, 1.0), of(0.0, 0.0), of(1.0, 0.0)),
+    )
+
+
+test_scores.__test__ = False  # not a test, whatever its name
+
+
+def score_baseline(train: DataFrame, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The line of the logistic regression on numeric columns; it has no parameter to choose."""
+    scores = test_scores(numeric_baseline(train, test, keep))
+    return train.sparkSession.createDataFrame([("logistic", None, None, *scores)], f"model string, parameter double, fold_score double, {TEST_SCORES}")
 
 
 def flights_per_state(train: DataFrame) -> DataFrame:
@@ -200,6 +228,11 @@ def flights_per_state(train: DataFrame) -> DataFrame:
     return chosen.groupBy(F.col("ORIGIN_STATE_ABR").alias("state")).agg(F.count("DEP_DEL15").alias("value"))
 
 
+def cancellation_reasons(flights: DataFrame) -> DataFrame:
+    """Share of each reason among the cancelled flights."""
+    return profile.value_shares(flights.where(F.col("CANCELLED") == 1), ["CANCELLATION_CODE"])
+
+
 def delay_causes(flights: DataFrame) -> DataFrame:
     """Share of flights per cause of delay."""
     positive = lambda c: F.coalesce(F.col(c) > 0, F.lit(False))
@@ -212,3 +245,25 @@ def delay_causes(flights: DataFrame) -> DataFrame:
             "late_aircraft": positive("LATE_AIRCRAFT_DELAY"),
         },
     )
+
+
+def run(flights: DataFrame, weather: DataFrame, places: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS)) -> DataFrame:
+    """From raw tables to one line of scores per model, the logistic baseline first.
+
+    ``key`` names the unique flight column.  Steps lie in a folder of their own under the shared
+    checkpoint folder, which goes when the run ends, well or not.
+    """
+    with Scratch(flights.sparkSession) as scratch:
+        departures = scratch.stage(prepare_flights(flights, places))
+        observations = scratch.stage(prepare_observations(weather, places))
+        features = scratch.stage(add_features(scratch.stage(join_weather(departures, observations))))
+        train, test = split_and_label(features)
+        train, test = scratch.stage(train), scratch.stage(test)
+        cleaning = fit_cleaning(train, keep=[key])
+        train, test = scratch.stage(apply_cleaning(train, cleaning)), scratch.stage(apply_cleaning(test, cleaning))
+        lines = score_baseline(train, test, keep=[key])
+        if names:
+            a, b = to_vectors(train, test, keep=[key])
+            a, b = scratch.stage(a), scratch.stage(b)
+            lines = lines.union(score_models(a, b, key, names))
+        return lines

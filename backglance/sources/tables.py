@@ -32,13 +32,48 @@ def stage(df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str
     return df.sparkSession.read.parquet(path)
 
 
+def _pins(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/pinned-{spark.sparkContext.applicationId}"
+
+
 def pin(df: DataFrame) -> DataFrame:
     """The same rows from files in the shared checkpoint folder.
 
     For rows that several later jobs must see unchanged even when executors are lost.
-    Unlike a checkpointed RDD the files keep column pruning.
+    Unlike a checkpointed RDD the files keep column pruning.  Results read them lazily, so
+    they stay until ``clear_pins``, to be called once all results of a session are written.
     """
-    return stage(df, f"{ensure_checkpoint_dir(df.sparkSession)}/pinned-{uuid.uuid4().hex}")
+    return stage(df, f"{_pins(df.sparkSession)}/{uuid.uuid4().hex}")
+
+
+def clear_pins(spark: SparkSession) -> None:
+    """Delete what ``pin`` wrote in this application."""
+    _delete(spark, _pins(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it lies in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Stages in a folder of their own under the shared checkpoint folder, deleted at the end."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        self._stages = 0
+
+    def stage(self, df: DataFrame, partition_by: Iterable[str] = ()) -> DataFrame:
+        self._stages += 1
+        return stage(df, f"{self.folder}/{self._stages:03d}", partition_by)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        _delete(self._spark, self.folder)
 
 
 def audit_counts(stages: Mapping[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from tests.oracle import connect, difference  # noqa: E402
 
 if __name__ == "__main__":
     folder, names = sys.argv[1], sys.argv[2:]
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("CORES", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     connection, sqls, bad = connect(folder), entry.oracle_sql(), []
     for name, run in entry.queries().items():

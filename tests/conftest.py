@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from backglance.session import local_session  # noqa: E402
+from backglance.sources.tables import clear_pins  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,4 +14,5 @@ def spark():
     session = local_session(8, "tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_pins(session)
     session.stop()

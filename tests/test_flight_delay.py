@@ -120,3 +120,38 @@ def test_small_reports(raw, joined):
     causes = {r["cause"]: r["share"] for r in plan.delay_causes(shares).collect()}
     assert sum(causes.values()) == pytest.approx(1.0) and causes["weather"] < 0.2
     assert sum(r["value"] for r in plan.flights_per_state(joined).collect()) == joined.where("DEP_DEL15 is not null").count()
+
+
+def test_run_reads_the_raw_tables_a_few_times(spark, raw, tmp_path, monkeypatch):
+    flights, weather, places = raw
+    paths = {}
+    for name, table in (("flights", flights), ("weather", weather), ("places", places)):
+        paths[name] = str(tmp_path / name)
+        table.coalesce(1).write.parquet(paths[name])
+    scans = {name: 0 for name in paths}
+    written = []
+    from backglance.sources import tables
+
+    def counted(df, path, *args, _stage=tables.stage, **options):
+        plan_text = df._jdf.queryExecution().executedPlan().toString()
+        for name in paths:
+            scans[name] += plan_text.count(f"{paths[name]}]")
+        written.append(path)
+        return _stage(df, path, *args, **options)
+
+    monkeypatch.setattr(tables, "stage", counted)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # plans then name the files they scan in full
+    lines = plan.run(*[spark.read.parquet(paths[n]) for n in ("flights", "weather", "places")], key="id", names=("svm",)).collect()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert [r["model"] for r in lines] == ["logistic", "svm"]
+    for r in lines:
+        n = r["true_late"] + r["false_late"] + r["true_early"] + r["false_early"]
+        assert n == pytest.approx(180, abs=10) and r["accuracy"] == pytest.approx((r["true_late"] + r["true_early"]) / n)
+    assert 1 <= scans["weather"] <= 4 and 1 <= scans["flights"] <= 3
+    scratch = [p for p in written if "scratch-" in p]
+    assert len(scratch) >= 9 and not any(__import__("os").path.exists(p) for p in scratch)
+
+
+def test_cancellation_reasons(spark):
+    rows = spark.createDataFrame([(1.0, "A"), (1.0, "A"), (1.0, "B"), (0.0, None)], "CANCELLED double, CANCELLATION_CODE string")
+    assert sorted(r["share"] for r in plan.cancellation_reasons(rows).collect()) == pytest.approx([1 / 3, 2 / 3])

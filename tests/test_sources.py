@@ -30,3 +30,18 @@ def test_pinned_rows_do_not_change(spark):
 def test_audit_counts(spark):
     found = audit_counts({"all": spark.range(10), "some": spark.range(10).where("id > 6"), "none": spark.range(0)})
     assert dict(found.collect()) == {"all": 10, "some": 3, "none": 0}
+
+
+def test_pins_and_scratch_folders_go(spark):
+    import os
+
+    from backglance.sources import tables
+
+    kept = tables.pin(spark.range(5))
+    folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://"))
+    assert kept.count() == 5 and os.path.isdir(folder)
+    tables.clear_pins(spark)
+    assert not os.path.exists(folder)
+    with tables.Scratch(spark) as scratch:
+        assert scratch.stage(spark.range(3)).count() == 3 and os.path.isdir(scratch.folder)
+    assert not os.path.exists(scratch.folder)
