@@ -30,7 +30,7 @@ MEASURES = {
 # A document fails if a measure lies above its group's 3rd quartile by more than REACH times the
 # distance of the quartiles, and by more than the slack of the measure.
 REACH = 3
-SLACK = {"symbol_share": 30, "line_share": 200, "repeat_share": 150, "word_length": 300}
+SLACK = {"symbol_share": 30, "line_share": 400, "repeat_share": 180, "word_length": 300}
 # A word length that far below the 1st quartile fails too.
 BOTH_SIDES = {"word_length"}
 
