@@ -125,8 +125,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", mo
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"].cast(pa.int32()), lists], ["doc_id", "label", "counts"])
 
     rows = labelled_sample(docs, labels, label, most).mapInArrow(run, "doc_id long, label int, counts array<float>")
-    table = rows.toArrow()  # at most ``most`` lines (more only if ids repeat), COLUMNS numbers each
-    table = table.sort_by("doc_id").slice(0, most)
+    # At most ``most`` lines of COLUMNS numbers each, even if an id stands on very many rows.
+    table = rows.orderBy("doc_id").limit(most).toArrow()
     counts = table["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COLUMNS)
     return fit_neighbours(counts, table["label"].to_numpy())
 
