@@ -164,6 +164,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 2, seed: int
     smallest = linked.groupBy("root").agg(F.min("_least").alias("_smallest"))
     of_node = component.join(smallest, "root").select(F.col("node").alias("bits"), "_smallest")
     every = join_groups(nodes, of_node, ["bits"]).select("bits", F.coalesce("_smallest", "_least").alias("component_id"))
+    every = pin(every)  # both sides of the last join then come straight from a shuffle, which lets it split a hot fingerprint
     hexadecimal = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return join_groups(prints, every, ["bits"]).select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
