@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from backglance.llm.words import Words, words_of
+from backglance.sources.tables import pin
 
 WINDOW = 20
 # Words of the longest symbols that may still join, by round.
@@ -43,7 +44,7 @@ ROUNDS = (1, 1, 2, 2)
 # Symbols of fewer words are not compared: they are often shared by chance.
 LEAST = 3
 # Bytes of text to a bucket: what one task holds at a time.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 _LAST = (1 << 63) - 1
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -304,7 +305,8 @@ def _repeats(docs: DataFrame, carry: list[str], schema: str | T.StructType, arro
     # Documents whose whole text an earlier one has need no windows of their own.
     prints = docs.where("text is not null").select(key.alias("_key"), F.md5(F.col("text").cast("binary")).alias("_md5"), F.xxhash64("text").alias("_print"))
     earliest = prints.groupBy("_md5").agg(F.min("_key").alias("_earliest"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    copies = prints.join(earliest.drop("_n"), "_md5").where("_key > _earliest")
+    # Written, so that both sides of the join come straight from a shuffle, which lets it split a hot text.
+    copies = prints.join(pin(earliest.drop("_n")), "_md5").where("_key > _earliest")
     copies = copies.withColumn("_id", F.xxhash64("_key", "_print")).select(
         F.pmod("_id", F.lit(buckets)).cast("int").alias("bucket"),
         F.lit(None).cast("array<bigint>").alias("names"),
