@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from backglance.llm import bpe, decontam, edits, knn, licenses, rules, shards, simhash, substrings, toxicity
+from backglance.llm.words import small_batches
 from backglance.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +18,15 @@ ORACLES: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query; it runs with small Arrow batches."""
+
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def byte_bpe() -> dict[str, str]:

@@ -155,13 +155,15 @@ class Chain:
 
     def predict(self, texts: pa.Array) -> np.ndarray:
         """Probabilities of the categories: one line per text, one column per link."""
-        weights = np.zeros((len(self.links), WIDTH))
-        for k, link in enumerate(self.links):
-            weights[k, list(link.weights)] = list(link.weights.values())
-        row, column = present_terms(texts, (weights != 0).any(0))
+        used = sorted({column for link in self.links for column in link.weights})
+        wanted = np.zeros(WIDTH, bool)
+        wanted[used] = True
+        row, column = present_terms(texts, wanted)
+        place = np.searchsorted(used, column)
         found = np.zeros((len(texts), 0))
-        for k, link in enumerate(self.links):
-            sums = np.bincount(row, weights[k, column], minlength=len(texts))
+        for link in self.links:
+            weights = np.array([link.weights.get(c, 0.0) for c in used])
+            sums = np.bincount(row, weights[place], minlength=len(texts)) if used else np.zeros(len(texts))
             found = np.hstack([found, link.probability(sums, found)[:, None]])
         return found
 
@@ -195,7 +197,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Seque
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"].cast(pa.int32()), lists], ["doc_id", "label", "ids"])
 
     sample = labelled_sample(docs, labels, LABEL, most).mapInArrow(run, "doc_id long, label int, ids array<int>")
-    table = sample.toArrow().sort_by("doc_id").slice(0, most)  # at most ``most`` lines (more only if ids repeat)
+    table = sample.orderBy("doc_id").limit(most).toArrow()  # at most ``most`` lines, even if an id stands on very many rows
     lists = table["ids"].combine_chunks()
     lengths = np.array([len(x) for x in lists], np.int64)
     rows = Rows(np.concatenate([[0], np.cumsum(lengths)]), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 _BYTE = np.arange(256)
 IS_SPACE = (_BYTE == 0x20) | ((_BYTE >= 0x09) & (_BYTE <= 0x0D))
@@ -38,6 +39,18 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+# Rows to an Arrow batch: texts are long, so few of them make a slice.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python in batches of about a slice.
+
+    A setting of the session, because results are lazy: it has to hold when they run.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts end to end, and where each starts; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from backglance.llm import bpe, decontam, queries, simhash, substrings, toxicity
+from backglance.llm.words import small_batches
 from backglance.sources.tables import load_table, pin
 
 
@@ -33,12 +36,21 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.token_digests(docs, **queries.byte_bpe())
 
 
+def _in_small_batches(stage):
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("simhash", near_duplicate_stage),
-    ("substrings", repeat_stage),
-    ("decontamination", leak_stage),
-    ("bpe", token_stage),
+    ("toxicity", _in_small_batches(toxicity_stage)),
+    ("simhash", _in_small_batches(near_duplicate_stage)),
+    ("substrings", _in_small_batches(repeat_stage)),
+    ("decontamination", _in_small_batches(leak_stage)),
+    ("bpe", _in_small_batches(token_stage)),
 ]
 
 # Classifiers, fingerprints and tokens have no SQL form: tests hold run() against plain Python.
