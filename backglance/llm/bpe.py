@@ -231,16 +231,19 @@ class Bpe:
                 at = raw.find(content.encode(), at + 1)
         return whole
 
-    def count(self, piece: str) -> int:
-        """Number of ids of a piece between places that no pre-token crosses."""
-        known = self._counts.get(piece)
-        if known is None:
-            known = len(self.encode(piece))
-            if len(piece) <= _SHORT:
-                if len(self._counts) >= _REMEMBERED:
-                    self._counts.clear()
-                self._counts[piece] = known
-        return known
+    def spaced_counts(self, pieces: list[str]) -> list[int]:
+        """Number of ids of each piece with a space before it."""
+        known = self._counts
+        found = [known.get(piece, -1) for piece in pieces]
+        for i in [i for i, n in enumerate(found) if n < 0]:
+            found[i] = n = known.get(pieces[i], -1)
+            if n < 0:
+                found[i] = len(self.encode(" " + pieces[i]))
+                if len(pieces[i]) <= _SHORT:
+                    if len(known) >= _REMEMBERED:
+                        known.clear()
+                    known[pieces[i]] = found[i]
+        return found
 
 
 def _joined(values: pa.Array, codes: pa.Array, first: pa.Array, between) -> list:

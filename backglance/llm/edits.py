@@ -9,7 +9,9 @@ between leaves), and renews the sums above them.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +23,25 @@ from backglance.llm.bpe import Bpe, load_bpe
 from backglance.llm.words import slices
 
 _PLACE = regex.compile(r"(?<=[^\s\x1c-\x1f]) ")
+_UNSAFE = re.compile(r"\s ")
 # What the redaction replaces, and by what.
 REDACTIONS = ((r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "<email>"), (r"\d{5,}", "<number>"))
 
 Edit = tuple[int, int, str]
 
 
-def places(text: str) -> list[int]:
-    """Where the leaves of a text start."""
-    return [0, *(m.start() for m in _PLACE.finditer(text))] if text else []
+def leaves(text: str, bpe: Bpe) -> tuple[list[int], list[int]]:
+    """Where the leaves of a text start, and their token counts."""
+    if not text:
+        return [], []
+    if text[0] != " " and not _UNSAFE.search(text):  # then every space is a place
+        pieces = text.split(" ")
+        # A leaf starts at its space; -1 stands for the space that the first piece does not have.
+        starts = [0, *accumulate((len(p) + 1 for p in pieces[:-1]), initial=-1)]
+        del starts[1]
+        return starts, [len(bpe.encode(pieces[0])), *bpe.spaced_counts(pieces[1:])]
+    starts = [0, *(m.start() for m in _PLACE.finditer(text))]
+    return starts, [len(bpe.encode(text[a:b])) for a, b in zip(starts, [*starts[1:], len(text)])]
 
 
 class TokenTree:
@@ -40,10 +52,10 @@ class TokenTree:
 
     @classmethod
     def build(cls, text: str, bpe: Bpe) -> TokenTree:
-        starts = places(text)
+        starts, counts = leaves(text, bpe)
         size = 1 << max(0, len(starts) - 1).bit_length()
         sums = np.zeros(2 * size, np.int64)
-        sums[size : size + len(starts)] = [bpe.count(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])]
+        sums[size : size + len(starts)] = counts
         width = size
         while width > 1:
             width //= 2
@@ -96,8 +108,7 @@ class TokenTree:
                 parts += [self.text[at:start], new]
                 at = end
             region = "".join([*parts, self.text[at:until]])
-            cuts = places(region)
-            counts = [bpe.count(region[a:b]) for a, b in zip(cuts, [*cuts[1:], len(region)])]
+            _, counts = leaves(region, bpe)
             encoded += len(counts)
             self._set(first, sum(counts))
             for leaf in range(first + 1, last + 1):
