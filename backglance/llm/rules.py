@@ -4,6 +4,9 @@ A sketch of a measure is a table of buckets with counts: whole numbers up to 31
 each, larger ones share a bucket when their five leading bits agree, so a quantile is off by
 at most 1 part in 16.  Sketches merge by adding counts, are partly summed in the map tasks,
 and hold a few hundred buckets whatever the input, so a hot source costs no more than another.
+They also merge upward, from sources to languages to all documents: a group's quartiles are
+weighted with those of the wider group, by their documents, so a group of few documents is not
+judged by its own few values.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ MEASURES = {
 # A document fails if a measure lies above its group's 3rd quartile by more than REACH times the
 # distance of the quartiles, and by more than the slack of the measure.
 REACH = 3
+# The quartiles of the wider group count like those of so many documents of the group itself.
+PARENT_DOCUMENTS = 100
 SLACK = {"symbol_share": 30, "line_share": 400, "repeat_share": 180, "word_length": 300}
 # A word length that far below the 1st quartile fails too.
 BOTH_SIDES = {"word_length"}
@@ -143,17 +148,36 @@ def sketches(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """``by``, measure, q1, q3 from sketches; a window here sees the few hundred buckets of one sketch."""
+    """``by``, measure, q1, q3 and docs (their number) from sketches; a window here sees the few hundred buckets of one sketch."""
     whole = Window.partitionBy(*by, "measure")
     total, until = F.sum("n").over(whole), F.sum("n").over(whole.orderBy("bucket"))
     placed = sketch.withColumns({"_all": total, "_until": until})
     at = lambda quarter: F.min(F.when(4 * F.col("_until") >= quarter * F.col("_all"), F.col("bucket")))
-    return placed.groupBy(*by, "measure").agg(at(1).alias("q1"), at(3).alias("q3"))
+    return placed.groupBy(*by, "measure").agg(at(1).alias("q1"), at(3).alias("q3"), F.max("_all").alias("docs"))
+
+
+def weighted_quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, measure, q1, q3: those of each group weighted with those of the group by one column less.
+
+    A group of n documents weighs n to PARENT_DOCUMENTS, at every size; the wider group's
+    quartiles are themselves weighted so, up to all documents, which have no wider group.
+    """
+    found = None
+    for depth in range(len(by) + 1):
+        keys = by[:depth]
+        own = quartiles(sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n")), keys)
+        if found is not None:
+            wider = found.withColumnsRenamed({"q1": "_q1", "q3": "_q3"})
+            own = join_groups(own, wider, [*by[: depth - 1], "measure"])
+            both = lambda q: (F.col("docs") * F.col(q) + PARENT_DOCUMENTS * F.col(f"_{q}")) / (F.col("docs") + PARENT_DOCUMENTS)
+            own = own.withColumns({q: both(q) for q in ("q1", "q3")})
+        found = own.select(*keys, "measure", "q1", "q3")
+    return found
 
 
 def thresholds(rows: DataFrame, by: list[str]) -> DataFrame:
     """One line per group with ``<measure>_most`` and, where it counts, ``<measure>_least``."""
-    quarters = quartiles(sketches(rows, by), by)
+    quarters = weighted_quartiles(pin(sketches(rows, by)), by)
     spread = REACH * (F.col("q3") - F.col("q1"))
     slack = F.coalesce(*[F.when(F.col("measure") == m, F.lit(s)) for m, s in SLACK.items()])
     reach = F.greatest(spread, slack)
@@ -167,8 +191,8 @@ def judge_documents(docs: DataFrame) -> DataFrame:
 
     ``base_failed``: under 10 words, or over a fifth of the words in repeated windows.  Thresholds
     come from the documents that pass the base, per language and source (null is a value of
-    its own), and join back to them.  A document alone in its group has its own values as
-    quartiles and passes.  Null and empty texts have no words and fail the base; repeated rows
+    its own), and join back to them; quartiles of a group are weighted with those of its
+    language and of all documents.  Null and empty texts have no words and fail the base; repeated rows
     count as often as they occur; an empty table gives no rows; other columns are not read.
     """
     by = ["lang", "source"]
