@@ -107,13 +107,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     """doc_id, text and label of at most ``most`` labelled documents that are not held out.
 
     Ids are drawn by hash before their texts are read, so the join sees a bounded side.  Of
-    several labels for an id the smallest counts; null ids and labels are left out.
+    several labels for an id the smallest counts, of several texts the one with the smallest
+    hash, so an id on very many rows is one line; null ids and labels are left out.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
     one = usable.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min(label).alias("_label"))
     drawn = one.orderBy(F.xxhash64("_id", F.lit(17)), "_id").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    return texts.join(F.broadcast(drawn), "_id").select(F.col("_id").alias("doc_id"), "text", F.col("_label").alias("label"))
+    found = texts.join(F.broadcast(drawn), "_id")
+    # Partly aggregated in the map tasks: a repeated id sends one text from each of them.
+    one_text = found.groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("text").alias("_hash"), "text")).alias("_least"))
+    return one_text.select(F.col("_id").alias("doc_id"), F.col("_least.text").alias("text"), F.col("_label").alias("label"))
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_LABELLED) -> Neighbours:
@@ -125,8 +129,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", mo
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"].cast(pa.int32()), lists], ["doc_id", "label", "counts"])
 
     rows = labelled_sample(docs, labels, label, most).mapInArrow(run, "doc_id long, label int, counts array<float>")
-    # At most ``most`` lines of COLUMNS numbers each, even if an id stands on very many rows.
-    table = rows.orderBy("doc_id").limit(most).toArrow()
+    table = rows.toArrow().sort_by("doc_id")  # at most ``most`` lines of COLUMNS numbers each: one for each drawn id
     counts = table["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COLUMNS)
     return fit_neighbours(counts, table["label"].to_numpy())
 

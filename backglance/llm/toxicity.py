@@ -197,7 +197,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Seque
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"].cast(pa.int32()), lists], ["doc_id", "label", "ids"])
 
     sample = labelled_sample(docs, labels, LABEL, most).mapInArrow(run, "doc_id long, label int, ids array<int>")
-    table = sample.orderBy("doc_id").limit(most).toArrow()  # at most ``most`` lines, even if an id stands on very many rows
+    table = sample.toArrow().sort_by("doc_id")  # at most ``most`` lines: one for each drawn id
     lists = table["ids"].combine_chunks()
     lengths = np.array([len(x) for x in lists], np.int64)
     rows = Rows(np.concatenate([[0], np.cumsum(lengths)]), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
