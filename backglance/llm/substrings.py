@@ -16,7 +16,8 @@ for a bounded number of words at either end (``edge``).
 
 Buckets hold a bounded number of bytes, so their number follows the input.  A name or a window
 costs one entry per bucket, however often it occurs there, so a passage found in a third of
-all rows loads no task.
+all rows loads no task.  ``repeat_digests`` counts rows of equal id and text before the shuffle,
+so a bucket has such a row once; the later ones follow from the count.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ LEAST = 3
 # Bytes of text to a bucket: what one task holds at a time.
 BUCKET_BYTES = 4 << 20
 _LAST = (1 << 63) - 1
+# Lines of one repeated row that are written out at a time.
+_RUN = 100_000
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -289,14 +292,17 @@ def _finish(window: int, schema: pa.Schema, rows: Callable) -> Callable[[pa.Tabl
     return run
 
 
-def _repeats(docs: DataFrame, carry: list[str], schema: str | T.StructType, arrow: pa.Schema, rows: Callable, window: int, rounds, least: int) -> DataFrame:
-    """``rows(table, kept, counts)`` for every bucket: its rows, their kept words joined, and (words, removed words)."""
+def _repeats(docs: DataFrame, rows_once: DataFrame, carry: list[str], schema: str | T.StructType, arrow: pa.Schema, rows: Callable, window: int, rounds, least: int) -> DataFrame:
+    """``rows(table, kept, counts)`` for every bucket of ``rows_once``: its rows, their kept words joined, and (words, removed words).
+
+    ``rows_once`` holds each doc_id and text of ``docs``, but may leave out equal rows.
+    """
     if window <= 2 * edge(rounds):
         raise ValueError(f"a window needs more than {2 * edge(rounds)} words for these rounds")
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))  # null ids stand last
-    named = docs.select(*carry).withColumns({"_key": key, "_print": F.xxhash64("text")})
+    named = rows_once.select(*carry).withColumns({"_key": key, "_print": F.xxhash64("text")})
     named = named.withColumn("_id", F.xxhash64("_key", "_print"))
     named = named.withColumn("bucket", F.pmod("_id", F.lit(buckets)).cast("int"))
     by_bucket = named.groupBy("bucket")
@@ -307,7 +313,7 @@ def _repeats(docs: DataFrame, carry: list[str], schema: str | T.StructType, arro
     earliest = prints.groupBy("_md5").agg(F.min("_key").alias("_earliest"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     # Written, so that both sides of the join come straight from a shuffle, which lets it split a hot text.
     copies = prints.join(pin(earliest.drop("_n")), "_md5").where("_key > _earliest")
-    copies = copies.withColumn("_id", F.xxhash64("_key", "_print")).select(
+    copies = copies.select(F.xxhash64("_key", "_print").alias("_id")).distinct().select(  # equal rows are one line
         F.pmod("_id", F.lit(buckets)).cast("int").alias("bucket"),
         F.lit(None).cast("array<bigint>").alias("names"),
         F.array("_id").alias("copies"),
@@ -324,18 +330,40 @@ def repeat_digests(docs: DataFrame, window: int = WINDOW, rounds: tuple[int, ...
     A word goes if a window of ``window`` words over it also starts earlier: in a row with a
     smaller doc_id, or earlier in the same row.  Windows are judged on the input and never
     cross rows.  Null texts have no words; null ids stand after all others.  Rows that share
-    an id count as parts of one document, in the order of a hash.  An empty table gives no
-    rows; only doc_id and text of ``docs`` are read.  A text of any length lies in one bucket.
+    an id count as parts of one document, in the order of a hash; of equal rows, the first is
+    judged like any other and the rest lose all their words if they have a window.  An empty
+    table gives no rows; only doc_id and text of ``docs`` are read.  A text of any length lies
+    in one bucket.
     """
-    arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    arrow = pa.schema(list(zip([*columns, "_times"], types)))
+    nothing = hashlib.sha256(b"").hexdigest()
 
     def rows(table, kept, counts):
         digests = [hashlib.sha256(k).hexdigest() for k in kept]
         n = np.array(counts, np.int64).reshape(-1, 2)
-        return pa.table([table["doc_id"].cast(pa.int64()), pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array(digests)], schema=arrow)
-
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return _repeats(docs, ["doc_id", "text"], schema, arrow, rows, window, rounds, least)
+        ids = table["doc_id"].cast(pa.int64()).combine_chunks()
+        first = pa.table([ids, pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array(digests), pa.array(np.ones(len(n), np.int64))], schema=arrow)
+        more = table["_n"].to_numpy().astype(np.int64) - 1
+        again = np.flatnonzero(more)
+        words = n[again, 0]
+        gone = np.where(words >= window, words, 0)
+        late = [nothing if g else digests[i] for i, g in zip(again.tolist(), gone.tolist())]
+        later = [ids.take(pa.array(again)), pa.array(words), pa.array(gone), pa.array(late, pa.string()), pa.array(more[again])]
+        return pa.concat_tables([first, pa.table(later, schema=arrow)])
+
+    # Texts are shuffled for the count only if some rows have equal hashes, as all equal rows do.
+    # Partly counted in the map tasks: a repeated row sends one line from each of them.
+    if docs.groupBy(F.xxhash64("doc_id", "text")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        once = docs.select("doc_id", "text", F.lit(1).cast("long").alias("_n"))
+    else:
+        once = docs.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("_n"))
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, _times long"
+    found = _repeats(docs, once, ["doc_id", "text", "_n"], schema, arrow, rows, window, rounds, least)
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1, F.lit(_RUN).cast("long")))
+    places = F.explode(F.sequence(F.col("_run"), F.least(F.col("_run") + _RUN, F.col("_times")) - 1))
+    return found.withColumn("_run", runs).select(*columns, places.alias("_place")).select(*columns)
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[int, ...] = ROUNDS, least: int = LEAST) -> DataFrame:
@@ -343,6 +371,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[int, ...]
 
     A text that loses words becomes its kept words joined by one space, and n_chars, if there,
     its new length; other rows stay byte for byte.  A row whose words all go is dropped.
+    Rows of equal id and text lie in one bucket here, so very many of them should go before.
     """
     own = {name: f"_c{i}" for i, name in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in own.items()], F.col("doc_id"), F.col("text"))
@@ -365,5 +394,5 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[int, ...]
                     out = out.set_column(at, own[name], pc.if_else(mask, new.cast(old.type), old))
         return out.filter(stay).cast(arrow)
 
-    found = _repeats(renamed, [*own.values(), "doc_id", "text"], schema, arrow, rows, window, rounds, least)
+    found = _repeats(renamed, renamed, [*own.values(), "doc_id", "text"], schema, arrow, rows, window, rounds, least)
     return found.select(*[F.col(c).alias(n) for n, c in own.items()])
