@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backglance.llm import bpe, decontam, edits, knn, licenses, rules, shards, simhash, substrings, toxicity
+from backglance.llm import bpe, decontam, edits, knn, licenses, rules, secrets, shards, simhash, substrings, termmatrix, toxicity, whitening
 from backglance.llm.words import small_batches
 from backglance.sources.tables import load_table
 
@@ -86,6 +86,21 @@ def op10_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge_documents(load_table(spark, folder, "documents"))
 
 
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return termmatrix.audit_filters(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"))
+
+
+@query
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(load_table(spark, folder, "documents"))
+
+
+@query
+def op13_exact_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(load_table(spark, folder, "embeddings"))
+
+
 # The hash tree in SQL: 24 and 25 shards of weight 1, the least draw wins at every level and so
 # over all shards; slots follow the MD5 of the id.  The CRC is the bitwise one, byte by byte.
 ORACLES["op2_hash_tree_shards"] = """
@@ -115,3 +130,47 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
     row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id, size, text_crc32) - 1 AS slot, grown_shard
 FROM placed
 """
+
+# All texts at once: words as lists, equal texts by their text, orders as tuples of five.
+ORACLES["op11_filter_audit"] = """
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY text) AS earliest FROM texts
+), marks AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), flags AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+        'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+        'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+        'E': coalesce(earliest < words.doc_id, false)
+    } AS f
+    FROM words LEFT JOIN marks ON words.doc_id = marks.doc_id
+), failing AS (
+    SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x:
+        CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END) AS fails
+    FROM flags
+), alike AS (
+    SELECT part, good, toxic, fails, count(*) AS n FROM failing GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step, filter_order[step] AS x, filter_order[1:step - 1] AS before
+    FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders)
+), laid AS (
+    SELECT *, list_contains(fails, x) AS now, len(list_filter(fails, lambda y: contains(before, y))) > 0 AS earlier FROM alike, steps
+)
+SELECT part, filter_order, step,
+    CAST(coalesce(sum(n) FILTER (NOT now AND NOT earlier), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (now AND NOT earlier), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (now AND earlier), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (now AND len(fails) = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (now AND NOT earlier AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (now AND NOT earlier AND toxic), 0) AS BIGINT) AS toxic_lost,
+    CAST(coalesce(sum(n * (120 // nullif(len(fails), 0))) FILTER (now), 0) AS BIGINT) AS shapley
+FROM laid GROUP BY part, filter_order, step
+"""
