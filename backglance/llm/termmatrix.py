@@ -1,11 +1,11 @@
 """A sparse document-term matrix of a whole table, and the audit of five filters that read it.
 
 Each slice of texts becomes a shard: one row per document, one entry per word of it with its
-count, words numbered inside the shard.  The distinct words of all shards, each once per shard,
-are sorted and numbered globally, and the numbers return to the shards by a join, so a token
-is never shuffled: a word found in every document costs one line per shard.  Shards in
-compressed sparse rows (CSR) then hold, per document, the global numbers of its words in
-rising order and their counts.
+count, words numbered inside the shard.  Words are dealt over targets by their hash: a shard
+sends each target its distinct words there, joined, in one line.  A target sorts and numbers the
+distinct words it receives, and the numbers return to the shards, so a token is never shuffled and a
+word found in every document costs one entry per shard.  Shards in compressed sparse rows
+(CSR) then hold, per document, the global numbers of its words in rising order and their counts.
 
 The audit reads two things off the matrix: the sum of a row is the document's words, the number
 of its entries the distinct ones.  The other flags travel with the rows of the shard.  Documents
@@ -15,6 +15,7 @@ with equal flags are counted before anything is laid out by order and step.
 from __future__ import annotations
 
 import json
+import math
 from itertools import permutations
 
 import numpy as np
@@ -25,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from backglance.llm.words import slices, words_of
-from backglance.operators.positions import dense_index
 from backglance.sources.tables import pin
 
 FILTERS = "ABCDE"
@@ -35,6 +35,9 @@ LEAST_DISTINCT_PERCENT = 50
 MOST_CAPITALS_PERCENT = 3
 SYMBOLS = b"#$%&*|"
 
+# Bytes of text to a target, which holds the distinct words of every shard that fall to it.
+TARGET_BYTES = 32 << 20
+
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, np.uint8))
 _BITS = {name: 1 << i for i, name in enumerate(FILTERS)}
 
@@ -47,7 +50,7 @@ _DOCUMENTS = (
     "doc_id array<bigint>, part array<string>, capitals array<bigint>, code_points array<bigint>, has_symbol array<boolean>, "
     "hash_high array<bigint>, hash_low array<bigint>"
 )
-_LOCAL = f"shard bigint, {_DOCUMENTS}, first array<int>, codes array<int>, counts array<int>, words array<string>"
+_LOCAL = f"shard bigint, {_DOCUMENTS}, first array<int>, codes array<int>, counts array<int>, words array<struct<target: int, joined: binary>>"
 _CSR = f"shard bigint, {_DOCUMENTS}, first array<int>, terms array<bigint>, counts array<int>"
 
 
@@ -61,12 +64,17 @@ def _by_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _local_shard(shard: int, part: pa.RecordBatch) -> pa.RecordBatch:
-    """The matrix of a slice, its words numbered inside it, and what is carried of each document."""
+def _local_shard(shard: int, part: pa.RecordBatch, targets: int) -> pa.RecordBatch:
+    """The matrix of a slice, its words numbered inside it by target, and what is carried of each document."""
     words = words_of(part["text"])
     data, offsets = words.data, words.offsets
-    width = max(1, len(words.vocabulary))
-    cells, counts = np.unique(words.documents * width + words.codes, return_counts=True)
+    known = words.vocabulary.to_pylist()
+    target = np.array([xxhash.xxh3_64_intdigest(w) % targets for w in known], np.int64)
+    order = np.argsort(target, kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    width = max(1, len(known))
+    cells, counts = np.unique(words.documents * width + number[words.codes], return_counts=True)
     rows, codes = np.divmod(cells, width)
     raw = data.tobytes()
     hashes = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
@@ -78,13 +86,23 @@ def _local_shard(shard: int, part: pa.RecordBatch) -> pa.RecordBatch:
     lists = [_one_list(v, kind) for v, kind in zip(carried, _CARRIED.values())]
     first = np.searchsorted(rows, np.arange(part.num_rows + 1))
     lists += [_one_list(v, pa.int32()) for v in (first, codes, counts)]
-    lists.append(_one_list(words.vocabulary.cast(pa.large_string()), pa.string()))
+    found, begins = np.unique(target[order], return_index=True)
+    ends = np.append(begins[1:], len(order))
+    # A word holds no line break, so that joins them.
+    joined = [b"\n".join([known[i] for i in order[a:b]]) for a, b in zip(begins.tolist(), ends.tolist())]
+    sent = pa.StructArray.from_arrays([pa.array(found, pa.int32()), pa.array(joined, pa.binary())], ["target", "joined"])
+    lists.append(pa.ListArray.from_arrays(pa.array([0, len(sent)], pa.int32()), sent))
     names = ["shard", *_CARRIED, "first", "codes", "counts", "words"]
     return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), *lists], names)
 
 
-def local_shards(docs: DataFrame) -> DataFrame:
-    """One row per slice of texts: its matrix with words numbered inside the slice.
+def targets_for(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))).first()[0] or 0
+    return max(1, math.ceil(size / TARGET_BYTES))
+
+
+def local_shards(docs: DataFrame, targets: int) -> DataFrame:
+    """One row per slice of texts: its matrix with words numbered inside the slice, and its words by target.
 
     A shard is named by its task and its place in the task's output, so the result has to be
     written (``pin``) before it is read more than once.
@@ -94,29 +112,62 @@ def local_shards(docs: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch):
-                yield _local_shard(number, part)
+                yield _local_shard(number, part, targets)
                 number += 1
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), "text")
     return rows.mapInArrow(run, _LOCAL)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(word, term): every distinct word of all shards, numbered from 0 on in the order of its bytes."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    return dense_index(words, ["word"], "term")
+def _words_by_target(shards: DataFrame) -> DataFrame:
+    return shards.select(F.col("shard").alias("of"), F.explode("words").alias("w")).select("of", "w.*").groupBy("target")
+
+
+def _numbered(table: pa.Table, targets: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of a target in the order of their bytes, the global number of every word sent, and where each line ends.
+
+    Target t numbers its words t, t + targets, t + 2 * targets and so on.
+    """
+    lines = [joined.split(b"\n") for joined in table["joined"].to_pylist()]
+    coded = pa.array([w for line in lines for w in line], pa.large_binary()).dictionary_encode()
+    known = coded.dictionary.to_pylist()
+    order = sorted(range(len(known)), key=known.__getitem__)
+    number = np.empty(len(known), np.int64)
+    number[order] = np.arange(len(known)) * targets + table["target"][0].as_py()
+    return [known[i] for i in order], number[coded.indices.to_numpy()], np.cumsum([len(line) for line in lines])
+
+
+def dictionary(shards: DataFrame, targets: int) -> DataFrame:
+    """(word, term): every distinct word of all shards with its global number."""
+
+    def run(table: pa.Table) -> pa.Table:
+        words, _, _ = _numbered(table, targets)
+        terms = np.arange(len(words)) * targets + table["target"][0].as_py()
+        return pa.table({"word": pa.array(words, pa.binary()).cast(pa.string()), "term": terms})
+
+    return _words_by_target(shards).applyInArrow(run, "word string, term bigint")
+
+
+def _numbers(shards: DataFrame, targets: int) -> DataFrame:
+    """(of, target, terms): the global numbers of the words that a shard sent to a target, in the order it sent them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, numbers, ends = _numbered(table, targets)
+        terms = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(numbers))
+        return pa.table({"of": table["of"], "target": table["target"], "terms": terms})
+
+    return _words_by_target(shards).applyInArrow(run, "of bigint, target int, terms array<bigint>")
 
 
 def _to_csr(local: pa.Table, numbers: pa.Table) -> pa.Table:
     """A shard with global numbers in place of its own, each row in rising order."""
-    columns = ["shard", *_CARRIED, "first"]
-    terms = np.zeros(numbers.num_rows, np.int64)
-    terms[numbers["code"].to_numpy()] = numbers["term"].to_numpy()
-    first = local["first"].combine_chunks().flatten().to_numpy()
-    entry = terms[local["codes"].combine_chunks().flatten().to_numpy()]
-    counts = local["counts"].combine_chunks().flatten().to_numpy()
+    flat = lambda column: column.combine_chunks().flatten().to_numpy()
+    terms = flat(numbers.sort_by("target")["terms"])
+    first, counts = flat(local["first"]), flat(local["counts"])
+    entry = terms[flat(local["codes"])]
     order = np.lexsort((entry, np.repeat(np.arange(len(first) - 1), np.diff(first))))
     lists = [_one_list(entry[order], pa.int64()), _one_list(counts[order], pa.int32())]
+    columns = ["shard", *_CARRIED, "first"]
     return pa.table([*[local[c] for c in columns], *lists], [*columns, "terms", "counts"])
 
 
@@ -127,10 +178,9 @@ def csr_shards(docs: DataFrame) -> DataFrame:
     ``terms`` (numbers of the global dictionary) and ``counts``.  Words are ``[^\\x20\\x09-\\x0D]+``, in
     their case; null counts as an empty text.  ``part`` is the language.
     """
-    shards = pin(local_shards(docs))
-    places = shards.select(F.col("shard").alias("of"), F.posexplode("words").alias("code", "word"))
-    numbers = places.join(dictionary(shards), "word").select("of", "code", "term")
-    return shards.drop("words").groupBy("shard").cogroup(numbers.groupBy("of")).applyInArrow(_to_csr, _CSR)
+    targets = targets_for(docs)
+    shards = pin(local_shards(docs, targets))
+    return shards.drop("words").groupBy("shard").cogroup(_numbers(shards, targets).groupBy("of")).applyInArrow(_to_csr, _CSR)
 
 
 _ROWS = ", ".join(
