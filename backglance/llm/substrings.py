@@ -222,15 +222,18 @@ def _windows_of(targets: int, window: int, rounds, least: int) -> Callable[[pa.T
         high, low, place = high[order], low[order], place[order]
         document = keys[np.searchsorted(words.first, place, "right") - 1]
         order, found, ends = _by_group((high % np.uint64(targets)).astype(np.int32))
-        if len(certain) and not len(found):
-            found, ends = np.zeros(1, np.int32), np.zeros(1, np.int64)
-        bucket = np.full(len(found), table["bucket"][0].as_py(), np.int32)
+        own = table["bucket"][0].as_py()
         certain.sort()
-        sent = np.where(np.arange(len(found)) == 0, len(certain), 0).cumsum()
+        # Known windows need no comparison: they go to the target numbered like their own bucket,
+        # in a line of their own, so each target gets those of one bucket.
+        home = int(len(certain) > 0)
+        found, ends = np.append(found, np.full(home, own)).astype(np.int32), np.append(ends, np.full(home, len(order))).astype(np.int64)
+        sent = np.zeros(len(found), np.int64)
+        sent[len(found) - home :] = len(certain)
         return pa.table(
             {
                 "target": pa.array(found, pa.int32()),
-                "bucket": bucket,
+                "bucket": np.full(len(found), own, np.int32),
                 "high": _lists(high[order].view(np.int64), ends, pa.int64()),
                 "low": _lists(low[order].view(np.int32), ends, pa.int32()),
                 "doc": _lists(document[order], ends, pa.int64()),
