@@ -1,12 +1,17 @@
 """Quality rules whose thresholds come from mergeable quantile sketches per language and source.
 
-A sketch of a measure is a table of buckets with counts: whole numbers up to 31 have a bucket
-each, larger ones share a bucket when their five leading bits agree, so a quantile is off by
-at most 1 part in 16.  Sketches merge by adding counts, are partly summed in the map tasks,
+A sketch of a measure is a table of buckets with counts: whole numbers up to 127 have a bucket
+each, larger ones share a bucket when their seven leading bits agree, so a quantile is off by
+at most 1 part in 64.  Sketches merge by adding counts, are partly summed in the map tasks,
 and hold a few hundred buckets whatever the input, so a hot source costs no more than another.
-They also merge upward, from sources to languages to all documents: a group's quartiles are
+They also merge upward, from sources to languages to all documents: a group's quantiles are
 weighted with those of the wider group, by their documents, so a group of few documents is not
 judged by its own few values.
+
+A cutoff lies above the upper quantile of the group by a multiple of its distance from the lower
+one: what many documents of a source do is usual there.  Symbols are usual if a quarter of the
+documents have them; repeated lines and words, which good texts have now and then, if one in a
+hundred has as many.
 """
 
 from __future__ import annotations
@@ -30,13 +35,17 @@ MEASURES = {
     "repeat_share": "1000 * n_repeat_words DIV greatest(n_words, 1)",
     "word_length": "100 * word_chars DIV greatest(n_words, 1)",
 }
-# A document fails if a measure lies above its group's 3rd quartile by more than REACH times the
-# distance of the quartiles, and by more than the slack of the measure.
-REACH = 3
-# The quartiles of the wider group count like those of so many documents of the group itself.
+# Levels of the lower and upper quantile, in thousandths.
+LEVELS = {"symbol_share": (500, 750), "line_share": (500, 990), "repeat_share": (500, 990), "word_length": (250, 750)}
+# A document fails if a measure lies above its group's upper quantile by more than so many times
+# the distance of the quantiles, and by more than the least distance a cutoff has.
+REACH = {"symbol_share": 3, "line_share": 3, "repeat_share": 3, "word_length": 5}
+LEAST_REACH = {"symbol_share": 10, "line_share": 100, "repeat_share": 50, "word_length": 50}
+# The quantiles of the wider group count like those of so many documents of the group itself.
 PARENT_DOCUMENTS = 100
-SLACK = {"symbol_share": 30, "line_share": 400, "repeat_share": 180, "word_length": 300}
-# A word length that far below the 1st quartile fails too.
+# Leading bits that values of a bucket share.
+BITS = 7
+# A word length that far below the lower quantile fails too.
 BOTH_SIDES = {"word_length"}
 
 
@@ -135,7 +144,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def bucket_of(value: Column) -> Column:
     """The sketch bucket of a whole number from 0 on, named by its least value."""
-    drop = F.greatest(F.length(F.bin(value)) - 5, F.lit(0))
+    drop = F.greatest(F.length(F.bin(value)) - BITS, F.lit(0))
     power = F.expr("1L").cast("long") * F.pow(F.lit(2), drop).cast("long")
     return (F.floor(value / power) * power).cast("long")
 
@@ -147,41 +156,44 @@ def sketches(rows: DataFrame, by: list[str]) -> DataFrame:
     return lines.groupBy(*by, "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """``by``, measure, q1, q3 and docs (their number) from sketches; a window here sees the few hundred buckets of one sketch."""
+def _of_measure(values: dict[str, object]) -> Column:
+    return F.coalesce(*[F.when(F.col("measure") == m, F.lit(v)) for m, v in values.items()])
+
+
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, measure, low, high and docs (their number) from sketches; a window here sees the few hundred buckets of one sketch."""
     whole = Window.partitionBy(*by, "measure")
     total, until = F.sum("n").over(whole), F.sum("n").over(whole.orderBy("bucket"))
     placed = sketch.withColumns({"_all": total, "_until": until})
-    at = lambda quarter: F.min(F.when(4 * F.col("_until") >= quarter * F.col("_all"), F.col("bucket")))
-    return placed.groupBy(*by, "measure").agg(at(1).alias("q1"), at(3).alias("q3"), F.max("_all").alias("docs"))
+    level = lambda i: _of_measure({m: levels[i] for m, levels in LEVELS.items()})
+    at = lambda i: F.min(F.when(1000 * F.col("_until") >= level(i) * F.col("_all"), F.col("bucket")))
+    return placed.groupBy(*by, "measure").agg(at(0).alias("low"), at(1).alias("high"), F.max("_all").alias("docs"))
 
 
-def weighted_quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """``by``, measure, q1, q3: those of each group weighted with those of the group by one column less.
+def weighted_quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, measure, low, high: those of each group weighted with those of the group by one column less.
 
     A group of n documents weighs n to PARENT_DOCUMENTS, at every size; the wider group's
-    quartiles are themselves weighted so, up to all documents, which have no wider group.
+    quantiles are themselves weighted so, up to all documents, which have no wider group.
     """
     found = None
     for depth in range(len(by) + 1):
         keys = by[:depth]
-        own = quartiles(sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n")), keys)
+        own = quantiles(sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n")), keys)
         if found is not None:
-            wider = found.withColumnsRenamed({"q1": "_q1", "q3": "_q3"})
+            wider = found.withColumnsRenamed({"low": "_low", "high": "_high"})
             own = join_groups(own, wider, [*by[: depth - 1], "measure"])
             both = lambda q: (F.col("docs") * F.col(q) + PARENT_DOCUMENTS * F.col(f"_{q}")) / (F.col("docs") + PARENT_DOCUMENTS)
-            own = own.withColumns({q: both(q) for q in ("q1", "q3")})
-        found = own.select(*keys, "measure", "q1", "q3")
+            own = own.withColumns({q: both(q) for q in ("low", "high")})
+        found = own.select(*keys, "measure", "low", "high")
     return found
 
 
 def thresholds(rows: DataFrame, by: list[str]) -> DataFrame:
     """One line per group with ``<measure>_most`` and, where it counts, ``<measure>_least``."""
-    quarters = weighted_quartiles(pin(sketches(rows, by)), by)
-    spread = REACH * (F.col("q3") - F.col("q1"))
-    slack = F.coalesce(*[F.when(F.col("measure") == m, F.lit(s)) for m, s in SLACK.items()])
-    reach = F.greatest(spread, slack)
-    bounds = quarters.select(*by, "measure", (F.col("q3") + reach).alias("most"), (F.col("q1") - reach).alias("least"))
+    found = weighted_quantiles(pin(sketches(rows, by)), by)
+    reach = F.greatest(_of_measure(REACH) * (F.col("high") - F.col("low")), _of_measure(LEAST_REACH))
+    bounds = found.select(*by, "measure", (F.col("high") + reach).alias("most"), (F.col("low") - reach).alias("least"))
     one = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}")
     return bounds.groupBy(*by).agg(*[one(m, "most") for m in MEASURES], *[one(m, "least") for m in sorted(BOTH_SIDES)])
 
@@ -191,7 +203,7 @@ def judge_documents(docs: DataFrame) -> DataFrame:
 
     ``base_failed``: under 10 words, or over a fifth of the words in repeated windows.  Thresholds
     come from the documents that pass the base, per language and source (null is a value of
-    its own), and join back to them; quartiles of a group are weighted with those of its
+    its own), and join back to them; quantiles of a group are weighted with those of its
     language and of all documents.  Null and empty texts have no words and fail the base; repeated rows
     count as often as they occur; an empty table gives no rows; other columns are not read.
     """

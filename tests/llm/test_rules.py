@@ -1,6 +1,7 @@
 """Counts of the rules against plain Python, sketches against exact quartiles, and the verdict."""
 
 import re
+from functools import cache
 
 import pyarrow as pa
 from hypothesis import given, settings
@@ -33,12 +34,15 @@ def test_counts(texts):
 
 
 def bucket(value):
-    drop = max(value.bit_length() - 5, 0)
+    drop = max(value.bit_length() - 7, 0)
     return value >> drop << drop
 
 
 def verdicts(rows):
-    """doc_id -> (counts, base_failed, kept), by sorting every group's bucketed measures."""
+    """doc_id -> (counts, base_failed, kept), by sorting every group's bucketed measures.
+
+    A group's quantiles are weighted with those of its language, and those with all documents'.
+    """
     def measures(c):
         n_words, chars, symbols, dup, repeats, lines = c
         return {
@@ -51,16 +55,23 @@ def verdicts(rows):
     groups = {}
     for r in rows:
         if not failed[r.doc_id]:
-            groups.setdefault((r.lang, r.source), []).append(measures(counts[r.doc_id]))
+            for group in ((), (r.lang,), (r.lang, r.source)):
+                groups.setdefault(group, []).append(measures(counts[r.doc_id]))
+
+    @cache
+    def quantile(group, name, level):
+        held = sorted(bucket(m[name]) for m in groups[group])
+        own = held[max(0, -(-len(held) * level // 1000) - 1)]
+        return own if not group else (len(held) * own + 100 * quantile(group[:-1], name, level)) / (len(held) + 100)
+
     found = {}
     for r in rows:
         ok = not failed[r.doc_id]
         if ok:
             for name, value in measures(counts[r.doc_id]).items():
-                held = sorted(bucket(m[name]) for m in groups[r.lang, r.source])
-                q1, q3 = (held[-(-len(held) * k // 4) - 1] for k in (1, 3))
-                reach = max(3 * (q3 - q1), rules.SLACK[name])
-                ok = ok and value <= q3 + reach and (name not in rules.BOTH_SIDES or value >= q1 - reach)
+                low, high = (quantile((r.lang, r.source), name, level) for level in rules.LEVELS[name])
+                reach = max(rules.REACH[name] * (high - low), rules.LEAST_REACH[name])
+                ok = ok and value <= high + reach and (name not in rules.BOTH_SIDES or value >= low - reach)
         found[r.doc_id] = (*counts[r.doc_id][:5], failed[r.doc_id], ok)
     return found
 
@@ -82,3 +93,26 @@ def test_clean_labelled_documents_stay(spark):
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
     kept = {r.doc_id for r in QUERIES["op10_adaptive_rules"](spark, SF).where("kept or n_words < 10").collect()}
     assert len(good - kept) <= 0.02 * len(good)
+
+
+def test_sources_get_cutoffs_of_their_own(spark):
+    """The same text is usual in a source of tables, and junk in a source of prose."""
+    prose = "plain words of ordinary length stand in this text and nothing else is here at all"
+    table = " | ".join(prose.split())
+    rows = [(i, "en", "prose", f"{prose} w{i}") for i in range(400)] + [(1000 + i, "en", "tables", f"{table if i % 2 else prose} w{i}") for i in range(400)]
+    rows += [(5000, "en", "prose", f"{table} x"), (5001, "en", "tables", f"{table} x")]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    found = {r.doc_id: r.kept for r in rules.judge_documents(frame).collect()}
+    assert [d for d, ok in found.items() if not ok] == [5000]
+    counted = rules.measure(frame)
+    cut = {r.source: r.symbol_share_most for r in rules.thresholds(counted, ["lang", "source"]).collect()}
+    assert cut["tables"] > 2 * cut["prose"]
+
+
+def test_cutoffs_of_word_length_follow_the_sketches(spark):
+    """On sf0.1 the cutoffs of word length differ between languages, and none is the least distance."""
+    rows = rules.measure(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("n_words >= 10 and 100 * n_repeat_words <= 20 * n_words")
+    found = rules.thresholds(rows, ["lang", "source"]).collect()
+    mean = {lang: sum(r.word_length_most for r in found if r.lang == lang) / 20 for lang in ("en", "de", "fr", "es")}
+    assert mean["de"] > mean["en"] + 20 and len({r.word_length_most for r in found}) > 40
+    assert all(r.word_length_most - r.word_length_least > 2 * rules.LEAST_REACH["word_length"] for r in found)

@@ -1,4 +1,4 @@
-"""Groups of few documents are judged with the quartiles of wider groups."""
+"""Groups of few documents are judged with the quantiles of wider groups."""
 
 from pyspark.sql import functions as F
 
@@ -28,11 +28,11 @@ def test_a_source_with_over_a_quarter_of_junk_does_not_keep_it(spark):
     assert {d for d, ok in found.items() if not ok} == {1000, 1001, 1002}
 
 
-def test_quartiles_weigh_documents_at_every_size(spark):
+def test_quantiles_weigh_documents_at_every_size(spark):
     counts = {("en", "a"): (0, 100), ("en", "b"): (16, 1), ("de", "a"): (8, 300)}
     rows = [(lang, source, "symbol_share", bucket, n) for (lang, source), (bucket, n) in counts.items()]
     sketch = spark.createDataFrame(rows, "lang string, source string, measure string, bucket long, n long")
-    found = {(r.lang, r.source): (r.q1, r.q3) for r in rules.weighted_quartiles(sketch, ["lang", "source"]).collect()}
+    found = {(r.lang, r.source): (r.low, r.high) for r in rules.weighted_quantiles(sketch, ["lang", "source"]).collect()}
     mix = lambda n, own, wider: (n * own + 100 * wider) / (n + 100)
     everything, en, de = 8, mix(101, 0, 8), mix(300, 8, 8)  # 300 of 401 documents lie at 8: the third quartile
     wanted = {("en", "a"): mix(100, 0, en), ("en", "b"): mix(1, 16, en), ("de", "a"): mix(300, 8, de)}
