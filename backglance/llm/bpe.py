@@ -1,10 +1,12 @@
 """Byte-level BPE, encoded and decoded with contiguous rank arrays.
 
-A pre-token is held as the array of its part boundaries and, beside it, the rank of each pair
-of neighbouring parts.  A step scans the ranks for the least (the first of equals), deletes
-the boundary inside that pair and refreshes the two ranks beside it.  The scan is linear, which
-is the fastest way for pre-tokens of some tens of bytes; longer ones take their next pair from
-a heap over the same boundaries, with the same result.
+A pre-token is held as the array of its parts and, beside it, the rank of each pair of
+neighbouring parts.  A step scans the ranks for the least (the first of equals), deletes
+the boundary inside that pair and refreshes the two ranks beside it.  The distinct pre-tokens of
+a slice of texts take their steps together, one row of numpy arrays each, so no memory of earlier
+texts is needed and none is kept.  The scan is linear, which is the fastest way for pre-tokens of some
+tens of bytes; longer ones take their next pair from a heap over the same boundaries, with
+the same result.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -26,9 +29,62 @@ from backglance.llm.words import slices, text_bytes
 
 # Bytes of a pre-token up to which the linear scan is used; either way gives the same ids.
 _SHORT = 128
-# Pre-tokens whose encoding a worker remembers; the memory is emptied when full.
-_REMEMBERED = 300_000
+# Pre-tokens that take their steps together, and from how many on it is worth it; same ids.
+_TOGETHER, _FEW = 8192, 48
 _NONE = 1 << 60
+_NO_RANK = np.int32(2**31 - 1)
+
+_BYTE = np.arange(256)
+_LETTER, _NUMBER, _OTHER, _BREAK, _SPACE, _UNCLEAR = 1, 2, 3, 4, 5, 6
+# Classes of bytes that tell where a pre-token ends; unclear ones are left to the pattern.
+_CLASS = np.full(256, _UNCLEAR, np.uint8)
+_CLASS[0x21:0x7F] = _OTHER
+_CLASS[ord("'")] = _UNCLEAR
+_CLASS[0x30:0x3A] = _NUMBER
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _LETTER
+_CLASS[0x0A], _CLASS[0x20] = _BREAK, _SPACE
+
+
+def binary_parts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all values of a large_binary array end to end, and where each starts."""
+    if not len(array):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = array.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
+def _binary(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+
+
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _chosen(flat: np.ndarray, first: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``take`` of the lists that start in ``flat`` at ``first``."""
+    lengths = np.diff(first)[take]
+    ends = _ends(lengths)
+    return flat[np.arange(ends[-1]) + np.repeat(first[:-1][take] - ends[:-1], lengths)], ends
+
+
+@dataclass
+class Pieces:
+    """Texts cut before every space: ``codes[i]`` is the place of piece i in ``distinct``; text d has those from ``first[d]`` to ``first[d + 1]``.
+
+    Texts marked ``whole`` have places where that cut may go through a pre-token.
+    """
+
+    data: np.ndarray
+    offsets: np.ndarray
+    cuts: np.ndarray
+    codes: np.ndarray
+    distinct: pa.Array
+    first: np.ndarray
+    whole: np.ndarray
 
 
 def _alphabet() -> dict[str, int]:
@@ -65,9 +121,142 @@ class Bpe:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
         self.pattern = regex.compile(pattern)
-        self._chunks: dict[bytes, tuple[int, str, bytes]] = {}
-        self._pretokens: dict[str, tuple[list[int], str]] = {}
-        self._counts: dict[str, int] = {}
+        self._make_tables(merges, raw)
+
+    def _make_tables(self, merges, raw) -> None:
+        """Ranks by pair of part ids in open addressing, for many look-ups at once; ids as text and bytes."""
+        pairs = np.array([(self.ids[raw(a)], self.ids[raw(b)], self.ids[raw(a) + raw(b)]) for a, b in merges], np.int64).reshape(-1, 3)
+        self._byte_id = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
+        self._merged = pairs[:, 2].astype(np.int32)
+        bits = max(10, (8 * len(pairs)).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._keys, self._values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NO_RANK, np.int32)
+        for rank, key in enumerate((pairs[:, 0] << 32 | pairs[:, 1]).tolist()):
+            slot = int(self._slots(np.array([key]))[0])
+            while self._keys[slot] != -1:
+                slot = (slot + 1) & self._mask
+            self._keys[slot], self._values[slot] = key, rank
+        top = max(self.bytes_of) + 1
+        self._id_text = pa.array([str(i) for i in range(top)], pa.large_string())
+        self._id_bytes = pa.array([self.bytes_of.get(i, b"") for i in range(top)], pa.large_binary())
+
+    # -- many pre-tokens ------------------------------------------------------------------
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of part ids; -1 stands for no part and has no rank."""
+        keys = left.astype(np.int64) << 32 | right
+        slots = self._slots(keys)
+        held = self._keys[slots]
+        ranks = np.where(held == keys, self._values[slots], _NO_RANK)
+        open_ = np.flatnonzero((held != keys) & (held != -1))
+        flat, ranks_flat, slots_flat = keys.ravel(), ranks.reshape(-1), slots.ravel()
+        while len(open_):
+            slots_flat[open_] = (slots_flat[open_] + 1) & self._mask
+            held = self._keys[slots_flat[open_]]
+            hit = held == flat[open_]
+            ranks_flat[open_[hit]] = self._values[slots_flat[open_[hit]]]
+            open_ = open_[~hit & (held != -1)]
+        return ranks
+
+    def _join_rows(self, part: np.ndarray):
+        """(rows, parts) once no pair of neighbours can be joined; each row of ``part`` is a pre-token, filled up with -1."""
+        rows = np.arange(len(part))
+        ranks = self._rank(part[:, :-1], part[:, 1:])
+        while part.shape[1] > 1:
+            at = ranks.argmin(1)
+            least = ranks[np.arange(len(rows)), at]
+            joins = least != _NO_RANK
+            if not joins.all():
+                yield rows[~joins], part[~joins]
+                rows, part, ranks, at, least = rows[joins], part[joins], ranks[joins], at[joins], least[joins]
+                if not len(rows):
+                    return
+            each = np.arange(len(rows))
+            part[each, at] = self._merged[least]
+            keep = np.ones(part.shape, bool)
+            keep[each, at + 1] = False
+            part = part[keep].reshape(len(rows), -1)
+            keep = np.ones(ranks.shape, bool)
+            keep[each, at] = False
+            ranks = ranks[keep].reshape(len(rows), -1)
+            # The new part has new ranks with both its neighbours.
+            some = np.flatnonzero(at < ranks.shape[1])
+            ranks[some, at[some]] = self._rank(part[some, at[some]], part[some, at[some] + 1])
+            some = np.flatnonzero(at > 0)
+            ranks[some, at[some] - 1] = self._rank(part[some, at[some] - 1], part[some, at[some]])
+        yield rows, part
+
+    def pretokens(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens (large_binary) end to end, and where those of each start."""
+        data, offsets = binary_parts(tokens)
+        lengths = np.diff(offsets)
+        counts = np.zeros(len(lengths), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        order = np.argsort(lengths, kind="stable")
+        order = order[lengths[order] > 0]
+        short = order[lengths[order] <= _SHORT]
+        for start in range(0, len(short), _TOGETHER):
+            some = short[start : start + _TOGETHER]
+            place = np.arange(lengths[some[-1]])
+            inside = place < lengths[some][:, None]
+            part = np.full(inside.shape, -1, np.int32)
+            part[inside] = self._byte_id[data[(offsets[some][:, None] + place)[inside]]]
+            for rows, parts in self._join_rows(part):
+                counts[some[rows]] = (parts >= 0).sum(1)
+                found.append((some[rows], parts))
+        for i in order[len(short) :].tolist():
+            word = data[offsets[i] : offsets[i + 1]].tobytes()
+            bounds = self._long(word)
+            found.append((np.array([i]), np.array([[self.ids[word[a:b]] for a, b in zip(bounds, bounds[1:])]], np.int32)))
+            counts[i] = len(bounds) - 1
+        first = _ends(counts)
+        flat = np.zeros(first[-1], np.int32)
+        for rows, parts in found:
+            inside = parts >= 0
+            flat[(first[rows][:, None] + np.arange(parts.shape[1]))[inside]] = parts[inside]
+        return flat, first
+
+    def _plain_tokens(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether the bytes of a piece alone tell its pre-tokens; then where they start, and their number, for those pieces end to end."""
+        data, offsets = binary_parts(pieces)
+        kind = _CLASS[data]
+        # The letters of Latin-1 in two bytes, but for the signs of multiplication and division.
+        lead = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+        kind[lead] = kind[lead + 1] = _LETTER
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offsets] = True
+        unclear = kind == _UNCLEAR
+        unclear[1:] |= (kind[1:] == _BREAK) & (kind[:-1] == _BREAK)
+        unclear |= (kind == _BREAK) & (begins[:-1] | begins[1:])  # a break at either end may join what is beyond
+        unclear |= (kind == _SPACE) & ~begins[:-1]
+        clear = np.diff(_ends(unclear)[offsets]) == 0
+        head = begins[:-1].copy()
+        head[1:] |= (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE)
+        return clear, head, np.diff(_ends(head)[offsets])
+
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces (large_binary) end to end, and where those of each start."""
+        if not len(pieces):
+            return np.zeros(0, np.int32), np.zeros(1, np.int64)
+        clear, head, per_piece = self._plain_tokens(pieces)
+        data, offsets = binary_parts(pieces)
+        inside = np.repeat(clear, np.diff(offsets))
+        starts = np.flatnonzero(head[inside])
+        tokens = [_binary(np.append(starts, inside.sum()), data[inside])]
+        others = [[t.encode() for t in self._tokens(p.decode("utf-8"))] for p in pieces.filter(pa.array(~clear)).to_pylist()]
+        per_piece[~clear] = [len(o) for o in others]
+        tokens.append(pa.array([t for o in others for t in o], pa.large_binary()))
+        coded = pa.concat_arrays(tokens).dictionary_encode()
+        flat, first = self.pretokens(coded.dictionary)
+        flat, first = _chosen(flat, first, coded.indices.to_numpy())
+        # Clear pieces stand first: back to the order given.
+        order = np.concatenate([np.flatnonzero(clear), np.flatnonzero(~clear)])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return _chosen(flat, first[_ends(per_piece[order])], back)
 
     # -- one pre-token ------------------------------------------------------------------
 
@@ -128,21 +317,6 @@ class Bpe:
             bounds.append(at)
         return bounds
 
-    def pretoken(self, token: str) -> tuple[list[int], str]:
-        """The ids, and the same joined by commas."""
-        known = self._pretokens.get(token)
-        if known is None:
-            word = token.encode("utf-8")
-            bounds = self._short(word) if len(word) <= _SHORT else self._long(word)
-            of = self.ids
-            ids = [of[word[a:b]] for a, b in zip(bounds, bounds[1:])]
-            known = ids, ",".join(map(str, ids))
-            if len(word) <= _SHORT:
-                if len(self._pretokens) >= _REMEMBERED:
-                    self._pretokens.clear()
-                self._pretokens[token] = known
-        return known
-
     # -- texts --------------------------------------------------------------------------
 
     def _tokens(self, text: str) -> list[str]:
@@ -151,7 +325,15 @@ class Bpe:
         return self.pattern.findall(text)
 
     def _plain(self, text: str) -> list[int]:
-        return [number for token in self._tokens(text) for number in self.pretoken(token)[0]]
+        tokens = [t.encode("utf-8") for t in self._tokens(text)]
+        if len(tokens) >= _FEW:
+            coded = pa.array(tokens, pa.large_binary()).dictionary_encode()
+            return _chosen(*self.pretokens(coded.dictionary), coded.indices.to_numpy())[0].tolist()
+        found = []
+        for word in tokens:
+            bounds = self._short(word) if len(word) <= _SHORT else self._long(word)
+            found += [self.ids[word[a:b]] for a, b in zip(bounds, bounds[1:])]
+        return found
 
     def _spans(self, text: str) -> list:
         """Texts between added tokens, and the ids of added tokens as lists."""
@@ -166,46 +348,33 @@ class Bpe:
         """The text of the ids, special tokens included; broken UTF-8 becomes U+FFFD."""
         return b"".join([self.bytes_of[number] for number in ids]).decode("utf-8", "replace")
 
-    def piece(self, piece: bytes) -> tuple[int, str, bytes]:
-        """Number of ids of one piece of a text, the ids joined by commas, and the bytes they decode to."""
-        known = self._chunks.get(piece)
-        if known is None:
-            found = [self.pretoken(token) for token in self._tokens(piece.decode("utf-8"))]
-            ids = found[0][0] if len(found) == 1 else [number for numbers, _ in found for number in numbers]
-            known = len(ids), ",".join([joined for _, joined in found]), b"".join([self.bytes_of[number] for number in ids])
-            if len(piece) <= _SHORT:
-                if len(self._chunks) >= _REMEMBERED:
-                    self._chunks.clear()
-                self._chunks[piece] = known
-        return known
-
-    def digests(self, texts: pa.Array) -> tuple[list[int], list[str], list[str]]:
-        """For each text the number of ids, the SHA-256 of the ids and of the decoded text; null counts as empty."""
+    def cut(self, texts: pa.Array) -> Pieces:
+        """Texts as pieces; null counts as empty."""
         data, offsets = text_bytes(texts)
         cut = np.concatenate([data == 0x20, [True]])
-        spaces = np.flatnonzero(cut[:-1])
-        whole = self._not_to_cut(data, offsets, spaces)
+        whole = self._not_to_cut(data, offsets, np.flatnonzero(cut[:-1]))
         cut[offsets] = True
         cuts = np.flatnonzero(cut)
-        flat = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = flat.dictionary_encode()
-        known = [self.piece(p) for p in coded.dictionary.to_pylist()]
-        codes = coded.indices
-        first = np.searchsorted(cuts, offsets)
-        counts = np.zeros(len(cuts), np.int64)
-        if known:
-            np.cumsum(np.array([n for n, _, _ in known], np.int64)[codes.to_numpy()], out=counts[1:])
-        lists = pa.array(first, pa.int64())
-        ids = _joined(pa.array([i for _, i, _ in known], pa.large_string()), codes, lists, ",")
-        back = _joined(pa.array([b for _, _, b in known], pa.large_binary()), codes, lists, b"")
-        n, ids_sha, back_sha = (counts[first[1:]] - counts[first[:-1]]).tolist(), [], []
-        for d in range(len(texts)):
-            if whole[d]:
-                numbers = self.encode(data[offsets[d] : offsets[d + 1]].tobytes().decode("utf-8"))
-                n[d], joined, decoded = len(numbers), ",".join(map(str, numbers)), self.decode(numbers).encode()
+        coded = _binary(cuts, data).dictionary_encode()
+        return Pieces(data, offsets, cuts, coded.indices.to_numpy(), coded.dictionary, np.searchsorted(cuts, offsets), whole)
+
+    def digests(self, texts: pa.Array) -> tuple[list[int], list[str], list[str]]:
+        """For each text the number of ids, the SHA-256 of the ids and of the decoded text; null counts as empty."""
+        cut = self.cut(texts)
+        flat, first = self.pieces(cut.distinct)
+        counts, lists = _ends(np.diff(first)[cut.codes])[cut.first], pa.array(cut.first, pa.int64())
+        numbers = pa.array(flat, pa.int64())
+        # Ids joined within pieces, then pieces within texts.
+        ids = _joined(_joined(self._id_text.take(numbers), pa.array(first), ",").take(pa.array(cut.codes)), lists, ",")
+        back = _joined(_joined(self._id_bytes.take(numbers), pa.array(first), b"").take(pa.array(cut.codes)), lists, b"")
+        n, ids_sha, back_sha = np.diff(counts).tolist(), [], []
+        for d, (joined, decoded) in enumerate(zip(ids, back)):
+            if cut.whole[d]:
+                found = self.encode(cut.data[cut.offsets[d] : cut.offsets[d + 1]].tobytes().decode("utf-8"))
+                n[d], joined, decoded = len(found), ",".join(map(str, found)).encode(), self.decode(found).encode()
             else:
-                joined, decoded = ids[d], back[d].decode("utf-8", "replace").encode()
-            ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
+                joined, decoded = joined.as_buffer(), decoded.as_py().decode("utf-8", "replace").encode()
+            ids_sha.append(hashlib.sha256(joined).hexdigest())
             back_sha.append(hashlib.sha256(decoded).hexdigest())
         return n, ids_sha, back_sha
 
@@ -231,24 +400,17 @@ class Bpe:
                 at = raw.find(content.encode(), at + 1)
         return whole
 
-    def spaced_counts(self, pieces: list[str]) -> list[int]:
-        """Number of ids of each piece with a space before it."""
-        known = self._counts
-        found = [known.get(piece, -1) for piece in pieces]
-        for i in [i for i, n in enumerate(found) if n < 0]:
-            found[i] = n = known.get(pieces[i], -1)
-            if n < 0:
-                found[i] = len(self.encode(" " + pieces[i]))
-                if len(pieces[i]) <= _SHORT:
-                    if len(known) >= _REMEMBERED:
-                        known.clear()
-                    known[pieces[i]] = found[i]
-        return found
+    def counts(self, pieces: list[str]) -> list[int]:
+        """Number of ids of each piece of a text."""
+        if len(pieces) < _FEW:
+            return [len(self.encode(p)) for p in pieces]
+        coded = pa.array([p.encode("utf-8") for p in pieces], pa.large_binary()).dictionary_encode()
+        return np.diff(self.pieces(coded.dictionary)[1])[coded.indices.to_numpy()].tolist()
 
 
-def _joined(values: pa.Array, codes: pa.Array, first: pa.Array, between) -> list:
-    """For each list the values of its codes, joined."""
-    return pc.binary_join(pa.LargeListArray.from_arrays(first, values.take(codes)), pa.scalar(between, values.type)).to_pylist()
+def _joined(values: pa.Array, first: pa.Array, between) -> pa.Array:
+    """For each list the values from its start on, joined."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(first, values), pa.scalar(between, values.type))
 
 
 @lru_cache(maxsize=2)
@@ -258,7 +420,10 @@ def load_bpe(path: str, pattern: str) -> Bpe:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, column: str = "text", out: str = "ids") -> DataFrame:
-    """The rows of ``docs`` with ``out``, the array of token ids of the text; null counts as empty."""
+    """The rows of ``docs`` with ``out``, the array of token ids of the text; null counts as empty.
+
+    A column called ``out`` is replaced.  Repeated rows are encoded each; an empty table gives no rows.
+    """
     schema = docs.drop(out).schema.add(out, T.ArrayType(T.IntegerType()))
 
     def run(batches):
@@ -272,7 +437,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, column: str = "te
 
 
 def decode_documents(rows: DataFrame, path: str, pattern: str, column: str = "ids", out: str = "decoded") -> DataFrame:
-    """The rows with ``out``, the text of the array of ids; null counts as no id."""
+    """The rows with ``out``, the text of the array of ids; null counts as no id.
+
+    A column called ``out`` is replaced.  Repeated rows are decoded each; an empty table gives no rows.
+    """
     schema = rows.drop(out).schema.add(out, T.StringType())
 
     def run(batches):
@@ -291,7 +459,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     A null text counts as empty.  Repeated rows give repeated lines, an empty table none, and
     further columns of ``docs`` are not read.  A text of any length is one row of its slice;
-    only its pieces are remembered.
+    nothing of it is remembered.
     """
 
     def run(batches):

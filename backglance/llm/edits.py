@@ -9,9 +9,8 @@ between leaves), and renews the sums above them.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
-from itertools import accumulate
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,6 @@ from backglance.llm.bpe import Bpe, load_bpe
 from backglance.llm.words import slices
 
 _PLACE = regex.compile(r"(?<=[^\s\x1c-\x1f]) ")
-_UNSAFE = re.compile(r"\s ")
 # What the redaction replaces, and by what.
 REDACTIONS = ((r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "<email>"), (r"\d{5,}", "<number>"))
 
@@ -34,14 +32,23 @@ def leaves(text: str, bpe: Bpe) -> tuple[list[int], list[int]]:
     """Where the leaves of a text start, and their token counts."""
     if not text:
         return [], []
-    if text[0] != " " and not _UNSAFE.search(text):  # then every space is a place
-        pieces = text.split(" ")
-        # A leaf starts at its space; -1 stands for the space that the first piece does not have.
-        starts = [0, *accumulate((len(p) + 1 for p in pieces[:-1]), initial=-1)]
-        del starts[1]
-        return starts, [len(bpe.encode(pieces[0])), *bpe.spaced_counts(pieces[1:])]
     starts = [0, *(m.start() for m in _PLACE.finditer(text))]
-    return starts, [len(bpe.encode(text[a:b])) for a, b in zip(starts, [*starts[1:], len(text)])]
+    return starts, bpe.counts([text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])])
+
+
+def trees(texts: pa.Array, bpe: Bpe) -> Iterator[TokenTree]:
+    """The tree of every text; the distinct leaves of all of them are encoded together, null counts as empty."""
+    cut = bpe.cut(texts)
+    counts = np.diff(bpe.pieces(cut.distinct)[1])[cut.codes]
+    # Places in characters: first bytes of characters, counted from the start of the text.
+    points = np.concatenate([[0], np.cumsum((cut.data & 0xC0) != 0x80)])
+    for d, text in enumerate(texts.to_pylist()):
+        if cut.whole[d] or not text:
+            yield TokenTree.build(text or "", bpe)
+        else:
+            own = slice(cut.first[d], cut.first[d + 1])
+            starts = points[cut.cuts[own]] - points[cut.offsets[d]]
+            yield TokenTree.of(text, starts.tolist(), counts[own])
 
 
 class TokenTree:
@@ -52,7 +59,10 @@ class TokenTree:
 
     @classmethod
     def build(cls, text: str, bpe: Bpe) -> TokenTree:
-        starts, counts = leaves(text, bpe)
+        return cls.of(text, *leaves(text, bpe))
+
+    @classmethod
+    def of(cls, text: str, starts: list[int], counts) -> TokenTree:
         size = 1 << max(0, len(starts) - 1).bit_length()
         sums = np.zeros(2 * size, np.int64)
         sums[size : size + len(starts)] = counts
@@ -153,6 +163,18 @@ def with_redactions(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, text string, edits {EDITS}")
 
 
+_NAMES = ["doc_id", "n_tokens", "n_edits", "n_leaves", "n_encoded_again", "n_tokens_edited"]
+
+
+def _lines(keys: list, part: pa.RecordBatch, edits_of, bpe: Bpe) -> pa.RecordBatch:
+    lines = []
+    for i, (key, tree) in enumerate(zip(keys, trees(part["text"], bpe))):
+        before, changes = tree.total, edits_of(i, tree.text)
+        again = tree.apply(changes, bpe) if changes else 0
+        lines.append((key, before, len(changes), len(tree.starts), again, tree.total))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*lines)], _NAMES)
+
+
 def count_edited(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, n_edits, n_leaves, n_encoded_again and n_tokens_edited of every row.
 
@@ -161,20 +183,26 @@ def count_edited(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     rows are counted each; an empty table gives no rows; other columns are not read.  A tree
     has two numbers per leaf and lives as long as its row is worked on.
     """
-    names = ["doc_id", "n_tokens", "n_edits", "n_leaves", "n_encoded_again", "n_tokens_edited"]
 
     def run(batches):
         bpe = load_bpe(path, pattern)
         for batch in batches:
             for part in slices(batch):
-                lines = []
-                for key, text, edits in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), part["edits"].to_pylist()):
-                    tree = TokenTree.build(text or "", bpe)
-                    before = tree.total
-                    changes = [(e["start"], e["end"], e["text"] or "") for e in edits or ()]
-                    again = tree.apply(changes, bpe) if changes else 0
-                    lines.append((key, before, len(changes), len(tree.starts), again, tree.total))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*lines)], names)
+                edits = part["edits"].to_pylist()
+                given = lambda i, text: [(e["start"], e["end"], e["text"] or "") for e in edits[i] or ()]  # noqa: B023, E731
+                yield _lines(part["doc_id"].to_pylist(), part, given, bpe)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", "edits")
-    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in _NAMES))
+
+
+def count_redacted(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``count_edited`` of ``with_redactions``, found and applied in one pass over the texts; the same rules hold."""
+
+    def run(batches):
+        bpe = load_bpe(path, pattern)
+        for batch in batches:
+            for part in slices(batch):
+                yield _lines(part["doc_id"].to_pylist(), part, lambda _, text: redactions(text), bpe)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{n} long" for n in _NAMES))

@@ -58,7 +58,7 @@ def op4_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_edited_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return edits.count_edited(edits.with_redactions(load_table(spark, folder, "documents")), **byte_bpe())
+    return edits.count_redacted(load_table(spark, folder, "documents"), **byte_bpe())
 
 
 @query

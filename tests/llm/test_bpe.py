@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from functools import lru_cache
 
 import pyarrow as pa
 import pytest
@@ -59,6 +60,37 @@ def test_scan_and_heap_agree(own):
         assert own._short(word) == own._long(word)
 
 
+def test_rows_together_agree_with_the_scan(own):
+    """Many pre-tokens at once, over several blocks, give the parts of each alone."""
+    draw = random.Random(5)
+    words = [bytes(draw.choice(b"abcdest er\xc3\xa9 ing") for _ in range(draw.randint(0, 140))) for _ in range(400)]
+    words += [bytes(draw.choice(b" theinr") for _ in range(draw.randint(1, 9))) for _ in range(9000)]
+    flat, first = own.pretokens(pa.array(words, pa.large_binary()))
+    for i, word in enumerate(words):
+        bounds = own._short(word) if word else [0]
+        assert flat[first[i] : first[i + 1]].tolist() == [own.ids[word[a:b]] for a, b in zip(bounds, bounds[1:])]
+
+
+@lru_cache
+def the_library():
+    return Tokenizer.from_file(byte_bpe()["path"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aZé×÷9½.$'s\n\tß日 "), max_size=9), min_size=1, max_size=9))
+def test_pieces_by_their_bytes_and_by_the_pattern(texts):
+    own, library = bpe.load_bpe(**byte_bpe()), the_library()
+    joined = " ".join(texts)
+    assert list(zip(*own.digests(pa.array([joined, None, joined + "."])))) == [wanted(library, t) for t in (joined, "", joined + ".")]
+
+
+def test_redactions_in_one_pass(spark):
+    rows = [(1, "mail a.b@c.de or 1234567"), (2, None), (None, "  two  spaces 99999 é"), (3, ""), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = edits.count_redacted(docs, **byte_bpe()).collect()
+    assert sorted(map(str, one)) == sorted(map(str, edits.count_edited(edits.with_redactions(docs), **byte_bpe()).collect()))
+
+
 def test_frames_round_trip(spark):
     texts = spark.createDataFrame([(i, t) for i, t in enumerate([*ODD, None])], "n long, text string")
     back = bpe.decode_documents(bpe.encode_documents(texts, **byte_bpe()), **byte_bpe()).collect()
