@@ -76,6 +76,8 @@ def slices(batch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator:
         end = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(start, end - start)
         start = end
+    # A worker lives on after its task: what Arrow no longer uses goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
