@@ -36,7 +36,7 @@ MOST_CAPITALS_PERCENT = 3
 SYMBOLS = b"#$%&*|"
 
 # Bytes of text to a target, which holds the distinct words of every shard that fall to it.
-TARGET_BYTES = 32 << 20
+TARGET_BYTES = 8 << 20
 
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, np.uint8))
 _BITS = {name: 1 << i for i, name in enumerate(FILTERS)}
@@ -128,13 +128,14 @@ def _numbered(table: pa.Table, targets: int) -> tuple[list[bytes], np.ndarray, n
 
     Target t numbers its words t, t + targets, t + 2 * targets and so on.
     """
-    lines = [joined.split(b"\n") for joined in table["joined"].to_pylist()]
-    coded = pa.array([w for line in lines for w in line], pa.large_binary()).dictionary_encode()
+    lines = table["joined"].to_pylist()
+    ends = np.cumsum([line.count(b"\n") + 1 for line in lines])
+    coded = pa.array(b"\n".join(lines).split(b"\n"), pa.large_binary()).dictionary_encode()
     known = coded.dictionary.to_pylist()
     order = sorted(range(len(known)), key=known.__getitem__)
     number = np.empty(len(known), np.int64)
     number[order] = np.arange(len(known)) * targets + table["target"][0].as_py()
-    return [known[i] for i in order], number[coded.indices.to_numpy()], np.cumsum([len(line) for line in lines])
+    return [known[i] for i in order], number[coded.indices.to_numpy()], ends
 
 
 def dictionary(shards: DataFrame, targets: int) -> DataFrame:
