@@ -1,18 +1,31 @@
-"""Approximate nearest neighbours among many vectors in bounded groups.
-
-Random projections put each vector on a space-filling order (the bits of its rank along
-several directions, interleaved).  The order is cut into leaves of a fixed number of
-vectors, and each leaf is compared exactly.  Several orders from other directions make up
-for neighbours that a cut separates.  Leaves have a fixed size whatever the data, so a
-dense region means more leaves and never a larger one.  Copies of a vector are compared once.
+"""Exact nearest neighbours among many vectors, compared in bounded groups.
+
+Projections on the principal directions of a bounded sample put each vector on a space-filling
+order (the bits of its rank along the directions, interleaved).  The order is cut into leaves of
+a fixed number of vectors, so a dense region means more leaves and never a larger one, and
+copies of a vector are compared once.
+
+1. Each leaf is compared with itself.  The distance of a vector's k-th neighbour so far bounds how
+   far its true neighbours can lie.
+2. Leaves have boxes, their ranges along the directions, and so have groups of consecutive leaves, up to
+   one box for all.  The directions are orthonormal, so the gap between two boxes is at most the
+   distance of any two vectors in them.  Pairs of boxes are opened from the top: a pair whose gap
+   exceeds the bound of the first is dropped with all that lies below.
+3. The pairs of leaves that are left are compared, each in a group of its own, after single
+   vectors that lie too far from the other box are left out.
+
+No true neighbour is dropped at any size; the spread of the data decides how many pairs of leaves
+are left.  Vectors in clusters, or near a few directions, meet few of them, and vectors spread
+evenly in many directions meet most.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH, QuantileDiscretizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +36,12 @@ from backglance.operators.windows import top_k_per_group
 from backglance.sources.tables import pin
 
 _BITS = 4  # 16 ranks along each direction
-# Buckets so narrow that the hash is the projection itself; ranks replace the bucket length.
-_FINE_BUCKET = 1e-6
+# Vectors that the directions are found from, at most.
+SAMPLE = 4_000
+# Boxes under a box.
+_FANOUT = 16
+# Room for rounding in the bounds: a pair is dropped only if it is farther by more than this share.
+_ROOM = 1e-9
 
 
 def vector_copies(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -36,103 +53,180 @@ def vector_copies(df: DataFrame, key: str, vector: str) -> DataFrame:
     return prints.join(firsts, ["h1", "h2"]).select("key", "representative")
 
 
-def _orders(points: DataFrame, orders: int, directions: int, seed: int) -> DataFrame:
-    """(key, order, code): the place of each vector on each space-filling order."""
-    n = orders * directions
-    hashing = BucketedRandomProjectionLSH(
-        inputCol="vector", outputCol="hashes", numHashTables=n, bucketLength=_FINE_BUCKET, seed=seed
-    )
-    hashed = hashing.fit(points).transform(points)
-    along, ranks = [f"p{i}" for i in range(n)], [f"r{i}" for i in range(n)]
-    hashed = hashed.select("key", *[vector_to_array(F.get("hashes", F.lit(i)))[0].alias(c) for i, c in enumerate(along)])
+def _principal_directions(points: DataFrame, most: int, seed: int) -> np.ndarray:
+    """Orthonormal principal directions (columns) of at most SAMPLE vectors, drawn by a hash of the key."""
+    drawn = points.orderBy(F.xxhash64("key", F.lit(seed)), "key").limit(SAMPLE)
+    sample = np.array([r["values"] for r in drawn.select("values").collect()], float)
+    centred = sample - sample.mean(0)
+    _, vectors = np.linalg.eigh(centred.T @ centred)
+    return vectors[:, ::-1][:, :most]
+
+
+def _in_leaves(points: DataFrame, leaf: int, directions: int, seed: int) -> DataFrame:
+    """(leaf, key, values, along): vectors with their place along the directions, in leaves of the space-filling order."""
+    matrix = _principal_directions(points, directions, seed)
+    many = matrix.shape[1]
+
+    def project(frames):
+        for frame in frames:
+            if len(frame):
+                yield frame.assign(along=list(_matrix(frame["values"]) @ matrix))
+
+    schema = f"key {_sql_type(points)}, values array<double>, along array<double>"
+    placed = points.mapInPandas(project, schema)
+    along, ranks = [f"p{i}" for i in range(many)], [f"r{i}" for i in range(many)]
+    placed = placed.withColumns({c: F.get("along", F.lit(i)) for i, c in enumerate(along)})
     # Only the cut points, ranks × directions numbers, come to the driver.
     ranking = QuantileDiscretizer(inputCols=along, outputCols=ranks, numBuckets=2**_BITS, relativeError=0.001)
-    ranked = ranking.fit(hashed).transform(hashed)
+    ranked = ranking.fit(placed).transform(placed)
 
     def spread(direction: int) -> list[int]:
         """Each rank with its bits moved apart, to make room for the other directions."""
-        place = lambda bit: bit * directions + directions - 1 - direction
+        place = lambda bit: bit * many + many - 1 - direction
         return [sum(((rank >> bit) & 1) << place(bit) for bit in range(_BITS)) for rank in range(2**_BITS)]
 
-    def code(order: int) -> Column:
-        total = F.lit(0).cast("bigint")
-        for direction in range(directions):
-            rank = F.col(ranks[order * directions + direction]).cast("int")
-            total = total + F.get(F.lit(spread(direction)).cast("array<bigint>"), rank)
-        return total
-
-    codes = F.array(*[F.struct(F.lit(o).alias("order"), code(o).alias("code")) for o in range(orders)])
-    return ranked.select("key", F.explode(codes).alias("place")).select("key", "place.*")
+    code = F.lit(0).cast("bigint")
+    for i, rank in enumerate(ranks):
+        code = code + F.get(F.lit(spread(i)).cast("array<bigint>"), F.col(rank).cast("int"))
+    ordered = dense_index(ranked.select("key", "values", "along", code.alias("code")), ["code", "key"], "at")
+    # The rest that fills no leaf joins the last one, so every leaf but a lone one holds at least ``leaf`` vectors.
+    last = F.lit(max(0, points.count() // leaf - 1))
+    return ordered.select(F.least(F.floor(F.col("at") / leaf), last).alias("leaf"), "key", "values", "along")
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, k: int, bounds: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of a, row of b and distance of the ``k`` nearest in b of each row in a, at most at its bound; of equal distances the first rows."""
+    rows, columns, distances = [], [], []
+    of_b = (b * b).sum(1)
+    for start in range(0, len(a), 64):  # bounds memory where very many distances are equal
+        part = a[start : start + 64]
+        of_a = (part * part).sum(1)[:, None]
+        squares = of_a + of_b - 2 * part @ b.T
+        if same:
+            squares[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
+        take = min(k, len(b) - same)
+        if take < 1:
+            break
+        # Some more than k where rounding may hide the order; exact distances decide.
+        room = 1e-9 * (of_a[:, 0] + of_b.max())
+        most = np.minimum(np.partition(squares, take - 1, axis=1)[:, take - 1], bounds[start : start + 64] ** 2) + room
+        i, j = np.nonzero(squares <= most[:, None])
+        gaps = part[i] - b[j]
+        rows.append(i + start), columns.append(j), distances.append(np.sqrt((gaps * gaps).sum(1)))
+    if not rows:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    i, j, distance = map(np.concatenate, (rows, columns, distances))
+    order = np.lexsort((j, distance, i))
+    i, j, distance = i[order], j[order], distance[order]
+    place = np.arange(len(i)) - np.searchsorted(i, i)
+    kept = (place < k) & (distance <= bounds[i] * (1 + _ROOM))
+    return i[kept], j[kept], distance[kept]
+
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(float)
+
+
+def _within(k: int):
+    def run(leaf: pd.DataFrame) -> pd.DataFrame:
+        leaf = leaf.sort_values("key", ignore_index=True)
+        values, keys = _matrix(leaf["values"]), leaf["key"].to_numpy()
+        i, j, distance = _nearest(values, values, k, np.full(len(leaf), np.inf), True)
+        bound = np.full(len(leaf), np.inf)
+        counts = np.bincount(i, minlength=len(leaf))
+        full = counts == k
+        bound[full] = distance[np.cumsum(counts)[full] - 1]
+        cuts = np.cumsum(counts)[:-1]
+        return leaf.assign(bound=bound, neighbours=np.split(keys[j], cuts), distances=np.split(distance, cuts))
+
+    return run
+
+
+def _between(k: int):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"key": left["key"][:0], "neighbour": left["key"][:0], "distance": np.zeros(0)})
+        right = right.sort_values("other", ignore_index=True)
+        i, j, distance = _nearest(_matrix(left["values"]), _matrix(right["vector"]), k, left["bound"].to_numpy(), False)
+        return pd.DataFrame({"key": left["key"].to_numpy()[i], "neighbour": right["other"].to_numpy()[j], "distance": distance})
+
+    return run
+
+
+def _gap(low, high, other_low, other_high, many: int) -> Column:
+    """Distance between two boxes, given by columns of arrays; a vector is a box of its own."""
+    at = lambda c, i: F.get(c, F.lit(i))
+    sides = [F.greatest(F.lit(0.0), at(low, i) - at(other_high, i), at(other_low, i) - at(high, i)) for i in range(many)]
+    return F.sqrt(reduce(lambda a, b: a + b, [s * s for s in sides]))
+
+
+def _box(many: int, low: str, high: str) -> list[Column]:
+    side = lambda pick, c: F.array(*[pick(F.get(c, F.lit(i))) for i in range(many)])
+    return [side(F.min, low).alias("low"), side(F.max, high).alias("high"), F.max("bound").alias("bound")]
+
+
+def _pairs_of_leaves(members: DataFrame, many: int, leaves: int) -> DataFrame:
+    """(a, b) with the boxes of both and the bound of a: the leaves b that may hold a neighbour of a vector in leaf a."""
+    boxes = [pin(members.groupBy(F.col("leaf").alias("node")).agg(*_box(many, "along", "along")))]
+    count = leaves
+    while count > 1:
+        above = boxes[-1].groupBy(F.floor(F.col("node") / _FANOUT).alias("node")).agg(*_box(many, "low", "high"))
+        boxes.append(pin(above))
+        count = -(-count // _FANOUT)
+    pairs = boxes[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
+    for level in reversed(boxes[:-1] or boxes):
+        side = lambda s: level.select(  # noqa: E731, B023
+            F.floor(F.col("node") / (_FANOUT if len(boxes) > 1 else 1)).alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("node", "low", "high", "bound")]
+        )
+        opened = pairs.join(side("a"), "a").join(side("b").drop("b_bound"), "b")
+        near = _gap(F.col("a_low"), F.col("a_high"), F.col("b_low"), F.col("b_high"), many) <= F.col("a_bound") * (1 + _ROOM)
+        pairs = opened.where(near).select(
+            F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_low", "a_high", "a_bound", "b_low", "b_high"
+        )
+        if level is not boxes[0]:
+            pairs = pairs.select("a", "b")
+    return pairs.where("a <> b")
 
 
 def nearest_neighbours(
-    df: DataFrame,
-    key: str,
-    vector: str,
-    k: int = 3,
-    orders: int = 8,
-    leaf: int = 512,
-    directions: int = 8,
-    seed: int = 48,
+    df: DataFrame, key: str, vector: str, k: int = 3, leaf: int = 512, directions: int = 8, seed: int = 48
 ) -> DataFrame:
-    """(key, neighbour, distance, place): up to ``k`` near vectors with distance above 0 per row.
-
-    Neighbours are named by the smallest key among copies of one vector.
+    """(key, neighbour, distance, place): the ``k`` nearest vectors with distance above 0 of every row, exactly.
 
-    ``leaf`` and ``orders`` act alike at every size: a vector is compared with the ``leaf`` around it on
-    each order.  Clustered data find over 0.9 of the true neighbours by default; evenly
-    spread directions find fewer the more leaves there are, and more orders or larger
-    leaves make up for it (tests hold the figures).
+    Neighbours are named by the smallest key among copies of one vector; of equally near ones the
+    smaller key comes first.  Rows without a vector are left out.  ``leaf``, ``directions`` and ``seed``
+    change how the work is cut, not the result.
     """
     require_columns(df, [key, vector])
-    points = df.select(F.col(key).alias("key"), as_array(df, vector).alias("values"))
+    points = df.select(F.col(key).alias("key"), as_array(df, vector).cast("array<double>").alias("values")).where("values is not null")
     copies = vector_copies(points, "key", "values")
     # Read by several jobs below: written once instead of worked out again each time.
     points = pin(points.join(copies.where("key = representative").select("key"), "key"))
     n_points = points.count()
-    schema = f"key {_sql_type(points)}, neighbour {_sql_type(points)}, distance double"
+    kind = _sql_type(points)
+    schema = f"key {kind}, neighbour {kind}, distance double"
     if n_points < 2:
-        pairs = df.sparkSession.createDataFrame([], schema)
+        best = df.sparkSession.createDataFrame([], schema + ", place int")
     else:
-        vectors = points.withColumn("vector", array_to_vector("values"))
-        placed = dense_index(_orders(vectors, orders, directions, seed), ["order", "code", "key"], "at")
-        # The rest that fills no leaf joins the last one, so every leaf holds at least ``leaf`` vectors.
-        last = max(0, n_points // leaf - 1)
-        within = F.col("at") - F.col("order") * n_points
-        leaves = placed.withColumn("leaf", F.least(F.floor(within / leaf), F.lit(last)))
-        pairs = (
-            leaves.select("order", "leaf", "key")
-            .join(points, "key")
-            .groupBy("order", "leaf")
-            .applyInPandas(_leaf_neighbours(k), schema)
-        )
-    # The orders find the same pairs more than once.
-    found = pairs.groupBy("key", "neighbour").agg(F.min("distance").alias("distance"))
-    best = top_k_per_group(found, ["key"], [F.col("distance"), F.col("neighbour")], k)
+        cut = _in_leaves(points, leaf, directions, seed)
+        inside = f"leaf bigint, key {kind}, values array<double>, along array<double>, bound double, neighbours array<{kind}>, distances array<double>"
+        members = pin(cut.groupBy("leaf").applyInPandas(_within(k), inside))
+        own = members.select("key", F.explode(F.arrays_zip("neighbours", "distances")).alias("n"))
+        own = own.select("key", F.col("n.neighbours").alias("neighbour"), F.col("n.distances").alias("distance"))
+        many = min(directions, len(points.select("values").first()[0]))
+        pairs = pin(_pairs_of_leaves(members, many, max(1, n_points // leaf)))
+        vector_of = lambda side, *more: members.select(F.col("leaf").alias(side), "key", "values", "along", *more)
+        along = F.col("along")
+        # Single vectors too far from the other leaf's box, or from the bound of this one, stay at home.
+        left = pairs.join(vector_of("a", "bound"), "a").where(_gap(along, along, F.col("b_low"), F.col("b_high"), many) <= F.col("bound") * (1 + _ROOM))
+        right = pairs.join(vector_of("b"), "b").where(_gap(along, along, F.col("a_low"), F.col("a_high"), many) <= F.col("a_bound") * (1 + _ROOM))
+        left = left.select(F.col("a").alias("a1"), F.col("b").alias("b1"), "key", "values", "bound").groupBy("a1", "b1")
+        right = right.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("key").alias("other"), F.col("values").alias("vector")).groupBy("a2", "b2")
+        found = own.unionByName(left.cogroup(right).applyInPandas(_between(k), schema))
+        best = top_k_per_group(found, ["key"], [F.col("distance"), F.col("neighbour")], k)
     best = best.withColumnRenamed("key", "representative")
     return copies.join(best, "representative").select(F.col("key").alias(key), "neighbour", "distance", "place")
 
 
 def _sql_type(points: DataFrame) -> str:
     return points.schema["key"].dataType.simpleString()
-
-
-def _leaf_neighbours(k: int):
-    def nearest(leaf: pd.DataFrame) -> pd.DataFrame:
-        leaf = leaf.sort_values("key")
-        keys = leaf["key"].to_numpy()
-        values = np.stack(leaf["values"].to_numpy()).astype(float)
-        norms = (values * values).sum(axis=1)
-        squares = norms[:, None] + norms[None, :] - 2 * values @ values.T
-        np.fill_diagonal(squares, np.inf)
-        take = min(k, len(keys) - 1)
-        if take == 0:
-            return pd.DataFrame({"key": keys[:0], "neighbour": keys[:0], "distance": norms[:0]})
-        near = np.argpartition(squares, take - 1, axis=1)[:, :take]
-        rows = np.repeat(np.arange(len(keys)), take)
-        gaps = values[rows] - values[near.ravel()]
-        return pd.DataFrame(
-            {"key": keys[rows], "neighbour": keys[near.ravel()], "distance": np.sqrt((gaps * gaps).sum(axis=1))}
-        )
-
-    return nearest

@@ -333,7 +333,7 @@ def components_of_two_measures(spark, folder):
     return explained.select(F.col("component").cast("int"), F.round("explained", 6).alias("explained"))
 
 
-# Leaves of 1,024 hold all vectors of this table, so the SQL can follow the search.
+# Leaves of 64: most neighbours lie in another leaf, and every one has to be found.
 @query("""
 WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings)
 SELECT a.vec_id, b.vec_id AS neighbour, round(list_distance(a.e, b.e), 6) AS distance,
@@ -341,7 +341,7 @@ SELECT a.vec_id, b.vec_id AS neighbour, round(list_distance(a.e, b.e), 6) AS dis
 FROM x a JOIN x b ON a.vec_id <> b.vec_id AND a.e <> b.e QUALIFY place <= 3
 """)
 def similar_vectors(spark, folder):
-    found = neighbours.nearest_neighbours(load_table(spark, folder, "embeddings"), "vec_id", "embedding", k=3, leaf=1024)
+    found = neighbours.nearest_neighbours(load_table(spark, folder, "embeddings"), "vec_id", "embedding", k=3, leaf=64)
     return found.withColumn("distance", F.round("distance", 6))
 
 
@@ -363,7 +363,7 @@ def similar_vectors_in_leaves(spark, folder):
 _DRAW = "CAST(CAST('0x' || substr(md5(vec_id || '|' || batch || '|{seed}'), 1, 13) AS UBIGINT) AS DOUBLE) / 4503599627370496.0"
 
 
-# A leaf of 1,024 holds the whole class, so the SQL can follow the search here.
+# The class fills several leaves of 16.
 @query(f"""
 WITH x AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS e FROM embeddings),
      m AS (SELECT * FROM x WHERE label = 0),
@@ -382,7 +382,7 @@ UNION ALL SELECT vec_id, 1.0, batch, round(list_sum(e), 6) FROM made
 """)
 def oversample_minority(spark, folder):
     rows = _embeddings(spark, folder).withColumn("label", (F.col("label") == 0).cast("double"))
-    more = balance.smote(rows, "vec_id", k=3, multiplier=2, seed=48, leaf=1024)
+    more = balance.smote(rows, "vec_id", k=3, multiplier=2, seed=48, leaf=16)
     values = more.withColumn("values", vector_to_array("features"))
     return values.select(
         "vec_id", "label", "synthetic", F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("total")

@@ -204,6 +204,50 @@ def test_recall_of_many_small_leaves(spark):
     assert recall(spark, clustered) >= 0.9
 
 
+def same_as_brute_force(spark, table, k, **search):
+    """Every neighbour of every row, by squared distances in blocks."""
+    found = neighbours.nearest_neighbours(vectors(spark, table), "id", "features", k=k, **search).collect()
+    ours = {(r["id"], r["place"]): (r["neighbour"], r["distance"]) for r in found}
+    assert len(ours) == len(found) == k * len(table)
+    for start in range(0, len(table), 500):
+        part = table[start : start + 500]
+        squares = (part * part).sum(1)[:, None] + (table * table).sum(1) - 2 * part @ table.T
+        squares[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
+        for i, line in enumerate(np.argsort(squares, axis=1)[:, :k]):
+            for place, j in enumerate(line, 1):
+                neighbour, distance = ours[start + i, place]
+                assert distance == pytest.approx(np.sqrt(squares[i, j]), rel=1e-6)
+                assert neighbour == j
+
+
+def test_neighbours_are_exact_over_many_leaves(spark):
+    """10,000 evenly spread vectors of 64 numbers with the defaults, and clusters in leaves of 100."""
+    draw = np.random.default_rng(9)
+    same_as_brute_force(spark, draw.normal(size=(10_000, 64)), 3)
+    clustered = draw.normal(size=(40, 12))[draw.integers(0, 40, 4000)] * 9 + draw.normal(size=(4000, 12)) * 0.3
+    same_as_brute_force(spark, clustered, 5, leaf=100, directions=4)
+
+
+def test_ties_go_to_the_smaller_key_over_leaves(spark):
+    """Points of a grid have up to 8 neighbours at distance 1; the smallest keys win, in whatever leaf they lie."""
+    table = np.array([(x, y, z) for x in range(6) for y in range(6) for z in range(6)], float)
+    found = neighbours.nearest_neighbours(vectors(spark, table), "id", "features", k=2, leaf=20).collect()
+    wanted = exact_neighbours(table, 2)
+    assert {(r["id"], r["place"]): r["neighbour"] for r in found} == {(i, p + 1): j for i, near in wanted.items() for p, (j, _) in enumerate(near)}
+
+
+def test_clusters_meet_few_leaves(spark):
+    """Pairs of leaves that are compared, of all pairs: few for clusters that lie apart."""
+    draw = np.random.default_rng(10)
+    table = draw.normal(size=(30, 10))[draw.integers(0, 30, 3000)] * 20 + draw.normal(size=(3000, 10)) * 0.2
+    points = vectors(spark, table).select(F.col("id").alias("key"), F.col("features").alias("values"))
+    members = neighbours._in_leaves(points, 50, 6, 1).groupBy("leaf").applyInPandas(
+        neighbours._within(3), "leaf bigint, key int, values array<double>, along array<double>, bound double, neighbours array<int>, distances array<double>"
+    )
+    pairs = neighbours._pairs_of_leaves(members, 6, 60)
+    assert pairs.count() < 0.2 * 60 * 60
+
+
 def test_copies_get_neighbours_at_a_distance(spark):
     table = np.vstack([np.zeros((40, 3)), np.random.default_rng(6).normal(size=(20, 3))])
     found = neighbours.nearest_neighbours(vectors(spark, table), "id", "features", k=2).collect()
