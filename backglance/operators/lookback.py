@@ -5,15 +5,15 @@ For each event: among the observations of the same key between ``min_hours`` and
 stay, with nulls.
 
 How it is spread.  Times are moved by the smallest gap, so that the wanted observation is
-the last one at or before the event.  Keys are cut into time slots; per slot a window
-carries the last observation forward, and the last observation of a slot is handed on to
-the next.  No pairs are made.  The window runs on distinct (key, time) pairs only, so
-copies of a time do not grow it, and on thin rows: wide columns join at the end.
+the last one at or before the event.  The distinct (key, time) pairs of both sides are range-sorted,
+so that even one key with very many times is cut into ranges of measured, equal size.  In each range a
+window carries the last observation forward, and the last observation of a key is handed on to
+the ranges behind that begin with the same key: at most one line per range.  No pairs are made,
+copies of a time do not count, and rows are thin: wide columns join at the end.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -23,6 +23,7 @@ from backglance.functions.timeops import MICROS_PER_HOUR, epoch_micros
 from backglance.operators.joins import join_groups
 from backglance.operators.quality import require_columns
 from backglance.operators.windows import first_per_group
+from backglance.sources.tables import pin
 
 
 def lookback_join(
@@ -45,8 +46,8 @@ def lookback_join(
     ``on`` names columns both sides have.  ``observation_key`` tells observations of one
     time apart; the smallest wins, and copies with equal key and time count once.  Say
     ``unique_key`` when there are no copies: that spares a pass over the wide columns.
-    ``same_day`` also asks for equal calendar days.  ``slot_hours`` defaults to
-    ``max_hours - min_hours``; smaller slots suit keys with very many distinct times.
+    ``same_day`` also asks for equal calendar days.  ``slot_hours`` is still accepted and changes
+    nothing: ranges are cut by the number of times in them.
     """
     on = list(on)
     carried = [observation_time, observation_key, *columns]
@@ -59,8 +60,6 @@ def lookback_join(
     to_micros = lambda hours: round(hours * MICROS_PER_HOUR)
     least, most = to_micros(min_hours), to_micros(max_hours)
     span = most - least
-    slot = max(1_000_000, to_micros(slot_hours) if slot_hours else span)
-    slots_per_span = max(1, math.ceil(span / slot))
 
     keys = on + (["_day"] if same_day else [])
     left = events.withColumn("_at", epoch_micros(events, event_time))
@@ -70,33 +69,10 @@ def lookback_join(
         left = left.withColumn("_day", F.to_date(event_time))
         right = right.withColumn("_day", F.to_date(observation_time))
 
-    slot_of = (F.col("_at") - F.pmod(F.col("_at"), F.lit(slot))).alias("_slot")
-    asked = left.dropna(subset=[*on, event_time]).select(*keys, slot_of, "_at").distinct()
-    seen = (
-        right.select(*keys, slot_of, "_at", observation_key)
-        .groupBy(*keys, "_slot", "_at")
-        .agg(F.min(observation_key).alias("_key"))
-    )
-    handed_on = seen.groupBy(*keys, "_slot").agg(
-        F.max("_at").alias("_seen_at"), F.max_by("_key", "_at").alias("_key")
-    )
-    following = F.sequence(F.col("_slot") + slot, F.col("_slot") + slots_per_span * slot, F.lit(slot))
-    # The handed-on rows keep their own time, so they sort before everything in the slot.
-    handed_on = handed_on.select(*keys, F.explode(following).alias("_slot"), F.col("_seen_at").alias("_at"), "_key")
-
-    line = seen.unionByName(handed_on).withColumn("_asked", F.lit(1))
-    line = line.unionByName(asked.withColumns({"_key": F.lit(None).cast(_type(observations, observation_key)), "_asked": F.lit(2)}))
-    so_far = (
-        Window.partitionBy(*keys, "_slot")
-        .orderBy("_at", "_asked")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = F.last(F.when(F.col("_asked") == 1, F.struct(F.col("_at").alias("at"), F.col("_key").alias("key"))), True)
-    answers = (
-        line.withColumn("_found", found.over(so_far))
-        .where((F.col("_asked") == 2) & F.col("_found").isNotNull() & (F.col("_at") - F.col("_found.at") <= span))
-        .select(*keys, "_at", F.col("_found.at").alias("_seen_at"), F.col("_found.key").alias("_key"))
-    )
+    asked = left.dropna(subset=[*on, event_time]).select(*keys, "_at").distinct()
+    seen = right.groupBy(*keys, "_at").agg(F.min(observation_key).alias("_key"))
+    answers = _last_before(seen, asked, keys).where(F.col("_at") - F.col("_found.at") <= span)
+    answers = answers.select(*keys, "_at", F.col("_found.at").alias("_seen_at"), F.col("_found.key").alias("_key"))
 
     values = [c for c in carried if c != observation_key]
     at_key = [
@@ -123,8 +99,26 @@ def lookback_join(
     return joined.drop("_at", "_day")
 
 
-def _type(df: DataFrame, name: str):
-    return df.schema[name].dataType
+def _last_before(seen: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """Each (keys, _at) of ``asked`` with ``_found``, the (at, key) of the last row of ``seen`` at or before it.
+
+    The sorted ranges are written once, so that their ends and their rows come from the same ranges.
+    """
+    line = seen.withColumn("_asked", F.lit(1))
+    line = line.unionByName(asked.withColumns({"_key": F.lit(None).cast(seen.schema["_key"].dataType), "_asked": F.lit(2)}))
+    ranges = pin(line.orderBy(*keys, "_at", "_asked").withColumn("_range", F.spark_partition_id()))
+    one = F.when(F.col("_asked") == 1, F.struct(F.col("_at").alias("at"), F.col("_key").alias("key")))
+    so_far = (
+        Window.partitionBy("_range", *keys).orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    inside = ranges.withColumn("_inside", F.last(one, True).over(so_far)).where("_asked = 2")
+    # One line per range and key; a key has more than one line only where it goes on from range to range.
+    ends = ranges.groupBy("_range", *keys).agg(F.max(one).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select("_range", *keys, F.last("_end", True).over(earlier).alias("_handed")).where("_handed is not null")
+    # Only the first key of a range can have begun before it: one line per range at most.
+    found = inside.join(F.broadcast(handed), ["_range", *keys], "left").withColumn("_found", F.coalesce("_inside", "_handed"))
+    return found.where("_found is not null").select(*keys, "_at", "_found")
 
 
 def with_match_flag(joined: DataFrame, observation_key: str, out: str = "matched") -> DataFrame:

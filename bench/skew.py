@@ -58,6 +58,8 @@ def jobs(spark: SparkSession, events: DataFrame) -> dict:
     seen = events.where("event_type <> 'purchase'").select(
         "user_id", F.col("ts").alias("seen_at"), F.col("event_id").alias("seen_id"), F.col("value").alias("seen_value")
     )
+    near = lambda key: F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.pmod(F.xxhash64(key), F.lit(4 * 3_600_000_000)))
+    crowded = lambda at, key: F.when(F.col("user_id") == 0, near(key).cast("timestamp_ntz")).otherwise(F.col(at))
     hours = [*time_levels("ts"), F.date_trunc("hour", "ts")]
     daily = events.withColumn("day", F.to_date("ts"))
     scored = events.select("user_id", (F.col("value") > 80).cast("int").alias("label"), (F.col("value") / 100).alias("score"))
@@ -80,6 +82,11 @@ def jobs(spark: SparkSession, events: DataFrame) -> dict:
         "lookback_join": lambda: lookback_join(
             bought, seen, ["user_id"], "ts", "seen_at", "seen_id", ["seen_value"], unique_key=True
         ),
+        # All times of the hot user, each its own, lie within four hours.
+        "lookback_hot_span": lambda: lookback_join(
+            bought.withColumn("ts", crowded("ts", "event_id")), seen.withColumn("seen_at", crowded("seen_at", "seen_id")),
+            ["user_id"], "ts", "seen_at", "seen_id", ["seen_value"], unique_key=True,
+        ),
         "global_percent_rank": lambda: positions.global_percent_rank(events, ["ts"]),
         "rank_within": lambda: positions.rank_within(daily, ["day"], ["ts"]),
         "dense_index": lambda: positions.dense_index(events, ["ts", "event_id"]),

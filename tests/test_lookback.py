@@ -95,6 +95,22 @@ def test_random_tables_with_a_hot_key(spark, options):
     agree(run(spark, events, seen, **options), brute_force(events, seen, same_day=options.get("same_day", False)))
 
 
+def test_one_key_and_span_over_many_ranges(spark):
+    """A third of all times in one key and four hours; its last observation goes on through ranges without one."""
+    second = lambda n: BASE + dt.timedelta(seconds=n)
+    draw = random.Random(11)
+    events = [(i, "hot", second(14400 + 2 * i)) for i in range(3000)] + [(5000 + i, f"p{i % 900}", second(9 * i)) for i in range(6000)]
+    seen = [("hot", second(7100), 1, 1.0), ("hot", second(7100), 0, 1.0)]
+    seen += [("hot", second(9000 + 7 * i), 10 + i, 1.0) for i in range(300)] + [(f"p{draw.randrange(900)}", second(draw.randrange(40_000)), 1000 + i, 1.0) for i in range(900)]
+    by_place = {}
+    for row in seen:
+        by_place.setdefault(row[0], []).append(row)
+    wanted = {}
+    for event in events:
+        wanted |= brute_force([event], by_place.get(event[1], []))
+    agree(run(spark, events, seen), wanted)
+
+
 def test_other_bounds(spark):
     events = [(1, "a", hours(10))]
     seen = [("a", hours(10), 1, 1.0), ("a", hours(9), 2, 1.0)]
