@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import PCA, PCAModel, UnivariateFeatureSelector
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import UnivariateFeatureSelector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from backglance.functions.vectors import as_array
 
 
 def fit_selector(df: DataFrame, kind: str, features: str = "features", label: str = "label", threshold: float = 0.05):
@@ -132,8 +136,95 @@ def dependent_columns(df: DataFrame, categorical: Sequence[str], label: str, thr
     return [c for c in names if c in kept]
 
 
-def principal_components(train: DataFrame, k: int, features: str = "features") -> tuple[PCAModel, DataFrame]:
-    """Fitted model and the explained variance per component."""
-    model = PCA(k=k, inputCol=features, outputCol="pca_features").fit(train)
-    rows = [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
-    return model, train.sparkSession.createDataFrame(rows, "component bigint, explained double")
+@dataclass
+class Components:
+    """Principal components: the mean of the columns, one direction per row, and the share of the variance each explains."""
+
+    mean: np.ndarray
+    directions: np.ndarray
+    explained: np.ndarray
+
+    def transform(self, df: DataFrame, features: str = "features", out: str = "pca_features") -> DataFrame:
+        """The rows with ``out``, the array of their places along the directions, from the mean."""
+        shared = df.sparkSession.sparkContext.broadcast(self)
+
+        @F.pandas_udf("array<double>")
+        def project(values: pd.Series) -> pd.Series:
+            if not len(values):
+                return pd.Series([], dtype=object)
+            model = shared.value
+            return pd.Series(list((np.stack(values.to_numpy()) - model.mean) @ model.directions.T))
+
+        return df.withColumn(out, project(_doubles(df, features)))
+
+
+def _doubles(df: DataFrame, features: str) -> Column:
+    return as_array(df, features).cast("array<double>")
+
+
+# Directions that are followed beside twice the wanted ones; the more, the fewer steps.
+_MORE_DIRECTIONS = 32
+
+
+def principal_components(
+    train: DataFrame, k: int, features: str = "features", steps: int = 200, tolerance: float = 1e-9, seed: int = 48
+) -> tuple[Components, DataFrame]:
+    """Fitted components and the explained variance per component, by block power iteration.
+
+    A step multiplies the covariance with a block of ``k`` and some more directions in one pass over the rows:
+    each task adds up its part and Spark adds the parts by column, so there is no matrix of
+    columns by columns anywhere; the driver holds the block.  It stops once no entry of a wanted direction
+    changes by more than ``tolerance``, or no share changes at all (equal shares leave their directions
+    free).  Rows without features are left out; with fewer than two
+    rows, or none that differ, there are no components.  The largest entry of a direction is positive.
+    """
+    spark = train.sparkSession
+    schema = "component bigint, explained double"
+    rows = train.select(_doubles(train, features).alias("values")).where("values is not null")
+    metrics = Summarizer.metrics("count", "mean", "variance").summary(array_to_vector("values")).alias("s")
+    if rows.isEmpty():
+        return Components(np.zeros(0), np.zeros((0, 0)), np.zeros(0)), spark.createDataFrame([], schema)
+    line = rows.agg(metrics).select("s.*").first()
+    n, mean = line["count"], np.array(line["mean"].toArray(), float)
+    variance = float(line["variance"].toArray().sum()) if n > 1 else 0.0
+    if not variance:
+        return Components(mean, np.zeros((0, len(mean))), np.zeros(0)), spark.createDataFrame([], schema)
+    many = min(len(mean), 2 * k + _MORE_DIRECTIONS)
+    block = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(mean), many)))[0]
+    shares, found = np.zeros(0), np.zeros((0, 0))
+    for _ in range(steps):
+        product = _covariance_times(rows, mean, block) / (n - 1)
+        # The block's own directions of most variance: eigenvectors of block' covariance block.
+        values, turn = np.linalg.eigh(block.T @ product)
+        now = values[::-1][:k] / variance
+        before, found = found, _signed((block @ turn)[:, ::-1][:, :k].T)
+        settled = before.shape == found.shape and (np.abs(found - before).max() <= tolerance or np.all(np.abs(now - shares) <= 1e-15 * now))
+        shares = now
+        if settled or many == len(mean):
+            break
+        block = np.linalg.qr(product)[0]
+    model = Components(mean, found, np.maximum(shares, 0.0))
+    return model, spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(model.explained)], schema)
+
+
+def _signed(directions: np.ndarray) -> np.ndarray:
+    return directions * np.sign(directions[np.arange(len(directions)), np.abs(directions).argmax(1)])[:, None]
+
+
+def _covariance_times(rows: DataFrame, mean: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Sum over the rows x of (x - mean) (x - mean)' block."""
+    shared = rows.sparkSession.sparkContext.broadcast((mean, block))
+
+    def run(frames):
+        centre, directions = shared.value
+        total = np.zeros_like(directions)
+        for frame in frames:
+            if len(frame):
+                x = np.stack(frame["values"].to_numpy()) - centre
+                total += x.T @ (x @ directions)
+        yield pd.DataFrame({"i": np.arange(len(total)), "parts": list(total)})
+
+    parts = rows.mapInPandas(run, "i int, parts array<double>")
+    sums = F.array(*[F.sum(F.get("parts", F.lit(j))) for j in range(block.shape[1])])
+    found = {r["i"]: r["total"] for r in parts.groupBy("i").agg(sums.alias("total")).collect()}  # the size of the block
+    return np.array([found[i] for i in range(len(mean))])

@@ -308,16 +308,48 @@ def selected_features(spark, folder):
     return values.groupBy("part", F.size("values").cast("bigint").alias("n_features")).agg(F.count(F.lit(1)).alias("n"))
 
 
-# All components together explain everything, each no more than the one before.
-@query("SELECT 64 AS n_components, 1.0 AS explained, 0 AS n_rising")
+_COVARIANCE = """
+x AS (SELECT vec_id, unnest(range(1, 65)) AS i, unnest(list_transform(embedding, lambda v: CAST(v AS DOUBLE))) AS v FROM embeddings),
+c AS (SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS c FROM x a JOIN x b USING (vec_id) GROUP BY ALL),
+m0 AS (SELECT list(line ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS line FROM c GROUP BY i)),
+t AS (SELECT sum(c) AS total FROM c WHERE i = j)
+"""
+
+
+def _power_iteration(n: int) -> str:
+    """Component n by powers of the covariance without the components before it."""
+    step = f"list_transform((SELECT m FROM m{n - 1}), lambda line: list_dot_product(line, v))"
+    return f"""
+p{n}(step, v) AS (
+  SELECT 0, list_transform(range(1, 65), lambda i: 1.0 + i * {n} % 7 / 10.0)
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda q: q / sqrt(list_dot_product(w, w))) FROM (SELECT step, {step} AS w FROM p{n} WHERE step < 2500)),
+v{n} AS (SELECT v, list_dot_product(v, {step}) AS value FROM p{n} WHERE step = 2500),
+m{n} AS (SELECT list_transform(range(1, 65), lambda i: list_transform(range(1, 65), lambda j: m[i][j] - value * v[i] * v[j])) AS m FROM m{n - 1}, v{n})"""
+
+
+def _components_sql(select: str) -> str:
+    parts = [f"SELECT CAST({n} AS BIGINT) AS component, v, value FROM v{n}" for n in (1, 2, 3)]
+    steps = ",".join(_power_iteration(n) for n in (1, 2, 3))
+    return f"WITH RECURSIVE {_COVARIANCE}, {steps}, found AS ({' UNION ALL '.join(parts)}) {select}"
+
+
+@query(_components_sql("SELECT component, round(value / total, 6) AS explained FROM found, t"))
 def principal_components(spark, folder):
-    _, explained = select.principal_components(_embeddings(spark, folder), 64)
-    after = explained.select((F.col("component") - 1).alias("component"), F.col("explained").alias("next"))
-    return explained.join(after, "component", "left").agg(
-        F.count(F.lit(1)).alias("n_components"),
-        F.round(F.sum("explained"), 6).alias("explained"),
-        F.count_if(F.col("next") > F.col("explained") + 1e-12).alias("n_rising"),
-    )
+    """Share of the variance that each of the first components explains."""
+    _, explained = select.principal_components(_embeddings(spark, folder), 3)
+    return explained.withColumn("explained", F.round("explained", 6))
+
+
+# Signs are free: the largest entry is made positive.
+@query(_components_sql("""
+SELECT component, i, round(v[i] * CASE WHEN list_max(v) >= -list_min(v) THEN 1 ELSE -1 END, 3) AS weight
+FROM found, (SELECT unnest(range(1, 65)) AS i)"""))
+def principal_directions(spark, folder):
+    """The weight of every column in each of the first components."""
+    model, _ = select.principal_components(_embeddings(spark, folder), 3)
+    lines = [(n + 1, i + 1, round(float(v), 3) + 0.0) for n, direction in enumerate(model.directions) for i, v in enumerate(direction)]
+    return spark.createDataFrame(lines, "component bigint, i bigint, weight double")
 
 
 @query("""

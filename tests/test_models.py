@@ -140,6 +140,27 @@ def test_principal_components(spark):
     assert shares == pytest.approx(list(values[:2] / values.sum()), rel=1e-6)
 
 
+def test_components_of_many_columns(spark):
+    """2,000 columns that five hidden directions move: shares and directions as the singular values say."""
+    draw = np.random.default_rng(13)
+    hidden = np.linalg.qr(draw.normal(size=(2000, 5)))[0] * np.array([30, 20, 14, 9, 6])
+    table = draw.normal(size=(240, 5)) @ hidden.T + draw.normal(size=(240, 2000)) * 0.05 + 3
+    model, explained = select.principal_components(vectors(spark, table).repartition(4), 5)
+    _, values, right = np.linalg.svd(table - table.mean(0), full_matrices=False)
+    shares = [r["explained"] for r in explained.orderBy("component").collect()]
+    assert shares == pytest.approx(list(values[:5] ** 2 / (values**2).sum()), rel=1e-9)
+    assert np.abs(np.abs(model.directions @ right[:5].T) - np.eye(5)).max() < 1e-7
+    placed = np.array([r["pca_features"] for r in model.transform(vectors(spark, table)).orderBy("id").collect()])
+    assert np.allclose(placed, (table - table.mean(0)) @ model.directions.T)
+
+
+def test_components_of_nothing(spark):
+    for table in (np.zeros((0, 3)), np.ones((1, 3)), np.ones((4, 3))):
+        frame = vectors(spark, table) if len(table) else vectors(spark, np.ones((1, 3))).limit(0)
+        model, explained = select.principal_components(frame, 2)
+        assert explained.count() == 0 and len(model.directions) == 0
+
+
 def vectors(spark, table, **columns):
     names = list(columns)
     rows = [(i, [float(x) for x in line], *[columns[n][i] for n in names]) for i, line in enumerate(table)]
