@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -145,7 +144,7 @@ FROM part JOIN i USING (p_type), s
 """)
 def one_hot_and_assemble(spark, folder):
     part = load_table(spark, folder, "part")
-    vectors = Pipeline(stages=encode.encoding_stages(["p_size"], ["p_type"])).fit(part).transform(part)
+    vectors = encode.fit_preparation(part, ["p_size"], ["p_type"]).transform(part)
     values = vectors.select("p_partkey", vector_to_array("raw_features").alias("values"))
     return values.select(
         "p_partkey",
@@ -155,6 +154,23 @@ def one_hot_and_assemble(spark, folder):
     )
 
 
+# A place for every part: the values come from a table, the vectors hold their one place.
+@query("""
+WITH t AS (SELECT l_partkey, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS INT) AS active
+           FROM lineitem WHERE l_quantity < 40 GROUP BY 1)
+SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, active, (SELECT CAST(count(*) AS INT) FROM t) AS n_places
+FROM lineitem LEFT JOIN t USING (l_partkey)
+""")
+def one_hot_of_many_values(spark, folder):
+    """Values learned from the smaller orders, vectors for all; a part that only large orders have has no place."""
+    line = load_table(spark, folder, "lineitem").withColumn("part", F.col("l_partkey").cast("string"))
+    hot = encode.fit_preparation(line.where("l_quantity < 40"), [], ["part"]).transform(line)
+    vector = F.unwrap_udt("part_class")
+    return hot.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", F.get(vector["indices"], F.lit(0)).alias("active"), vector["size"].alias("n_places")
+    )
+
+
 @query("""
 WITH m AS (SELECT avg(l_quantity) AS qm, stddev_samp(l_quantity) AS qs, avg(l_extendedprice) AS pm, stddev_samp(l_extendedprice) AS ps FROM lineitem)
 SELECT l_orderkey, l_partkey, l_suppkey, l_shipdate, round((l_quantity - qm) / qs, 6) AS quantity, round((l_extendedprice - pm) / ps, 6) AS price
@@ -162,7 +178,7 @@ FROM lineitem, m
 """)
 def standardise(spark, folder):
     line = load_table(spark, folder, "lineitem")
-    model = Pipeline(stages=encode.encoding_stages(["l_quantity", "l_extendedprice"], [], centre=True)).fit(line)
+    model = encode.fit_preparation(line, ["l_quantity", "l_extendedprice"], [], centre=True)
     scaled = model.transform(line).withColumn("values", vector_to_array("features"))
     return scaled.select(
         "l_orderkey",

@@ -140,6 +140,21 @@ def test_principal_components(spark):
     assert shares == pytest.approx(list(values[:2] / values.sum()), rel=1e-6)
 
 
+def test_one_hot_of_200_000_values(spark):
+    """Every value has a place of its own; the driver gets their number, and the stages hold no labels."""
+    n = 200_000
+    rows = spark.range(n + 1000).select(F.concat(F.lit("v"), F.col("id") % n).alias("c"), (F.col("id") % 7).cast("double").alias("x"))
+    fitted = encode.fit_preparation(rows, ["x"], ["c"])
+    assert fitted.sizes == {"c": n} and not any("labels" in p.name for stage in fitted.stages.stages for p in stage.params)
+    vector = F.unwrap_udt("c_class")
+    hot = fitted.transform(rows).select("c", vector["size"].alias("size"), F.get(vector["indices"], F.lit(0)).alias("at"))
+    found = hot.agg(F.count_distinct("at"), F.min("at"), F.max("at"), F.min("size"), F.max("size")).first()
+    assert tuple(found) == (n, 0, n - 1, n, n)
+    unseen = spark.createDataFrame([("other", 1.0), (None, 2.0), ("v5", None)], "c string, x double")
+    places = {r["c"]: r["i"] for r in fitted.transform(unseen).select("c", vector["indices"].alias("i")).collect()}
+    assert places["other"] == places[None] == [] and len(places["v5"]) == 1
+
+
 def test_components_of_many_columns(spark):
     """2,000 columns that five hidden directions move: shares and directions as the singular values say."""
     draw = np.random.default_rng(13)
