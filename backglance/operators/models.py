@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from backglance.sources.tables import Scratch
+
 # The grids and iteration counts of the four classifiers.
 LOGISTIC_ITERATIONS = 5
 BOOSTING_DEPTHS = (1, 5, 10)
@@ -55,8 +57,10 @@ def cross_validate(
 
     ``folded`` has ``features``, ``label``, ``fold`` and ``part`` from ``blocked_folds``.
     ``parallelism`` fits run at the same time, so that small stages do not leave executors idle.
+    The folds are written once, a folder for each part of a fold, so a fit reads its own rows only
+    and a lost executor takes nothing with it; the files go when all scores are known.
     """
-    blocks = folded.select("features", "label", "fold", "part").persist(StorageLevel.MEMORY_AND_DISK)
+    spark = folded.sparkSession
 
     def score(task: tuple[int, float]) -> tuple[float, int, float]:
         fold, parameter = task
@@ -65,13 +69,11 @@ def cross_validate(
         area = area_under_pr_of(fit_score(build(parameter), train, test))
         return float(parameter), int(fold), float(area)
 
-    spark = folded.sparkSession
-    try:
+    with Scratch(spark) as scratch:
+        blocks = scratch.stage(folded.select("features", "label", "fold", "part"), partition_by=["fold", "part"])
         folds = [row["fold"] for row in blocks.select("fold").distinct().orderBy("fold").collect()]
         with ThreadPool(parallelism) as pool:
             scores = pool.map(inheritable_thread_target(spark)(score), [(f, p) for f in folds for p in parameters])
-    finally:
-        blocks.unpersist()
     return spark.createDataFrame(scores, "parameter double, fold int, area_under_pr double")
 
 
@@ -95,11 +97,8 @@ def train_best(
     """Fold scores, and the test rows scored by the best parameter fitted on all training rows."""
     scores = cross_validate(folded, build, parameters)
     best = pick_best(mean_scores(scores)).first()["parameter"]
-    kept = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = build(best, final=True).fit(kept)
-    finally:
-        kept.unpersist()
+    with Scratch(train.sparkSession) as scratch:
+        model = build(best, final=True).fit(scratch.stage(train.select("features", "label")))
     return scores, model.transform(test)
 
 
