@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,17 +90,15 @@ def drop_sparse(df: DataFrame, threshold: float = 0.95, keep: Iterable[str] = ()
 def distinct_counts(df: DataFrame, names: Iterable[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct values of every column, nulls apart.
 
-    Exact counts come from the distinct (column, value) pairs, which the map tasks thin out
-    before the shuffle; sketches need one row per task only.
+    Each column is counted by itself, in its own type: its values are thinned out in the map tasks and
+    only distinct ones are shuffled.  A Parquet scan reads each column once; a table that is
+    dear to work out should be staged before.  Sketches need one row per task only.
     """
     names = list(names or df.columns)
     if approximate:
         row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"dc_{c}") for c in names])
         return unpivot_row(row, {"n_distinct": "dc_"})
-    kinds = dict(df.dtypes)
-    # 0.0 turns -0.0 into 0.0, as COUNT DISTINCT does.
-    value = lambda c: (F.col(f"`{c}`") + F.lit(0.0) if kinds[c] in ("float", "double") else F.col(f"`{c}`")).cast("string")
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), value(c).alias("value")) for c in names])
-    lines = df.select(F.explode(pairs).alias("pair")).select("pair.*")
-    named = df.sparkSession.createDataFrame([(c, None) for c in names], "column_name string, value string")
-    return lines.union(named).distinct().groupBy("column_name").agg(F.count("value").alias("n_distinct"))
+    one = lambda c: (
+        df.select(F.col(f"`{c}`").alias("value")).distinct().agg(F.lit(c).alias("column_name"), F.count("value").alias("n_distinct"))
+    )
+    return reduce(DataFrame.unionAll, [one(c) for c in names]).select("column_name", "n_distinct")
