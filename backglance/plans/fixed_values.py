@@ -53,6 +53,19 @@ REPEATED = [
     "GA2", "GA3", "KA2", "GD2", "GD3", "CT2", "CT3", "CG2", "CG3", "CLOSEST_CITY",
 ]
 
+# Of the columns above, those that an extract of the flight or weather tables may lack.
+MAY_BE_ABSENT = [
+    "DEP_TIME", "DEP_DELAY", "DEP_DELAY_NEW", "DEP_DELAY_GROUP", "TAXI_OUT", "WHEELS_OFF", "WHEELS_ON", "TAXI_IN",
+    "ARR_TIME", "ARR_DELAY", "ARR_DELAY_NEW", "ARR_DEL15", "ARR_DELAY_GROUP", "ARR_TIME_BLK", "ACTUAL_ELAPSED_TIME",
+    "AIR_TIME", "CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY",
+    "DEP_TIME_BLK", "FLIGHTS", "OP_UNIQUE_CARRIER", "OP_CARRIER_AIRLINE_ID", "ORIGIN_AIRPORT_ID",
+    "ORIGIN_AIRPORT_SEQ_ID", "ORIGIN_CITY_MARKET_ID", "ORIGIN_CITY_NAME", "ORIGIN_STATE_NM", "ORIGIN_STATE_FIPS",
+    "ORIGIN_WAC", "DEST_AIRPORT_ID", "DEST_AIRPORT_SEQ_ID", "DEST_CITY_MARKET_ID", "DEST_CITY_NAME", "DEST_STATE_NM",
+    "DEST_STATE_FIPS", "DEST_WAC", "TIMEZONE", "LATITUDE", "LONGITUDE", "LATITUDE_ORIG", "LONGITUDE_ORIG", "NAME",
+    "DATE", "REPORT_TYPE", "CALL_SIGN", "QUALITY_CONTROL", "REM", "EQD", "GA2", "GA3", "KA2", "GD2", "GD3", "CT2",
+    "CT3", "CG2", "CG3", "CLOSEST_CITY",
+]
+
 # The 50 states and DC.
 STATES = (
     "AL AK AZ AR CA CO CT DC DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR "

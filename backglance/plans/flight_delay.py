@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +86,8 @@ def join_weather(flights: DataFrame, observations: DataFrame, same_day: bool = F
 def add_features(joined: DataFrame, sentinels: str = "null") -> DataFrame:
     """Time and window features, decoded weather, and no column that is known only later.
 
-    Fields that were too sparse to keep are skipped.
+    Fields that were too sparse to keep are skipped.  A column to drop that is not there is an
+    error, unless it is one of ``fixed.MAY_BE_ABSENT``.
     """
     flights = with_time_parts(joined, "DEPARTURE_UTC", "HOUR", "MINUTE")
     flights = positions.rank_within(flights, ["DEPARTURE_DAY"], ["DEPARTURE_UTC"], "NTH_FLIGHTS")
@@ -97,7 +99,13 @@ def add_features(joined: DataFrame, sentinels: str = "null") -> DataFrame:
     typed = type_parts(
         coded, present(fixed.part_names(fixed.DOUBLE_PARTS)), present(fixed.part_names(fixed.INTEGER_PARTS))
     )
-    return typed.drop(*fixed.AFTER_DEPARTURE, *fixed.REPEATED)
+    return drop_known(typed, [*fixed.AFTER_DEPARTURE, *fixed.REPEATED], fixed.MAY_BE_ABSENT)
+
+
+def drop_known(df: DataFrame, names: Sequence[str], may_be_absent: Sequence[str]) -> DataFrame:
+    """``df`` without the columns; one that is not there has to be among those that may be absent."""
+    there = {c.lower(): c for c in df.columns}  # names of columns differ in more than their case
+    return quality.drop_columns(df, [there.get(n.lower(), n) for n in names if n.lower() in there or n not in may_be_absent])
 
 
 def split_and_label(features: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -184,7 +192,8 @@ def oversample(train: DataFrame, key: str) -> DataFrame:
 
 def score_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS)) -> DataFrame:
     """One line per classifier: fold score of the best parameter, and accuracy, area, average precision and confusion on the test rows."""
-    folded = splits.blocked_folds(train, ["DEPARTURE_UTC", key], fixed.FOLDS, fixed.TRAIN_FRACTION, levels=time_levels("DEPARTURE_UTC"))
+    order = ["DEPARTURE_UTC", key, *[c for c in train.columns if c == "synthetic"]]
+    folded = splits.blocked_folds(train, order, fixed.FOLDS, fixed.TRAIN_FRACTION, levels=time_levels("DEPARTURE_UTC"))
     lines = []
     for name in names:
         build, parameters = models.CLASSIFIERS[name]
@@ -195,7 +204,7 @@ def score_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[st
 
 
 TEST_SCORES = (
-    "accuracy double, positive_rate double, area_under_pr double, "
+    "accuracy double, positive_rate double, area_under_pr double, average_precision double, "
     "true_late bigint, false_late bigint, true_early bigint, false_early bigint"
 )
 
@@ -209,10 +218,17 @@ def test_scores(predictions: DataFrame) -> tuple:
         accuracy["accuracy"],
         accuracy["positive_rate"],
         models.area_under_pr_of(predictions),
+        average_precision_of(predictions),
         *(of(1.0, 1.0), of(0.0, 1.0), of(0.0, 0.0), of(1.0, 0.0)),
     )
 
 
+def average_precision_of(predictions: DataFrame) -> float:
+    """Mean precision at the late flights, ranked by the model's margin."""
+    ranked = predictions.select("label", vector_to_array("rawPrediction")[1].alias("score"))
+    return evaluate.average_precision(ranked, "score", "label", []).first()["average_precision"]
+
+
 test_scores.__test__ = False  # not a test, whatever its name
 
 
@@ -247,10 +263,11 @@ def delay_causes(flights: DataFrame) -> DataFrame:
     )
 
 
-def run(flights: DataFrame, weather: DataFrame, places: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS)) -> DataFrame:
+def run(flights: DataFrame, weather: DataFrame, places: DataFrame, key: str, names: Sequence[str] = tuple(models.CLASSIFIERS), oversampled: bool = True) -> DataFrame:
     """From raw tables to one line of scores per model, the logistic baseline first.
 
-    ``key`` names the unique flight column.  Steps lie in a folder of their own under the shared
+    ``key`` names the unique flight column.  The classifiers learn from the training rows with new late
+    flights between near ones, unless ``oversampled`` is off; test rows are as given.  Steps lie in a folder of their own under the shared
     checkpoint folder, which goes when the run ends, well or not.
     """
     with Scratch(flights.sparkSession) as scratch:
@@ -265,5 +282,7 @@ def run(flights: DataFrame, weather: DataFrame, places: DataFrame, key: str, nam
         if names:
             a, b = to_vectors(train, test, keep=[key])
             a, b = scratch.stage(a), scratch.stage(b)
+            if oversampled:
+                a = scratch.stage(oversample(a, key))
             lines = lines.union(score_models(a, b, key, names))
         return lines

@@ -156,3 +156,11 @@ def test_run_reads_the_raw_tables_a_few_times(spark, raw, tmp_path, monkeypatch)
 def test_cancellation_reasons(spark):
     rows = spark.createDataFrame([(1.0, "A"), (1.0, "A"), (1.0, "B"), (0.0, None)], "CANCELLED double, CANCELLATION_CODE string")
     assert sorted(r["share"] for r in plan.cancellation_reasons(rows).collect()) == pytest.approx([1 / 3, 2 / 3])
+
+
+def test_a_misspelt_column_to_drop_is_an_error(spark):
+    rows = spark.createDataFrame([(1, 2, 3)], "fl_date int, DEP_DELAY int, x int")
+    assert plan.drop_known(rows, ["FL_DATE", "DEP_DELAY", "TAXI_IN"], ["TAXI_IN"]).columns == ["x"]
+    with pytest.raises(ValueError, match="DEP_DELLAY"):
+        plan.drop_known(rows, ["FL_DATE", "DEP_DELLAY"], ["TAXI_IN"])
+    assert set(fixed.MAY_BE_ABSENT) == {*fixed.AFTER_DEPARTURE, *fixed.REPEATED} - {"FL_DATE", "CRS_DEP_TIME"}
