@@ -544,6 +544,71 @@ def logistic_baseline(spark, folder):
     return lines.agg(F.round(F.max("probability"), 3).alias("probability"), F.max("prediction").alias("prediction"), F.count(F.lit(1)).alias("n"))
 
 
+_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+# Where the gradient of the logistic loss is 0, the probabilities have the labels' mean and the labels'
+# mean product with every column.
+@query(f"""
+WITH r AS (SELECT *, CAST(l_quantity * (1 + l_tax) + l_linenumber > 30 AND l_returnflag <> 'R' AS INT) AS label FROM lineitem)
+SELECT 'all rows' AS column_name, round(avg(label), 5) AS expected FROM r
+{"".join(f"UNION ALL SELECT '{c}', round(avg(label * (CAST({c} AS DOUBLE) - m) / s), 5) FROM r, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM r) " for c in _NUMERIC)}
+""")
+def logistic_expectations(spark, folder):
+    """Mean probability, and its mean product with every standardised numeric column, at the fitted weights."""
+    label = (F.col("l_quantity") * (1 + F.col("l_tax")) + F.col("l_linenumber") > 30) & (F.col("l_returnflag") != "R")
+    line = load_table(spark, folder, "lineitem").select(*_NUMERIC, label.cast("double").alias("label"))
+    rows = encode.fit_preparation(line, _NUMERIC, [], centre=True).transform(line)
+    scored = models.fit_score(models.logistic().setMaxIter(200).setTol(1e-12), rows, rows)
+    chance, values = vector_to_array("probability")[1], vector_to_array("features")
+    means = {"all rows": F.avg(chance), **{c: F.avg(chance * values[i]) for i, c in enumerate(_NUMERIC)}}
+    found = scored.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.round(m, 5).alias("expected")) for c, m in means.items()]).alias("m"))
+    return found.select(F.explode("m").alias("m")).select("m.*")
+
+
+# The first tree of depth 1 takes the cut that leaves the least variance of the labels, -1 and 1,
+# among the values of all columns; counts by value and label tell it.
+@query(f"""
+WITH r AS (SELECT *, row_number() OVER () AS row, 2 * CAST(l_extendedprice * (1 - l_discount) > 30000 AS INT) - 1 AS y FROM lineitem),
+     u AS ({" UNION ALL ".join(f"SELECT row, '{c}' AS name, CAST({c} AS DOUBLE) AS value, y FROM r" for c in _NUMERIC if c != "l_extendedprice")}),
+     b AS (SELECT name, value, count(*) AS n, sum(y) AS y FROM u GROUP BY 1, 2),
+     c AS (SELECT name, value, sum(n) OVER w AS n1, sum(y) OVER w AS y1, sum(n) OVER (PARTITION BY name) AS n, sum(y) OVER (PARTITION BY name) AS y
+           FROM b WINDOW w AS (PARTITION BY name ORDER BY value)),
+     s AS (SELECT *, y1 / n1 AS below, (y - y1) / (n - n1) AS above FROM c WHERE n1 < n
+           ORDER BY y1 * y1 / n1 + (y - y1) * (y - y1) / (n - n1) DESC LIMIT 1)
+SELECT CAST(u.y > 0 AS DOUBLE) AS label, CAST(CASE WHEN u.value <= s.value THEN below ELSE above END > 0 AS DOUBLE) AS prediction, count(*) AS n
+FROM u JOIN s ON u.name = s.name GROUP BY 1, 2
+""")
+def first_boosted_tree(spark, folder):
+    """Labels and predictions of boosted trees with one tree of one cut, over columns with few values."""
+    names = [c for c in _NUMERIC if c != "l_extendedprice"]
+    label = (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 30000).cast("double").alias("label")
+    line = load_table(spark, folder, "lineitem").select(*[F.col(c).cast("double").alias(c) for c in names], label)
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(line)
+    predictions = models.fit_score(models.boosted_trees(1).setMaxIter(1).setMaxBins(64), rows, rows)
+    return evaluate.confusion(predictions).select("label", "prediction", "n")
+
+
+# On one 0/1 column the hinge loss is least where the margin is 1 on the side of the more frequent
+# label of each value: every other row then loses 2.
+@query("""
+WITH r AS (SELECT CAST(l_extendedprice * (1 - l_discount) > 30000 AS INT) AS label, CAST(l_quantity > 20 AS INT) AS x FROM lineitem),
+     g AS (SELECT x, sum(label) AS late, count(*) AS n FROM r GROUP BY 1)
+SELECT CAST(r.x AS DOUBLE) AS x, CAST(any_value(late * 2 > g.n) AS DOUBLE) AS prediction, round(any_value(2.0 * least(late, g.n - late) / g.n), 2) AS hinge, count(*) AS n
+FROM r JOIN g USING (x) GROUP BY 1
+""")
+def svm_hinge_loss(spark, folder):
+    """Prediction and mean hinge loss of a linear support vector machine, for both values of a column."""
+    line = load_table(spark, folder, "lineitem").select(
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 30000).cast("double").alias("label"), (F.col("l_quantity") > 20).cast("double").alias("x")
+    )
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(line)
+    scored = models.fit_score(models.svm(0.0).setMaxIter(200).setTol(1e-9), rows, rows)
+    margin = vector_to_array("rawPrediction")[1] * (2 * F.col("label") - 1)
+    hinge = F.round(F.avg(F.greatest(F.lit(0.0), 1 - margin)), 2).alias("hinge")
+    return scored.groupBy("x").agg(F.max("prediction").alias("prediction"), hinge, F.count(F.lit(1)).alias("n"))
+
+
 def _folds(spark, folder):
     train, test = _model_rows(spark, folder)
     order = ["o_orderdate", "o_orderkey"]
