@@ -49,4 +49,4 @@ def test_run_against_plain_python(spark):
 
 def test_registered():
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
