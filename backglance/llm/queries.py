@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import wraps
 
@@ -101,9 +102,16 @@ def op13_exact_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(load_table(spark, folder, "embeddings"))
 
 
-# The hash tree in SQL: 24 and 25 shards of weight 1, the least draw wins at every level and so
-# over all shards; slots follow the MD5 of the id.  The CRC is the bitwise one, byte by byte.
-ORACLES["op2_hash_tree_shards"] = """
+def _drawn(sql: str) -> str:
+    """DRAW(x) written out: an exponential number from the MD5 of key and node."""
+    uniform = r"CAST(CAST('0x' || substr(md5(key || '|' || CAST(\1 AS VARCHAR) || '|11'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496"
+    return re.sub(r"DRAW\(([^()]*)\)", f"(-ln(1 - {uniform}))", sql)
+
+
+# The hash tree in SQL, level by level: the least draw, over the weight below, of 2 regions, of the
+# region's 3 racks, of the rack's 4 shards; the 25th shard is a third region of weight 1.  Slots
+# follow the MD5 of the id.  The CRC is the bitwise one, byte by byte.
+ORACLES["op2_hash_tree_shards"] = _drawn("""
 WITH crc_table AS (
     SELECT list(c ORDER BY n) AS t FROM (
         SELECT n, list_reduce([n] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
@@ -118,18 +126,21 @@ WITH crc_table AS (
             lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])
         )) AS text_crc32
     FROM texts, crc_table
-), draws AS (
-    SELECT doc_id, key, size, text_crc32, list_transform(range(25), lambda s: {
-        'draw': -ln(1 - CAST(CAST('0x' || substr(md5(key || '|' || CAST(s AS VARCHAR) || '|11'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496),
-        'shard': s
-    }) AS d FROM sums
+), regions AS (
+    SELECT *, list_min(list_transform(range(2), lambda n: {'draw': DRAW('region' || n) / 12, 'n': n})) AS region FROM sums
+), racks AS (
+    SELECT *, list_min(list_transform(range(3 * region.n, 3 * region.n + 3),
+        lambda n: {'draw': DRAW('region' || region.n || '/rack' || n) / 4, 'n': n})).n AS rack
+    FROM regions
+), leaves AS (
+    SELECT *, list_min(list_transform(range(4 * rack, 4 * rack + 4), lambda n: {'draw': DRAW(n), 'n': n})).n AS shard FROM racks
 ), placed AS (
-    SELECT doc_id, key, size, text_crc32, list_min(d[1:24]).shard AS shard, list_min(d).shard AS grown_shard FROM draws
+    SELECT *, CASE WHEN DRAW('region2') < region.draw THEN 24 ELSE shard END AS grown_shard FROM leaves
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
     row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id, size, text_crc32) - 1 AS slot, grown_shard
 FROM placed
-"""
+""")
 
 # All texts at once: words as lists, equal texts by their text, orders as tuples of five.
 ORACLES["op11_filter_audit"] = """

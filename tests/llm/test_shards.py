@@ -35,21 +35,61 @@ def placed(spark, tree, n=20_000):
 
 
 def test_any_number_of_shards_grows_into_the_new_one_alone(spark):
-    before = placed(spark, shards.even_tree(25), 3000)
-    for n in (26, 27):
+    before = placed(spark, shards.even_tree(24), 3000)
+    for n in range(25, 39):
         after = placed(spark, shards.even_tree(n), 3000)
         assert all(after[i] in (before[i], n - 1) for i in before)
+        assert abs(Counter(after.values())[n - 1] / 3000 - 1 / n) < 0.015
         before = after
 
 
+def paths(tree):
+    return {s: (region, rack, s) for region, racks in tree.items() for rack, leaves in racks.items() for s in leaves}
+
+
 def test_weights_steer_and_confine_movement(spark):
-    tree = {"east": {"a": {0: 1.0, 1: 1.0}, "b": {2: 2.0}}, "west": {"c": {3: 4.0}}}
-    heavier = {"east": {"a": {0: 1.0, 1: 3.0}, "b": {2: 2.0}}, "west": {"c": {3: 4.0}}}
-    before, after = placed(spark, tree), placed(spark, heavier)
-    counts = Counter(before.values())
-    assert all(abs(counts[s] / 20_000 - w / 8) < 0.015 for s, w in {0: 1, 1: 1, 2: 2, 3: 4}.items())
-    assert all(after[i] in (before[i], 1) for i in before)
-    assert abs(Counter(after.values())[1] / 20_000 - 0.3) < 0.015
+    tree = {"east": {"a": {0: 1.0, 1: 1.0}, "b": {2: 2.0}}, "west": {"c": {3: 4.0}, "a": {4: 2.0, 5: 2.0}}}
+    heavier = {"east": {"a": {0: 1.0, 1: 3.0}, "b": {2: 2.0}}, "west": tree["west"]}
+    before, after, path = placed(spark, tree), placed(spark, heavier), paths(tree)
+    for found, total, weights in ((before, 12, {0: 1, 1: 1, 2: 2, 3: 4, 4: 2, 5: 2}), (after, 14, {0: 1, 1: 3, 2: 2, 3: 4, 4: 2, 5: 2})):
+        counts = Counter(found.values())
+        assert all(abs(counts[s] / 20_000 - w / total) < 0.015 for s, w in weights.items())
+    # Where the paths part, the new one follows the changed path, and the way back leaves it there.
+    moved = [(path[before[i]], path[after[i]]) for i in before if before[i] != after[i]]
+    parted = Counter(next(k for k in range(3) if old[k] != new[k]) for old, new in moved)
+    assert set(parted) == {0, 1, 2}
+    for old, new in moved:
+        level = next(k for k in range(3) if old[k] != new[k])
+        assert new[: level + 1] == path[1][: level + 1] and old[: level + 1] != path[1][: level + 1]
+    assert not any(old[0] == new[0] == "west" for old, new in moved)
+
+
+def test_descent_against_plain_python(spark):
+    import hashlib
+    import math
+
+    tree = {"east": {"a": {0: 1.0, 1: 0.5}, "b": {2: 2.0}}, "west": {"a": {7: 4.0, 5: 3.0}}}
+
+    def draw(key, name, weight):
+        u = int(hashlib.md5(f"{key}|{name}|11".encode()).hexdigest()[:13], 16) / 2**52
+        return -math.log(1 - u) / weight, str(name)
+
+    def descend(key):
+        region = min(tree, key=lambda r: draw(key, r, sum(sum(x.values()) for x in tree[r].values())))
+        rack = min(tree[region], key=lambda k: draw(key, f"{region}/{k}", sum(tree[region][k].values())))
+        return min(tree[region][rack], key=lambda s: draw(key, s, tree[region][rack][s]))
+
+    assert placed(spark, tree, 2000) == {i: descend(i) for i in range(2000)}
+
+
+def test_null_ids_clashing_columns_and_empty_tables(spark):
+    schema = "doc_id long, text string, shard string, _n int, _part int, _order int, slot int, size int"
+    rows = [(None, None, "x", 1, 1, 1, 1, 1), (None, "\u00e9", None, 2, 2, 2, 2, 2), (3, "", "y", 3, 3, 3, 3, 3), (3, "", "y", 3, 3, 3, 3, 3)]
+    found = shards.shard_documents(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.doc_id is None, r["size"]) for r in found) == [(False, 8), (False, 8), (True, 8), (True, 10)]
+    assert len({r.shard for r in found if r.doc_id is None}) == 1 == len({r.shard for r in found if r.doc_id == 3})
+    assert sorted(r.slot for r in found if r.doc_id == 3) in ([0, 1], [2, 3], [1, 2])
+    assert shards.shard_documents(spark.createDataFrame([], schema)).count() == 0
 
 
 def test_a_row_repeated_many_times_gets_gapless_slots(spark, monkeypatch):
@@ -65,6 +105,6 @@ def test_a_row_repeated_many_times_gets_gapless_slots(spark, monkeypatch):
 def test_bad_trees_are_errors(spark):
     import pytest
 
-    for tree in ({}, {"r": {"a": {0: 0.0}}}, {"r": {"a": {0: 1.0}, "b": {0: 1.0}}}):
+    for tree in ({}, {"r": {"a": {0: 0.0}}}, {"r": {"a": {0: 1.0}, "b": {0: 1.0}}}, {"r": {"a": {0: 1.0}, "b": {}}}, {"r": {"a": {0: 1.0}}, "s": {}}):
         with pytest.raises(ValueError):
             shards.assign_shards(spark.range(1), "id", tree)
