@@ -7,9 +7,12 @@ WAND: segments stand in blocks, each list keeps its largest impact in every bloc
 block whose bounds sum to less than the threshold is skipped.  For all passages of a batch at
 once this is done with the bounds of the rarer words, plus, for the most common words, the
 largest sum of impacts they have in any segment of the block.  Passages with a block left are
-searched one by one with a pivot over postings in segment order, and what is retrieved is
-verified by the overlap of the item's question and of its answer with the text around the
-passage.
+searched one by one with a pivot over postings in segment order.  A retrieved segment is verified
+by the words of its question and of its answer that stand in order in the text around the passage,
+so an excerpt of a long item is judged by what it holds of the item.
+
+Document frequencies and lengths are counted once over all segments of the benchmark, in Spark, and
+are the same for every index, however many the items make.
 """
 
 from __future__ import annotations
@@ -21,10 +24,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from backglance.llm.words import Words, slices, words_of
+from backglance.sources.tables import pin
 
 K1, B = 1.2, 0.75
 # Words of a passage, and from one passage to the next.
@@ -58,23 +63,36 @@ def split_item(words: list[bytes]) -> int:
     return len(words) - max(1, len(words) // 4)
 
 
-def _grams(words: list[bytes]) -> set:
-    """Pairs of neighbouring words; the word alone if there is one."""
-    return set(zip(words, words[1:])) if len(words) > 1 else set(words)
+class Wanted:
+    """Words of a question or answer, to be found in order."""
 
+    def __init__(self, words: list[bytes]):
+        self.length = len(words)
+        self.places: dict[bytes, int] = {}
+        for i, word in enumerate(words):
+            self.places[word] = self.places.get(word, 0) | 1 << i
 
-@dataclass
-class Item:
-    key: int
-    question: set
-    answer: set
-    length: int
+    def in_order(self, there: list[bytes]) -> int:
+        """How many stand in ``there`` in their order: the longest common subsequence, a bit for each word."""
+        everything = rest = (1 << self.length) - 1
+        for word in there:
+            places = self.places.get(word)
+            if places:
+                met = rest & places
+                rest = (rest + met | rest - met) & everything
+        return self.length - rest.bit_count()
+
+    def enough(self, found: int, overlap: float) -> bool:
+        """The share ``overlap``; of two or three words one may lack, a single word may not."""
+        least = math.ceil(overlap * self.length - 1e-9)
+        return found >= (min(least, self.length - 1) if self.length > 1 else least)
 
 
 @dataclass
 class Index:
-    items: list[Item]
+    keys: list[int] = field(default_factory=list)  # of items
     item_of: list[int] = field(default_factory=list)  # item of each segment
+    wanted: list[tuple[Wanted, Wanted]] = field(default_factory=list)  # question and answer of each segment
     terms: dict[bytes, int] = field(default_factory=dict)
     postings: list[list[int]] = field(default_factory=list)  # segments by term, ascending
     impacts: list[list[float]] = field(default_factory=list)
@@ -89,7 +107,7 @@ class Index:
 
 def build_index(rows: list[tuple[int, str]], frequency: dict[bytes, int], segments: int, mean_length: float, least: float = SCORE) -> Index:
     """Index of ``rows`` (key, text) under the statistics of all segments of the benchmark."""
-    index = Index([])
+    index = Index()
     lists: dict[int, list[tuple[int, float]]] = {}
     for key, text in rows:
         raw = text.encode().split()
@@ -97,14 +115,16 @@ def build_index(rows: list[tuple[int, str]], frequency: dict[bytes, int], segmen
             continue
         words = [plain(w) for w in raw]
         at = split_item(raw)
-        index.items.append(Item(key, _grams(words[:at]), _grams(words[at:]), len(words)))
+        index.keys.append(key)
         for start in segment_starts(len(words)):
             part = words[start : start + SEGMENT]
             number = len(index.item_of)
-            index.item_of.append(len(index.items) - 1)
+            index.item_of.append(len(index.keys) - 1)
+            middle = max(0, at - start)
+            index.wanted.append((Wanted(part[:middle]), Wanted(part[middle:])))
             weights: dict[bytes, float] = {}
             for word, times in Counter(part).items():
-                seen = frequency.get(word, 1)
+                seen = frequency[word]
                 idf = math.log(1 + (segments - seen + 0.5) / (seen + 0.5))
                 weights[word] = idf * times * (K1 + 1) / (times + K1 * (1 - B + B * len(part) / mean_length))
             own = math.fsum(weights.values())
@@ -175,10 +195,8 @@ def search(index: Index, terms: list[int], least: float) -> list[tuple[int, floa
             beyond = min(beyond, cursors[pivot + 1][0])
         if bound >= slack:
             if cursors[0][0] == segment:
-                score = 0.0
-                for at, place, term in cursors:
-                    if at == segment:
-                        score += index.impacts[term][place]
+                # Exact to rounding in any order of the terms.
+                score = math.fsum(index.impacts[term][place] for at, place, term in cursors if at == segment)
                 if score >= slack:
                     found.append((segment, score))
                 goal = segment + 1
@@ -200,10 +218,6 @@ def search(index: Index, terms: list[int], least: float) -> list[tuple[int, floa
     return found
 
 
-def _overlap(grams: set, there: set) -> float:
-    return sum(g in there for g in grams) / len(grams) if grams else 1.0
-
-
 def _with_block(index: Index, terms: np.ndarray, words: Words, base: np.ndarray, each: np.ndarray, least: float) -> np.ndarray:
     """Passages that have a block whose bounds reach the threshold.
 
@@ -255,29 +269,51 @@ def _leaks(index: Index, texts: pa.Array, least: float, overlap: float) -> list[
         query = np.unique(terms[start:end])
         for segment, score in search(index, query[query < other].tolist(), least):
             number = index.item_of[segment]
-            item = index.items[number]
-            low, high = max(int(words.first[row]), start - item.length), min(int(words.first[row + 1]), end + item.length)
+            low, high = max(int(words.first[row]), start - SEGMENT), min(int(words.first[row + 1]), end + SEGMENT)
             near = [vocabulary[c] for c in words.codes[low:high].tolist()]
-            there = set(zip(near, near[1:])) | set(near)
-            question, answer = _overlap(item.question, there), _overlap(item.answer, there)
-            if question >= overlap and answer >= overlap:
+            parts = index.wanted[segment]
+            counts = [part.in_order(near) for part in parts]
+            if all(part.enough(count, overlap) for part, count in zip(parts, counts)):
+                question, answer = (count / part.length if part.length else 1.0 for part, count in zip(parts, counts))
                 line = (score, question, answer, -(start - int(words.first[row])))
                 best[row, number] = max(best.get((row, number), line), line)
-    return [(row, index.items[k].key, s, q, a, -p) for (row, k), (s, q, a, p) in sorted(best.items())]
+    return [(row, index.keys[k], s, q, a, -p) for (row, k), (s, q, a, p) in sorted(best.items())]
 
 
-def _index_of(rows: list[tuple[int, str]], least: float) -> Index:
-    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+def segment_counts(texts: list[str]) -> tuple[Counter, int, int]:
+    """Segments that hold each word, segments, and words of all segments."""
     frequency: Counter = Counter()
     segments = total = 0
-    for _, text in rows:
+    for text in texts:
         words = [plain(w) for w in text.encode().split()]
         for start in segment_starts(len(words)) if words else []:
             part = words[start : start + SEGMENT]
             frequency.update(set(part))
             segments += 1
             total += len(part)
-    return build_index(rows, frequency, segments, total / segments if segments else 1.0, least)
+    return frequency, segments, total
+
+
+def _statistics(items: DataFrame) -> DataFrame:
+    """part, word, seen: in how many segments of all parts each word of a part stands.
+
+    The empty word stands for all: its ``seen`` are the segments, its ``size`` the words of all.
+    """
+
+    def run(batches):
+        for batch in batches:
+            table = pa.table({"part": batch["part"], "text": batch["text"]})
+            for part in table["part"].unique().to_pylist():
+                texts = table.filter(pc.equal(table["part"], part))["text"].to_pylist()
+                frequency, segments, total = segment_counts(texts)
+                words, seen = [b"", *frequency], [segments, *frequency.values()]
+                columns = [pa.array([part] * len(words), pa.int64()), pa.array(words, pa.binary()), pa.array(seen, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([total] + [0] * len(frequency), pa.int64())], ["part", "word", "seen", "size"])
+
+    counted = items.mapInArrow(run, "part long, word binary, seen long, size long").groupBy("part", "word")
+    counted = counted.agg(F.sum("seen").alias("seen"), F.sum("size").alias("size"))
+    overall = counted.groupBy("word").agg(F.sum("seen").alias("seen"), F.sum("size").alias("size"))
+    return counted.select("part", "word").join(overall, "word")
 
 
 def _indexes(items: DataFrame, least: float) -> list:
@@ -285,22 +321,29 @@ def _indexes(items: DataFrame, least: float) -> list:
     usable = items.select(F.col("item_id").cast("long"), "text").where("text is not null")
     count, size = usable.agg(F.count(F.lit(1)), F.sum(F.octet_length("text").cast("long"))).first()
     parts = max(1, math.ceil(count / MAX_ITEMS), math.ceil((size or 0) / MAX_BYTES))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    usable = usable.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("long"))
+    statistics = pin(_statistics(usable))
     found = []
     for number in range(parts):
-        rows = usable.where(part == number).collect()
-        found.append(items.sparkSession.sparkContext.broadcast(_index_of([(r[0], r[1]) for r in rows], least)))
+        rows = [(r.item_id, r.text) for r in usable.where(F.col("part") == number).collect()]
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        frequency = {bytes(r.word): (r.seen, r["size"]) for r in statistics.where(F.col("part") == number).collect()}
+        segments, total = frequency.pop(b"", (0, 0))
+        index = build_index(rows, {w: n for w, (n, _) in frequency.items()}, segments, total / segments if segments else 1.0, least)
+        found.append(items.sparkSession.sparkContext.broadcast(index))
     return found
 
 
 def find_leaks(docs: DataFrame, key: str, items: DataFrame, least: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
     """``key``, item_id, score, question_overlap, answer_overlap and first_word of every verified pair.
 
-    One line per row of ``docs`` and item, for its best passage.  All words of all texts are
-    in passages; items of any length are indexed whole.  Null texts and items hold nothing;
-    null ids stay null; repeated rows and repeated items are judged each by itself.  Items
-    beyond MAX_ITEMS or MAX_BYTES make further indexes of that size, with word statistics of
-    their own, and a pass over the texts each.  Empty tables give no rows.
+    One line per row of ``docs`` and item, for its best passage, the first of equals.  All words
+    of all texts are in passages; items of any length are indexed whole.  ``question_overlap``
+    and ``answer_overlap`` are shares of the words of the best segment's question and answer, 1
+    where the segment has none of them.  Null texts and items hold nothing; null ids stay null;
+    repeated rows and repeated items are judged each by itself.  Items beyond MAX_ITEMS or
+    MAX_BYTES make further indexes of that size under the same statistics, and a pass over the
+    texts each.  Empty tables give no rows.
     """
     names = ["key", "item_id", "score", "question_overlap", "answer_overlap", "first_word"]
     schema = "key long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
