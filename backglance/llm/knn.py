@@ -28,6 +28,8 @@ COLUMNS = _LENGTH + 64
 MAX_LABELLED = 4000
 DIRECTIONS = 48
 NEIGHBOURS = 25
+# Cosines this close are equal: single precision rounds by less.
+TIE = 1e-6
 THRESHOLD = 0.3
 
 _RUNS = [(regex.compile(rb"[a-z\x80-\xff]+"), b"a"), (regex.compile(rb"[A-Z]+"), b"A"), (regex.compile(rb"[0-9]+"), b"0")]
@@ -55,8 +57,9 @@ def term_counts(texts: pa.Array) -> np.ndarray:
             counts[:, column] = np.bincount(owner[back:][same], minlength=n)
         data = words.data
         pair = (data[:-1].astype(np.int64) * 256 + data[1:]) * 0x9E3779B1 >> 15 & (PAIRS - 1)
-        owner = np.repeat(np.arange(n), np.diff(words.offsets))[:-1]
-        counts[:, SHAPES : SHAPES + PAIRS] = np.bincount(owner * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS)
+        owner = np.repeat(np.arange(n), np.diff(words.offsets))
+        inside = owner[1:] == owner[:-1]  # the last byte of a text and the first of the next are no pair
+        counts[:, SHAPES : SHAPES + PAIRS] = np.bincount(owner[:-1][inside] * PAIRS + pair[inside], minlength=n * PAIRS).reshape(n, PAIRS)
     counts = np.log1p(counts)
     return counts / np.linalg.norm(counts, axis=1, keepdims=True)  # never 0: the length has a term
 
@@ -75,7 +78,7 @@ class Neighbours:
         return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
 
     def scores(self, counts: np.ndarray, nearest: int = NEIGHBOURS) -> np.ndarray:
-        """Share of label 1 among the nearest labelled vectors, each weighted by its cosine."""
+        """Share of label 1 among the nearest labelled vectors, each weighted by its cosine; all that tie with the last one vote."""
         found = np.full(len(counts), float(self.labels.mean()) if len(self.labels) else 0.5)
         nearest = min(nearest, len(self.labels))
         if not nearest:
@@ -83,9 +86,11 @@ class Neighbours:
         latent = self.latent(counts)
         for i in range(0, len(latent), 512):
             cosines = latent[i : i + 512] @ self.vectors.T
-            best = np.argpartition(-cosines, nearest - 1, axis=1)[:, :nearest]
-            weights = np.maximum(np.take_along_axis(cosines, best, 1).astype(float), 1e-6) ** 2
-            found[i : i + 512] = (weights * self.labels[best]).sum(1) / weights.sum(1)
+            last = np.partition(cosines, -nearest, axis=1)[:, -nearest, None]
+            row, best = np.nonzero(cosines >= last - TIE)
+            weights = np.maximum(cosines[row, best].astype(float), 1e-6) ** 2
+            size = len(cosines)
+            found[i : i + 512] = np.bincount(row, weights * self.labels[best], size) / np.bincount(row, weights, size)
         return np.clip(found, 0, 1)
 
 
@@ -139,7 +144,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED,
 
     Labels, languages, sources and ids never enter a score.  Null and empty texts have the term
     of length 0 alone and are scored like others; repeated rows get equal scores; without any
-    label the score is 0.5; an empty table gives no rows; other columns are not read.
+    label the score is 0.5; labelled vectors as near as the last neighbour all vote; a text of any
+    length counts whole; an empty table gives no rows; other columns are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(train_quality(docs, labels, most=most))
 

@@ -205,7 +205,8 @@ def judge_documents(docs: DataFrame) -> DataFrame:
     come from the documents that pass the base, per language and source (null is a value of
     its own), and join back to them; quantiles of a group are weighted with those of its
     language and of all documents.  Null and empty texts have no words and fail the base; repeated rows
-    count as often as they occur; an empty table gives no rows; other columns are not read.
+    count as often as they occur; a text of any length counts whole; a value equal to a cutoff passes;
+    an empty table gives no rows; other columns are not read.
     """
     by = ["lang", "source"]
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))

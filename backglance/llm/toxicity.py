@@ -217,8 +217,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED,
 
     The whole text counts; labels, languages, sources and ids never enter a score.  Null and
     empty texts have no term and get the score of the intercept; repeated rows get equal
-    scores; without labels the score is near 0; an empty table gives no rows; other columns
-    are not read.
+    scores; without labels the score is near 0; a text longer than a slice is a slice of its own;
+    an empty table gives no rows; other columns are not read.
     """
     chain = docs.sparkSession.sparkContext.broadcast(train_toxicity(docs, labels, most=most))
     names = [f"p_{name}" for name in SEEDS] + ["score"]

@@ -1,10 +1,13 @@
 """Every operator and stage on empty tables, nulls, ties, repeated rows, long texts and clashing names."""
 
+import hashlib
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from backglance.llm import bpe, decontam, edits, knn, licenses, queries, rules, shards, simhash, substrings, toxicity
+from backglance.llm import bpe, decontam, edits, knn, licenses, queries, rules, secrets, shards, simhash, substrings, termmatrix, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 997}" for i in range(60_000))
@@ -98,3 +101,47 @@ def test_near_duplicate_stage_keeps_one_of_each_group(docs):
     kept = simhash.drop_near_duplicates(docs).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 2, 4, 6, 7]
     assert [r.text for r in kept if r.doc_id is None] == ["no id at all here"]
+
+
+# Names that the operators give to columns of their own.
+HELPERS = """
+_all _base _earliest _hash _id _key _label _least _left _md5 _n _order _part _place _print _run _start _times _until
+anchor base_failed bits bucket component_id copies counts docs draw fingerprint grown_shard held_out high ids ids_sha256
+item_id key kept label license low measure n n_tokens n_words names part predicted score shard size slot spans target
+text_crc32 times weight word x y
+""".split()
+
+
+def lines(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+@pytest.mark.parametrize("name", [*NAMES, "leaks", "licenses", "audit", "secrets"])
+def test_extra_columns_with_clashing_names_change_nothing(docs, labels, items, name):
+    more = {
+        "leaks": lambda d: decontam.find_leaks(d, "doc_id", items),
+        "licenses": licenses.find_licenses,
+        "audit": lambda d: termmatrix.audit_filters(d, labels),
+        "secrets": secrets.find_secrets,
+    }
+    run = {**operators(labels, items), **more}[name]
+    wide = docs.withColumns({helper: F.lit(i) for i, helper in enumerate(HELPERS)})
+    assert lines(run(wide)) == lines(run(docs))
+
+
+def test_a_text_longer_than_a_slice_counts_whole(spark, docs, labels, items):
+    text = LONG + " " + " ".join(f"more{i % 50_021}" for i in range(600_000)) + " password=abcdefghijklmn"
+    assert len(text) > 5 << 20
+    rows = docs.where("doc_id in (1, 7)").union(spark.createDataFrame([(77, text, "en", "a", len(text))], DOCS)).coalesce(1)
+    (shard,) = shards.shard_documents(rows).where("doc_id = 77").collect()
+    assert (shard.size, shard.text_crc32) == (len(text) + 8, zlib.crc32(text.encode()))
+    (rule,) = rules.judge_documents(rows).where("doc_id = 77").collect()
+    assert (rule.n_words, rule.word_chars) == (660_001, len(text) - 660_000)
+    (secret,) = secrets.find_secrets(rows).where("doc_id = 77").collect()
+    assert secret.spans == f"assign:{len(text) - 23}:{len(text)}"
+    (repeat,) = substrings.repeat_digests(rows).where("doc_id = 77").collect()
+    kept = " ".join([*text.split()[:997], *[f"more{i}" for i in range(50_021)], "password=abcdefghijklmn"])
+    assert (repeat.n_words, repeat.kept_sha256) == (660_001, hashlib.sha256(kept.encode()).hexdigest())
+    for run in (lambda d: toxicity.score_toxicity(d, labels), lambda d: knn.score_quality(d, labels)):
+        (line,) = run(rows).where("doc_id = 77").collect()
+        assert 0 <= line.score <= 1 and line.predicted in (0, 1)

@@ -45,6 +45,51 @@ def test_votes_are_exact_blocked_cosines():
         assert abs(score - (weight * labels[best]).sum() / weight.sum()) < 1e-5
 
 
+def test_all_vectors_that_tie_with_the_last_neighbour_vote():
+    """Copies in the sample count alike, in whatever order they stand."""
+    draw = np.random.default_rng(3)
+    distinct = np.abs(draw.normal(size=(12, knn.COLUMNS))).astype(np.float32)
+    counts, labels = np.repeat(distinct, 10, axis=0), np.tile([1] * 3 + [0] * 7, 12)
+    model = knn.fit_neighbours(counts, labels, directions=8)
+    assert np.allclose(model.scores(distinct, nearest=5), 0.3)
+    order = draw.permutation(len(labels))
+    mixed = knn.Neighbours(model.mean, model.directions, model.vectors[order], model.labels[order])
+    for nearest in (1, 5, 10, 15, 120):
+        assert np.allclose(model.scores(distinct, nearest), mixed.scores(distinct, nearest))
+        assert np.allclose(model.scores(distinct, nearest), 0.3)
+
+
+def test_query_votes_against_one_document_at_a_time(spark):
+    """op9 on a small table: every score from the cosines of one document, its best 25 and all ties."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = knn.train_quality(docs, labels)
+    found = {r.doc_id: r.score for r in QUERIES["op9_neighbour_quality"](spark, folder).collect()}
+    for row in docs.collect():
+        one = model.latent(knn.term_counts(pa.array([row.text])))[0]
+        cosines = np.array([float(one @ v) for v in model.vectors])
+        near = cosines >= np.sort(cosines)[-25] - knn.TIE
+        weight = np.maximum(cosines[near], 1e-6) ** 2
+        assert abs(found[row.doc_id] - (weight * model.labels[near]).sum() / weight.sum()) < 1e-3, row.doc_id
+
+
+def test_query_chain_against_one_document_at_a_time(spark):
+    """op1 on a small table: each link's logistic of the weights of the terms present and of the links before."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.train_toxicity(docs, labels)
+    found = {r.doc_id: r for r in QUERIES["op1_toxicity_chain"](spark, folder).collect()}
+    for row in docs.collect():
+        terms = set(toxicity.present_terms(pa.array([row.text]))[1].tolist())
+        before = np.zeros((1, 0))
+        for link in chain.links:
+            total = sum(w for column, w in link.weights.items() if column in terms)
+            before = np.hstack([before, link.probability(np.array([total]), before)[:, None]])
+        line = found[row.doc_id]
+        assert np.allclose([line[f"p_{name}"] for name in toxicity.SEEDS] + [line.score], before[0], atol=1e-9)
+        assert line.predicted == int(before[0, -1] >= toxicity.THRESHOLD)
+
+
 def test_chain_feeds_unseen_probabilities_to_later_links():
     """A later label that follows an earlier one is learned through the earlier probability."""
     draw = np.random.default_rng(1)
