@@ -2,8 +2,9 @@
 
 Projections on the principal directions of a bounded sample put each vector on a space-filling
 order (the bits of its rank along the directions, interleaved).  The order is cut into leaves of
-a fixed number of vectors, so a dense region means more leaves and never a larger one, and
-copies of a vector are compared once.
+one number of vectors, so a dense region means more leaves and never a larger one, and
+copies of a vector are compared once.  A vector is sent to one group for each pair of its leaf, so
+there are few leaves: they grow with the table as far as the memory of a task allows.
 
 1. Each leaf is compared with itself.  The distance of a vector's k-th neighbour so far bounds how
    far its true neighbours can lie.
@@ -12,22 +13,26 @@ copies of a vector are compared once.
    distance of any two vectors in them.  Pairs of boxes are opened from the top: a pair whose gap
    exceeds the bound of the first is dropped with all that lies below.
 3. The pairs of leaves that are left are compared, each in a group of its own, after single
-   vectors that lie too far from the other box are left out.
+   vectors that lie too far from the other box are left out.  Inside a group, leaves are halved along
+   the directions into chunks, and pairs of chunks are dropped by the same rule.
 
-No true neighbour is dropped at any size; the spread of the data decides how many pairs of leaves
-are left.  Vectors in clusters, or near a few directions, meet few of them, and vectors spread
+No true neighbour is dropped at any size; the spread of the data decides how many pairs are
+left.  Vectors in clusters, or near a few directions, meet few of them, and vectors spread
 evenly in many directions meet most.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from backglance.functions.vectors import as_array
 from backglance.operators.positions import dense_index
@@ -40,6 +45,10 @@ _BITS = 4  # 16 ranks along each direction
 SAMPLE = 4_000
 # Boxes under a box.
 _FANOUT = 16
+# Leaves of a table whose leaves fit the memory of a task, and numbers in a leaf at most.
+_LEAVES, _LEAF_NUMBERS = 12, 1 << 22
+# Vectors of a chunk at most; rows and columns of the squares that are looked at together.
+_CHUNK, _ROWS, _COLUMNS = 256, 64, 4096
 # Room for rounding in the bounds: a pair is dropped only if it is farther by more than this share.
 _ROOM = 1e-9
 
@@ -72,7 +81,7 @@ def _in_leaves(points: DataFrame, leaf: int, directions: int, seed: int) -> Data
             if len(frame):
                 yield frame.assign(along=list(_matrix(frame["values"]) @ matrix))
 
-    schema = f"key {_sql_type(points)}, values array<double>, along array<double>"
+    schema = f"key {_sql_type(points)}, values {_sql_type(points, 'values')}, along array<double>"
     placed = points.mapInPandas(project, schema)
     along, ranks = [f"p{i}" for i in range(many)], [f"r{i}" for i in range(many)]
     placed = placed.withColumns({c: F.get("along", F.lit(i)) for i, c in enumerate(along)})
@@ -94,35 +103,96 @@ def _in_leaves(points: DataFrame, leaf: int, directions: int, seed: int) -> Data
     return ordered.select(F.least(F.floor(F.col("at") / leaf), last).alias("leaf"), "key", "values", "along")
 
 
-def _nearest(a: np.ndarray, b: np.ndarray, k: int, bounds: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of a, row of b and distance of the ``k`` nearest in b of each row in a, at most at its bound; of equal distances the first rows."""
+def _nearest(
+    a: np.ndarray, b: np.ndarray, k: int, bounds: np.ndarray, rank: np.ndarray, own: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of a, row of b and distance of the ``k`` nearest in b of each row in a, at most at its bound.
+
+    Of equal distances the first in ``rank``; ``own`` are the rows of b that the rows of a are themselves.
+    """
     rows, columns, distances = [], [], []
-    of_b = (b * b).sum(1)
-    for start in range(0, len(a), 64):  # bounds memory where very many distances are equal
-        part = a[start : start + 64]
-        of_a = (part * part).sum(1)[:, None]
-        squares = of_a + of_b - 2 * part @ b.T
-        if same:
-            squares[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
-        take = min(k, len(b) - same)
-        if take < 1:
-            break
-        # Some more than k where rounding may hide the order; exact distances decide.
-        room = 1e-9 * (of_a[:, 0] + of_b.max())
-        most = np.minimum(np.partition(squares, take - 1, axis=1)[:, take - 1], bounds[start : start + 64] ** 2) + room
-        i, j = np.nonzero(squares <= most[:, None])
-        gaps = part[i] - b[j]
-        rows.append(i + start), columns.append(j), distances.append(np.sqrt((gaps * gaps).sum(1)))
+    take = k + (own is not None)
+    of_a, of_b = (a * a).sum(1), (b * b).sum(1)
+    # Some more than k where rounding may hide the order; exact distances decide.
+    room = 1e-9 * (of_a + of_b[np.isfinite(of_b)].max(initial=0.0))
+    limits = bounds**2 + room - of_a
+    for start in range(0, len(a), _ROWS):  # bounds memory where very many distances are equal
+        part, some, limit = -2 * a[start : start + _ROWS], room[start : start + _ROWS], limits[start : start + _ROWS].copy()
+        for first in range(0, len(b), _COLUMNS):
+            squares = part @ b[first : first + _COLUMNS].T
+            squares += of_b[first : first + _COLUMNS]
+            near = squares <= limit[:, None]
+            # Of many, the nearest here tell how far the nearest of all can lie.
+            many = np.flatnonzero(np.count_nonzero(near, axis=1) > 4 * take + 32)
+            if len(many):
+                limit[many] = np.minimum(limit[many], np.partition(squares[many], take - 1, axis=1)[:, take - 1] + some[many])
+                near[many] = squares[many] <= limit[many, None]
+            i, j = np.divmod(np.flatnonzero(near), near.shape[1])
+            i, j = i + start, j + first
+            if own is not None:
+                other = own[i] != j
+                i, j = i[other], j[other]
+            gaps = a[i] - b[j]
+            rows.append(i), columns.append(j), distances.append(np.sqrt((gaps * gaps).sum(1)))
     if not rows:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     i, j, distance = map(np.concatenate, (rows, columns, distances))
-    order = np.lexsort((j, distance, i))
+    order = np.lexsort((rank[j], distance, i))
     i, j, distance = i[order], j[order], distance[order]
     place = np.arange(len(i)) - np.searchsorted(i, i)
     kept = (place < k) & (distance <= bounds[i] * (1 + _ROOM))
     return i[kept], j[kept], distance[kept]
 
 
+def _bounds(i: np.ndarray, distance: np.ndarray, many: int, k: int) -> np.ndarray:
+    """Distance of the k-th neighbour of each row, infinite where there are fewer."""
+    counts = np.bincount(i, minlength=many)
+    full = counts == k
+    bounds = np.full(many, np.inf)
+    bounds[full] = distance[np.cumsum(counts)[full] - 1]
+    return bounds
+
+
+def _chunks(along: np.ndarray) -> list[np.ndarray]:
+    """Rows in chunks of near ones, halved along the direction of widest range."""
+    open_, chunks = [np.arange(len(along))], []
+    while open_:
+        rows = open_.pop()
+        if len(rows) <= _CHUNK:
+            chunks.append(rows)
+            continue
+        values = along[rows]
+        order = np.argpartition(values[:, np.argmax(np.ptp(values, axis=0))], len(rows) // 2)
+        open_ += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
+    return chunks
+
+
+def _nearest_in_chunks(a, a_along, b, b_along, k: int, bounds: np.ndarray, rank: np.ndarray, same: bool):
+    """As ``_nearest``, over the chunks of b that are near enough to a chunk of a."""
+    of_b = _chunks(b_along)
+    low, high = (np.array([side(b_along[rows], axis=0) for rows in of_b]) for side in (np.min, np.max))
+    parts = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+    for rows in of_b if same else _chunks(a_along):
+        values, most = a[rows], bounds[rows]
+        if same and len(of_b) > 1:
+            # Its own chunk first: the neighbours there bound how far the true ones can lie.
+            i, _, distance = _nearest(values, values, k, most, np.arange(len(rows)), np.arange(len(rows)))
+            most = _bounds(i, distance, len(rows), k)
+        mine = a_along[rows]
+        gaps = np.maximum(0.0, np.maximum(mine.min(0) - high, low - mine.max(0)))
+        near = ~(np.sqrt((gaps * gaps).sum(1)) > most.max() * (1 + _ROOM))
+        if near.all():
+            i, j, distance = _nearest(values, b, k, most, rank, rows if same else None)
+        else:
+            chosen = np.sort(np.concatenate([np.zeros(0, int), *[c for c, n in zip(of_b, near) if n]]))
+            i, j, distance = _nearest(values, b[chosen], k, most, rank[chosen], np.searchsorted(chosen, rows) if same else None)
+            j = chosen[j]
+        parts.append((rows[i], j, distance))
+    i, j, distance = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(i, kind="stable")
+    return i[order], j[order], distance[order]
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
@@ -130,25 +200,29 @@ def _matrix(column: pd.Series) -> np.ndarray:
 def _within(k: int):
     def run(leaf: pd.DataFrame) -> pd.DataFrame:
         leaf = leaf.sort_values("key", ignore_index=True)
-        values, keys = _matrix(leaf["values"]), leaf["key"].to_numpy()
-        i, j, distance = _nearest(values, values, k, np.full(len(leaf), np.inf), True)
-        bound = np.full(len(leaf), np.inf)
-        counts = np.bincount(i, minlength=len(leaf))
-        full = counts == k
-        bound[full] = distance[np.cumsum(counts)[full] - 1]
-        cuts = np.cumsum(counts)[:-1]
-        return leaf.assign(bound=bound, neighbours=np.split(keys[j], cuts), distances=np.split(distance, cuts))
+        values, along, keys = _matrix(leaf["values"]), _matrix(leaf["along"]), leaf["key"].to_numpy()
+        everything = np.full(len(leaf), np.inf)
+        i, j, distance = _nearest_in_chunks(values, along, values, along, k, everything, np.arange(len(leaf)), True)
+        cuts = np.cumsum(np.bincount(i, minlength=len(leaf)))[:-1]
+        return leaf.assign(bound=_bounds(i, distance, len(leaf), k), neighbours=np.split(keys[j], cuts), distances=np.split(distance, cuts))
 
     return run
 
 
 def _between(k: int):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"key": left["key"][:0], "neighbour": left["key"][:0], "distance": np.zeros(0)})
-        right = right.sort_values("other", ignore_index=True)
-        i, j, distance = _nearest(_matrix(left["values"]), _matrix(right["vector"]), k, left["bound"].to_numpy(), False)
-        return pd.DataFrame({"key": left["key"].to_numpy()[i], "neighbour": right["other"].to_numpy()[j], "distance": distance})
+    def matrix(table: pa.Table, name: str) -> np.ndarray:
+        column = table[name].combine_chunks()
+        return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        i, j, distance = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        if len(left) and len(right):
+            right = right.sort_by("other")
+            i, j, distance = _nearest_in_chunks(
+                matrix(left, "values"), matrix(left, "along"), matrix(right, "vector"), matrix(right, "beside"),
+                k, left["bound"].to_numpy(), np.arange(len(right)), False,
+            )
+        return pa.table({"key": left["key"].take(pa.array(i)), "neighbour": right["other"].take(pa.array(j)), "distance": distance})
 
     return run
 
@@ -194,11 +268,14 @@ def nearest_neighbours(
     """(key, neighbour, distance, place): the ``k`` nearest vectors with distance above 0 of every row, exactly.
 
     Neighbours are named by the smallest key among copies of one vector; of equally near ones the
-    smaller key comes first.  Rows without a vector are left out.  ``leaf``, ``directions`` and ``seed``
-    change how the work is cut, not the result.
+    smaller key comes first.  Rows without a vector are left out.  ``leaf`` (the least number of vectors
+    in a leaf), ``directions`` and ``seed`` change how the work is cut, not the result.
     """
     require_columns(df, [key, vector])
-    points = df.select(F.col(key).alias("key"), as_array(df, vector).cast("array<double>").alias("values")).where("values is not null")
+    # Floats stay floats, half as many bytes to send, until they are compared as doubles.
+    floats = df.schema[vector].dataType in (ArrayType(FloatType()), ArrayType(FloatType(), False))
+    values = F.col(vector) if floats else as_array(df, vector).cast("array<double>")
+    points = df.select(F.col(key).alias("key"), values.alias("values")).where("values is not null")
     copies = vector_copies(points, "key", "values")
     # Read by several jobs below: written once instead of worked out again each time.
     points = pin(points.join(copies.where("key = representative").select("key"), "key"))
@@ -208,25 +285,34 @@ def nearest_neighbours(
     if n_points < 2:
         best = df.sparkSession.createDataFrame([], schema + ", place int")
     else:
+        dimensions = max(1, len(points.select("values").first()[0]))
+        leaf = max(leaf, min(math.ceil(n_points / _LEAVES), _LEAF_NUMBERS // dimensions))
+        leaves = max(1, n_points // leaf)
         cut = _in_leaves(points, leaf, directions, seed)
-        inside = f"leaf bigint, key {kind}, values array<double>, along array<double>, bound double, neighbours array<{kind}>, distances array<double>"
-        members = pin(cut.groupBy("leaf").applyInPandas(_within(k), inside))
+        inside = (
+            f"leaf bigint, key {kind}, values {_sql_type(points, 'values')}, along array<double>, "
+            f"bound double, neighbours array<{kind}>, distances array<double>"
+        )
+        members = pin(cut.repartition(leaves, "leaf").groupBy("leaf").applyInPandas(_within(k), inside))
         own = members.select("key", F.explode(F.arrays_zip("neighbours", "distances")).alias("n"))
         own = own.select("key", F.col("n.neighbours").alias("neighbour"), F.col("n.distances").alias("distance"))
-        many = min(directions, len(points.select("values").first()[0]))
-        pairs = pin(_pairs_of_leaves(members, many, max(1, n_points // leaf)))
+        many = min(directions, dimensions)
+        pairs = pin(_pairs_of_leaves(members, many, leaves))
         vector_of = lambda side, *more: members.select(F.col("leaf").alias(side), "key", "values", "along", *more)
         along = F.col("along")
         # Single vectors too far from the other leaf's box, or from the bound of this one, stay at home.
         left = pairs.join(vector_of("a", "bound"), "a").where(_gap(along, along, F.col("b_low"), F.col("b_high"), many) <= F.col("bound") * (1 + _ROOM))
         right = pairs.join(vector_of("b"), "b").where(_gap(along, along, F.col("a_low"), F.col("a_high"), many) <= F.col("a_bound") * (1 + _ROOM))
-        left = left.select(F.col("a").alias("a1"), F.col("b").alias("b1"), "key", "values", "bound").groupBy("a1", "b1")
-        right = right.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("key").alias("other"), F.col("values").alias("vector")).groupBy("a2", "b2")
-        found = own.unionByName(left.cogroup(right).applyInPandas(_between(k), schema))
+        left = left.select(F.col("a").alias("a1"), F.col("b").alias("b1"), "key", "values", "along", "bound")
+        right = right.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("key").alias("other"), F.col("values").alias("vector"), along.alias("beside"))
+        # As many tasks as pairs: a pair is much work on few bytes, by which Spark would put many into one task.
+        tasks = max(1, min(leaves * leaves, 1000))
+        left, right = left.repartition(tasks, "a1", "b1").groupBy("a1", "b1"), right.repartition(tasks, "a2", "b2").groupBy("a2", "b2")
+        found = own.unionByName(left.cogroup(right).applyInArrow(_between(k), schema))
         best = top_k_per_group(found, ["key"], [F.col("distance"), F.col("neighbour")], k)
     best = best.withColumnRenamed("key", "representative")
     return copies.join(best, "representative").select(F.col("key").alias(key), "neighbour", "distance", "place")
 
 
-def _sql_type(points: DataFrame) -> str:
-    return points.schema["key"].dataType.simpleString()
+def _sql_type(points: DataFrame, column: str = "key") -> str:
+    return points.schema[column].dataType.simpleString()

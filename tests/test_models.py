@@ -392,3 +392,36 @@ def test_distribution_moments(spark):
     values = np.array([1, 2, 3, 10.0])
     assert line["skewness"] == pytest.approx(((values - 4) ** 3).mean() / values.var() ** 1.5)
     assert (line["smallest"], line["largest"], line["n"]) == (1.0, 10.0, 4)
+
+
+def test_leaves_grow_with_the_table(spark, monkeypatch):
+    """Evenly spread vectors meet all leaves, so each is sent once per leaf: their number has to stay small."""
+    seen = []
+    pairs_of = neighbours._pairs_of_leaves
+    monkeypatch.setattr(neighbours, "_pairs_of_leaves", lambda members, many, leaves: seen.append(leaves) or pairs_of(members, many, leaves))
+    same_as_brute_force(spark, np.random.default_rng(12).normal(size=(2000, 20)), 3, leaf=16)
+    assert seen and seen[0] <= neighbours._LEAVES
+
+
+def test_chunks_lose_no_neighbour():
+    """Grid points, whose distances tie, and clusters far apart: chunks against all distances."""
+    draw = np.random.default_rng(13)
+    grid = np.array([(x, y, z) for x in range(12) for y in range(12) for z in range(12)], float)[draw.permutation(1728)]
+    clusters = draw.normal(size=(15, 5))[draw.integers(0, 15, 1500)] * 20 + draw.normal(size=(1500, 5)) * 0.1
+    for table in (grid, clusters):
+        along, rank, k = table[:, :3], draw.permutation(len(table)), 4
+        i, j, distance = neighbours._nearest_in_chunks(table, along, table, along, k, np.full(len(table), np.inf), rank, True)
+        for row, near in exact_of_ranks(table, rank, k):
+            assert j[i == row].tolist() == near
+        left = table[:300]
+        bound = np.array([distance[i == row].max() for row in range(300)])
+        i, j, _ = neighbours._nearest_in_chunks(left, left[:, :3], table[300:], along[300:], k, bound, rank[300:], False)
+        for row, near in exact_of_ranks(table, rank, k):
+            if row < 300:
+                assert set(j[i == row] + 300) >= {n for n in near if n >= 300}
+
+
+def exact_of_ranks(table, rank, k):
+    gaps = np.sqrt(((table[:, None] - table[None]) ** 2).sum(2))
+    np.fill_diagonal(gaps, np.inf)
+    return [(row, np.lexsort((rank, line))[:k].tolist()) for row, line in enumerate(gaps)]
