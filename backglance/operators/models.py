@@ -12,6 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from backglance.operators.quality import require_columns
 from backglance.sources.tables import Scratch
 
 # The grids and iteration counts of the four classifiers.
@@ -45,6 +46,16 @@ def area_under_pr_of(predictions: DataFrame) -> float:
     return BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0).evaluate(predictions)
 
 
+def counted_rows(df: DataFrame, columns: Sequence[str], weight: str = "weight") -> DataFrame:
+    """Each distinct row of ``columns`` once, with its number as ``weight``, in one partition.
+
+    For columns of few values by their making: a weighted fit on these rows has the loss of one on all
+    rows, and each of its steps reads only them.
+    """
+    require_columns(df, columns)
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(weight)).coalesce(1)
+
+
 def fit_score(estimator: Estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     """Test rows with ``rawPrediction`` and ``prediction``."""
     return estimator.fit(train).transform(test)

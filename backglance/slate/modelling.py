@@ -602,8 +602,10 @@ def svm_hinge_loss(spark, folder):
     line = load_table(spark, folder, "lineitem").select(
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 30000).cast("double").alias("label"), (F.col("l_quantity") > 20).cast("double").alias("x")
     )
-    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(line)
-    scored = models.fit_score(models.svm(0.0).setMaxIter(200).setTol(1e-9), rows, rows)
+    vectors = VectorAssembler(inputCols=["x"], outputCol="features")
+    # ``x`` and the label are 0 or 1, so a step of the fit reads one weighted row for each pair of them.
+    counted = vectors.transform(models.counted_rows(line, ["x", "label"], "weight"))
+    scored = models.fit_score(models.svm(0.0).setMaxIter(200).setTol(1e-9).setWeightCol("weight"), counted, vectors.transform(line))
     margin = vector_to_array("rawPrediction")[1] * (2 * F.col("label") - 1)
     hinge = F.round(F.avg(F.greatest(F.lit(0.0), 1 - margin)), 2).alias("hinge")
     return scored.groupBy("x").agg(F.max("prediction").alias("prediction"), hinge, F.count(F.lit(1)).alias("n"))

@@ -425,3 +425,19 @@ def exact_of_ranks(table, rank, k):
     gaps = np.sqrt(((table[:, None] - table[None]) ** 2).sum(2))
     np.fill_diagonal(gaps, np.inf)
     return [(row, np.lexsort((rank, line))[:k].tolist()) for row, line in enumerate(gaps)]
+
+
+def test_hinge_loss_is_fitted_on_one_row_for_each_pair(spark, tmp_path, monkeypatch):
+    """The steps of the fit read as many rows as there are pairs of value and label, with the weight of all."""
+    from backglance.slate import modelling
+
+    lines = [(float(q), 100.0 * p, 0.0) for q in range(10, 31) for p in (200, 250, 350, 400, 500)[: 2 + q % 4]]
+    spark.createDataFrame(lines, "l_quantity double, l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    fitted = []
+    monkeypatch.setattr(models, "fit_score", lambda e, train, test: fitted.append(train) or e.fit(train).transform(test))
+    found = {r["x"]: r for r in modelling.svm_hinge_loss(spark, str(tmp_path)).collect()}
+    assert fitted[0].count() == 4 and fitted[0].agg(F.sum("weight")).first()[0] == len(lines)
+    for x in (0.0, 1.0):
+        late = [p > 30000 for q, p, _ in lines if (q > 20) == (x == 1)]
+        least = min(sum(late), len(late) - sum(late))
+        assert found[x]["n"] == len(late) and found[x]["hinge"] == pytest.approx(2 * least / len(late), abs=0.011)
