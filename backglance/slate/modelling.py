@@ -11,7 +11,7 @@ from backglance.functions.vectors import add, as_array, between_points, scale, s
 from backglance.operators import balance, encode, evaluate, models, neighbours, select, splits
 from backglance.operators.joins import lookup
 from backglance.slate.registry import query
-from backglance.sources.tables import load_table
+from backglance.sources.tables import load_table, pin
 
 _SCORED_SQL = """
   SELECT l.doc_id, d.lang, d.source, d.n_chars / 200000.0 AS score, l.toxic AS label,
@@ -235,8 +235,9 @@ def _order_split(spark, folder):
 
 def _prepared(spark, folder, centre=False):
     train, test = _order_split(spark, folder)
+    # Every stage of the preparation learns from these rows, so the split and the join are worked out once.
     return encode.prepare(
-        train, test, ["o_totalprice", "c_acctbal"], ["o_orderpriority", "c_mktsegment"], "finished", centre=centre
+        pin(train), test, ["o_totalprice", "c_acctbal"], ["o_orderpriority", "c_mktsegment"], "finished", centre=centre
     )
 
 
@@ -613,6 +614,7 @@ def svm_hinge_loss(spark, folder):
 
 def _folds(spark, folder):
     train, test = _model_rows(spark, folder)
+    train = pin(train)  # read for the bounds of the folds, for the folds and for the last fit
     order = ["o_orderdate", "o_orderkey"]
     folded = splits.blocked_folds(train, order, folds=3, levels=time_levels("o_orderdate"))
     return folded, train, test

@@ -441,3 +441,15 @@ def test_hinge_loss_is_fitted_on_one_row_for_each_pair(spark, tmp_path, monkeypa
         late = [p > 30000 for q, p, _ in lines if (q > 20) == (x == 1)]
         least = min(sum(late), len(late) - sum(late))
         assert found[x]["n"] == len(late) and found[x]["hinge"] == pytest.approx(2 * least / len(late), abs=0.011)
+
+
+def test_folds_read_training_rows_from_files(spark, monkeypatch):
+    """The split and the join are worked out once, not again for every stage that learns and for every fold."""
+    from backglance.slate import modelling
+
+    seen = []
+    prepare, cross_validate = encode.prepare, models.train_best
+    monkeypatch.setattr(encode, "prepare", lambda train, *a, **k: seen.append(train) or prepare(train, *a, **k))
+    monkeypatch.setattr(models, "train_best", lambda folded, train, *a: seen.extend([folded, train]) or cross_validate(folded, train, *a))
+    assert modelling.svm_on_folds(spark, "/root/testdata/sf0.001").count() == 1
+    assert len(seen) == 3 and all("pinned-" in path for df in seen for path in df.inputFiles())
