@@ -156,3 +156,18 @@ def test_clean_documents_get_few_more_spans(spark):
     rows = QUERIES["op12_secret_scan"](spark, "/root/testdata/sf0.1").join(good, "doc_id")
     n, more = rows.agg(F.count(F.lit(1)), F.sum((F.col("n_net") > 0).cast("int"))).first()
     assert more <= 0.02 * n
+
+
+def test_all_candidates_train_the_network(spark):
+    """No draw: every candidate is among the labelled ones, in whatever partitions, and shards give one network."""
+    draw = random.Random(3)
+    texts = [f"word{i} token = {draw.getrandbits(128):032x} and {'abcdefghij'[i % 10] * 7}placeholder{i} more" for i in range(7000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = secrets.labelled_candidates(docs).groupBy(F.col("kind") >= 0).count().collect()
+    assert {r[1] for r in kinds} == {7000}
+    few = docs.limit(600)
+    one, two = (secrets.train_net(d, epochs=3, shard=250) for d in (few, few.repartition(5)))
+    assert all(np.array_equal(a, b) for a, b in zip(one.parameters(), two.parameters()))
+    assert one.threshold == pytest.approx(two.threshold)
+    parts, wanted = parts_of(8, 200)
+    assert one.probabilities(secrets._windows_of_texts(parts)).shape == wanted.shape
