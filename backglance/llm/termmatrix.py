@@ -60,8 +60,8 @@ def _one_list(values, kind: pa.DataType) -> pa.Array:
 
 
 def _by_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    """Flagged bytes of each text; quick where few are flagged."""
+    return np.diff(np.searchsorted(np.flatnonzero(flags), offsets))
 
 
 def _local_shard(shard: int, part: pa.RecordBatch, targets: int) -> pa.RecordBatch:
@@ -69,7 +69,7 @@ def _local_shard(shard: int, part: pa.RecordBatch, targets: int) -> pa.RecordBat
     words = words_of(part["text"])
     data, offsets = words.data, words.offsets
     known = words.vocabulary.to_pylist()
-    target = np.array([xxhash.xxh3_64_intdigest(w) % targets for w in known], np.int64)
+    target = (np.array([xxhash.xxh3_64_intdigest(w) for w in known], np.uint64) % np.uint64(targets)).astype(np.int64)
     order = np.argsort(target, kind="stable")
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
@@ -80,7 +80,7 @@ def _local_shard(shard: int, part: pa.RecordBatch, targets: int) -> pa.RecordBat
     hashes = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
     pairs = np.frombuffer(hashes, "<i8").reshape(-1, 2)
     carried = [
-        part["doc_id"], part["part"], _by_text((data >= 65) & (data <= 90), offsets), _by_text((data & 0xC0) != 0x80, offsets),
+        part["doc_id"], part["part"], _by_text((data >= 65) & (data <= 90), offsets), np.diff(offsets) - _by_text((data & 0xC0) == 0x80, offsets),
         _by_text(_SYMBOL[data], offsets) > 0, pairs[:, 0], pairs[:, 1],
     ]
     lists = [_one_list(v, kind) for v, kind in zip(carried, _CARRIED.values())]
@@ -89,7 +89,8 @@ def _local_shard(shard: int, part: pa.RecordBatch, targets: int) -> pa.RecordBat
     found, begins = np.unique(target[order], return_index=True)
     ends = np.append(begins[1:], len(order))
     # A word holds no line break, so that joins them.
-    joined = [b"\n".join([known[i] for i in order[a:b]]) for a, b in zip(begins.tolist(), ends.tolist())]
+    dealt = [known[i] for i in order.tolist()]
+    joined = [b"\n".join(dealt[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]
     sent = pa.StructArray.from_arrays([pa.array(found, pa.int32()), pa.array(joined, pa.binary())], ["target", "joined"])
     lists.append(pa.ListArray.from_arrays(pa.array([0, len(sent)], pa.int32()), sent))
     names = ["shard", *_CARRIED, "first", "codes", "counts", "words"]
