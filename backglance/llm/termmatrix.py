@@ -181,7 +181,8 @@ def csr_shards(docs: DataFrame) -> DataFrame:
     their case; null counts as an empty text.  ``part`` is the language.
     """
     targets = targets_for(docs)
-    shards = pin(local_shards(docs, targets))
+    # A reader holds the lists of a whole row group, so each shard is one of its own.
+    shards = pin(local_shards(docs, targets), group_rows=1)
     return shards.drop("words").groupBy("shard").cogroup(_numbers(shards, targets).groupBy("of")).applyInArrow(_to_csr, _CSR)
 
 

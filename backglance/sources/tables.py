@@ -20,15 +20,20 @@ def load_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     return {name: load_table(spark, folder, name) for name in names}
 
 
-def stage(df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "errorifexists") -> DataFrame:
+def stage(
+    df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "errorifexists", group_rows: int | None = None
+) -> DataFrame:
     """Write a step as Parquet and go on from the files.
 
     Cuts the lineage; partition columns give later steps partition pruning.  The rebalance
     hint gathers each partition value into few files and splits a hot value over tasks.
+    ``group_rows`` is the most rows of a row group, for rows of megabytes: a group is held as a whole while
+    it is written, and lists of up to 4,096 rows of it at once while it is read.
     """
     partition_by = list(partition_by)
     writer = df.hint("rebalance", *partition_by) if partition_by else df
-    writer.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    groups = {"parquet.block.row.count.limit": group_rows} if group_rows else {}
+    writer.write.mode(mode).partitionBy(*partition_by).options(**groups).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -36,14 +41,14 @@ def _pins(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/pinned-{spark.sparkContext.applicationId}"
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     """The same rows from files in the shared checkpoint folder.
 
     For rows that several later jobs must see unchanged even when executors are lost.
     Unlike a checkpointed RDD the files keep column pruning.  Results read them lazily, so
     they stay until ``clear_pins``, to be called once all results of a session are written.
     """
-    return stage(df, f"{_pins(df.sparkSession)}/{uuid.uuid4().hex}")
+    return stage(df, f"{_pins(df.sparkSession)}/{uuid.uuid4().hex}", group_rows=group_rows)
 
 
 def clear_pins(spark: SparkSession) -> None:

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,19 @@ def test_a_frequent_word_costs_one_entry_per_shard(spark):
     for shard in termmatrix.local_shards(rows, 3).collect():
         sent = [w for line in shard.words for w in bytes(line.joined).split(b"\n")]
         assert sent.count(b"the") == 1 and len(sent) == len(set(sent))
+
+
+def test_a_written_shard_is_a_row_group_of_its_own(spark, docs, monkeypatch):
+    """A reader holds the lists of all rows of a group at once, so its memory must not grow with the shards of a file."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    pinned, pin = [], termmatrix.pin
+    monkeypatch.setattr(termmatrix, "pin", lambda df, *a, **k: pinned.append(pin(df, *a, **k)) or pinned[-1])
+    spark.conf.set(setting, 2)
+    try:
+        n_rows = sum(len(shard.doc_id) for shard in termmatrix.csr_shards(docs.coalesce(1)).collect())
+    finally:
+        spark.conf.set(setting, before)
+    files = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in pinned[0].inputFiles()]
+    groups = [file.row_group(i).num_rows for file in files for i in range(file.num_row_groups)]
+    assert n_rows == len(ROWS) and set(groups) == {1} and len(groups) > len(files) == 1
