@@ -1,8 +1,10 @@
 import math
 import random
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -453,3 +455,37 @@ def test_folds_read_training_rows_from_files(spark, monkeypatch):
     monkeypatch.setattr(models, "train_best", lambda folded, train, *a: seen.extend([folded, train]) or cross_validate(folded, train, *a))
     assert modelling.svm_on_folds(spark, "/root/testdata/sf0.001").count() == 1
     assert len(seen) == 3 and all("pinned-" in path for df in seen for path in df.inputFiles())
+
+
+def test_support_vector_machine_is_fitted_until_it_converges(spark):
+    """With a place for each value the least hinge loss is known: every row with the rarer label of its value loses 2."""
+    counts = {0: (36, 4), 1: (30, 120), 2: (25, 15), 3: (90, 170)}
+    data = [(Vectors.dense([float(v == k) for k in counts]), float(late)) for v, both in counts.items() for late in (0, 1) for _ in range(both[late])]
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])
+    rows = spark.createDataFrame(data, schema).coalesce(1)
+    least = 2 * sum(map(min, counts.values())) / len(data)
+    for final in (False, True):
+        assert models.svm(0.0, final).fit(rows).summary().objectiveHistory[-1] == pytest.approx(least, abs=0.005)
+
+
+def test_support_vector_machines_on_folds_end_by_their_tolerance(spark, tmp_path, monkeypatch):
+    from backglance.slate import modelling
+
+    draw = random.Random(32)
+    orders = [
+        (i, i % 30, datetime(2001, 1, 1) + timedelta(hours=i), draw.uniform(1, 9), f"{draw.randrange(3)}-PRIORITY", draw.choice("FO")) for i in range(600)
+    ]
+    names = "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double, o_orderpriority string, o_orderstatus string"
+    spark.createDataFrame(orders, names).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    customers = [(i, f"segment {i % 4}", draw.gauss(0, 100)) for i in range(30)]
+    spark.createDataFrame(customers, "c_custkey long, c_mktsegment string, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    fitted, fit = [], LinearSVC.fit
+
+    def kept(self, df, *rest):
+        model = fit(self, df, *rest)
+        fitted.append((model.summary().totalIterations, self.getMaxIter()))
+        return model
+
+    monkeypatch.setattr(LinearSVC, "fit", kept)
+    assert modelling.svm_on_folds(spark, str(tmp_path)).first()["n"] == 120
+    assert len(fitted) == 10 and all(5 < ran < most for ran, most in fitted)
